@@ -162,3 +162,22 @@ def with_fixtures(sql: str, *names: str) -> str:
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
+
+
+def fx_status(cat: Catalog) -> DataFrame:
+    """Per-taxpayer status records (several per key, many keys without any):
+    urgent orders as status filings."""
+    o = cat.orders.where(F.col("o_orderpriority") == "1-URGENT")
+    return o.select(
+        F.col("o_orderkey").alias("seq"),
+        F.concat(F.lit("32"), F.lpad(_s(F.col("o_custkey")), 9, "0")).alias("taxpayer_id"),
+        F.col("o_orderstatus").alias("right_to_transact"),
+        _s(F.year("o_orderdate")).alias("report_year"),
+    )
+
+
+FIXTURES["fx_status"] = fx_status
+FIXTURE_SQL["fx_status"] = """SELECT o_orderkey AS seq,
+  concat('32', lpad(cast(o_custkey AS VARCHAR), 9, '0')) AS taxpayer_id,
+  o_orderstatus AS right_to_transact, cast(year(o_orderdate) AS VARCHAR) AS report_year
+FROM orders WHERE o_orderpriority = '1-URGENT'"""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from recordlink.operators import combine as C
 from recordlink.plans.catalog import Catalog
-from recordlink.plans.fixtures import fx_account, fx_contacts, fx_places, fx_registry
+from recordlink.plans.fixtures import fx_account, fx_contacts, fx_places, fx_registry, fx_status
 
 QUERIES: dict = {}
 
@@ -53,3 +53,520 @@ def combine_stats(spark, sf_dir):
         F.round("coverage_registry", 6).alias("coverage_registry"),
         F.round("coverage_account", 6).alias("coverage_account"),
         F.round("coverage_both", 6).alias("coverage_both"))
+
+
+@query
+def combine_resolved(spark, sf_dir):
+    c = _combined(spark, sf_dir, resolve=True)
+    return c.select("taxpayer_id", "resolved_business_name", "resolved_address",
+                    "resolved_address_source", "resolved_registration_date")
+
+
+@query
+def combine_mapped(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    c = C.combine_with_mapping(fx_registry(cat), fx_account(cat),
+                               {"taxpayer_city": "city", "taxpayer_state": "state_code",
+                                "no_such_field": "ignored"})
+    return c.select("taxpayer_id", "registry_city", "registry_state", "account_status")
+
+
+# ---------------------------------------------------------------------------
+# Enrichment and set differences
+# ---------------------------------------------------------------------------
+
+@query
+def enrich_left(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    e = C.enrich(fx_account(cat), fx_places(cat), on="taxpayer_id")
+    return e.select("seq", "taxpayer_id", "enriched_place_id", "enriched_details_status",
+                    "enriched_name", "enriched_rating")
+
+
+def _account_info(cat, ids):
+    from recordlink.sources.landed import account_info
+    acc = fx_account(cat)
+    return account_info(ids, details=acc.drop("seq"), status=fx_status(cat))
+
+
+@query
+def account_info(spark, sf_dir):
+    from recordlink.operators.aggregate import distinct_keys
+    from recordlink.operators.schema import resolve_key
+    cat = _cat(spark, sf_dir)
+    reg = fx_registry(cat)
+    ids = distinct_keys(reg, resolve_key(reg))
+    a = _account_info(cat, ids)
+    return a.select("taxpayer_id", "has_details", "has_ftas", "ftas_count", "detail_status",
+                    "detail_entity_type", "detail_balance", "ftas_right_to_transact",
+                    "ftas_report_year")
+
+
+@query
+def account_enrich(spark, sf_dir):
+    from recordlink.functions.expr import stripped_key
+    cat = _cat(spark, sf_dir)
+    base = fx_contacts(cat)
+    ids = base.select(stripped_key(base, ["taxpayer_id"]).alias("taxpayer_id")).where(
+        F.col("taxpayer_id").isNotNull()).distinct()
+    acc = _account_info(cat, ids)
+    e = C.attach_account(base, acc, id_field="taxpayer_id",
+                         detail_fields=["detail_status", "detail_entity_type"])
+    return e.select("seq", "taxpayer_id", "account_status", "account_entity_type",
+                    "account_has_ftas", "account_ftas_count")
+
+
+@query
+def places_attach(spark, sf_dir):
+    from recordlink.operators.places import attach_places
+    cat = _cat(spark, sf_dir)
+    e = attach_places(fx_account(cat), fx_places(cat))
+    return e.select("seq", "taxpayer_id", "google_name", "google_rating", "google_website",
+                    "google_user_ratings_total", "google_place_id", "google_places_enriched")
+
+
+@query
+def merge_outer_m2m(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    left = cat.orders.select(F.col("o_custkey").alias("custkey"), "o_orderkey",
+                             F.col("o_orderstatus").alias("status"),
+                             F.col("o_totalprice").alias("amount"))
+    right = cat.customer.select(F.col("c_custkey").alias("custkey"),
+                                F.col("c_mktsegment").alias("status"),
+                                F.col("c_acctbal").alias("amount"), "c_name")
+    return C.merge_outer(left, right, "custkey")
+
+
+def _split_registry(cat):
+    reg = fx_registry(cat)
+    old = F.col("outlet_permit_issue_date") < "1998-01-01"
+    return reg.where(old), reg.where(~old | F.col("outlet_permit_issue_date").isNull())
+
+
+@query
+def new_records(spark, sf_dir):
+    from recordlink.operators.aggregate import distinct_keys
+    from recordlink.operators.schema import resolve_key
+    cat = _cat(spark, sf_dir)
+    existing, batch = _split_registry(cat)
+    ex = distinct_keys(existing, resolve_key(existing))
+    out = C.new_records(batch.withColumn("taxpayer_id", resolve_key(batch)), ex,
+                        key=F.col("taxpayer_id"))
+    return out.select("seq", "taxpayer_number", "taxpayer_id")
+
+
+@query
+def incremental_ids(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    existing, batch = _split_registry(cat)
+    return C.incremental_ids(batch, existing, id_field="taxpayer_number").select(
+        "seq", "taxpayer_number")
+
+
+@query
+def cache_split(spark, sf_dir):
+    from recordlink.operators.aggregate import distinct_keys
+    from recordlink.operators.schema import resolve_key
+    cat = _cat(spark, sf_dir)
+    reg = fx_registry(cat)
+    req = distinct_keys(reg, resolve_key(reg))
+    return C.cache_split(req, fx_places(cat), status_col="details_status").select(
+        "taxpayer_id", "from_cache")
+
+
+@query
+def remaining_work(spark, sf_dir):
+    from recordlink.operators.aggregate import distinct_keys
+    from recordlink.operators.schema import resolve_key
+    cat = _cat(spark, sf_dir)
+    reg = fx_registry(cat)
+    pending = distinct_keys(reg, resolve_key(reg))
+    done = fx_account(cat).select("taxpayer_id")
+    return C.remaining(pending, done)
+
+
+# ---------------------------------------------------------------------------
+# G*: deduplication
+# ---------------------------------------------------------------------------
+
+def _dedup_key_flagged(spark, sf_dir):
+    from recordlink.operators import dedup as D
+    cat = _cat(spark, sf_dir)
+    return D.dedup(fx_registry(cat), "key", with_key="dedup_key")
+
+
+@query
+def dedup_key(spark, sf_dir):
+    return _dedup_key_flagged(spark, sf_dir).select("seq", "taxpayer_number", "dedup_key",
+                                                     "is_duplicate")
+
+
+@query
+def dedup_stats(spark, sf_dir):
+    from recordlink.operators import dedup as D
+    s = D.dedup_stats(_dedup_key_flagged(spark, sf_dir))
+    return s.select("original_count", "unique_count", "duplicate_count",
+                    F.round("deduplication_rate", 6).alias("deduplication_rate"),
+                    F.round("reduction_percentage", 6).alias("reduction_percentage"))
+
+
+@query
+def dedup_nullkeys_drop(spark, sf_dir):
+    from recordlink.operators import dedup as D
+    cat = _cat(spark, sf_dir)
+    f = D.dedup(fx_registry(cat), "key", null_keys="drop")
+    return D.unique(f).select("seq", "taxpayer_number")
+
+
+@query
+def dedup_duplicates(spark, sf_dir):
+    from recordlink.operators import dedup as D
+    cat = _cat(spark, sf_dir)
+    return D.detect_duplicates(fx_contacts(cat), "taxpayer_id").select("seq", "taxpayer_id")
+
+
+@query
+def dedup_exact(spark, sf_dir):
+    from recordlink.operators import dedup as D
+    cat = _cat(spark, sf_dir)
+    docs = cat.documents.select(F.col("doc_id").alias("seq"), "text", "lang")
+    return D.dedup(docs, "exact").select("seq", "lang", "is_duplicate")
+
+
+@query
+def dedup_hash(spark, sf_dir):
+    from recordlink.operators import dedup as D
+    cat = _cat(spark, sf_dir)
+    docs = cat.documents.select(F.col("doc_id").alias("seq"), "text", "n_chars")
+    return D.unique(D.dedup(docs, "hash")).select("seq", "n_chars")
+
+
+@query
+def dedup_fuzzy(spark, sf_dir):
+    from recordlink.operators import dedup as D
+    cat = _cat(spark, sf_dir)
+    return D.dedup(fx_contacts(cat), "fuzzy", with_key="fuzzy_key").select(
+        "seq", "fuzzy_key", "is_duplicate")
+
+
+@query
+def dedup_merge(spark, sf_dir):
+    from recordlink.operators import dedup as D
+    cat = _cat(spark, sf_dir)
+    m = D.merge_duplicates(fx_registry(cat))
+    return m.select("seq", "taxpayer_number", "taxpayer_name", "taxpayer_address", "outlet_number",
+                    "outlet_name", "outlet_city", "outlet_permit_issue_date", "_merged_from_count")
+
+
+@query
+def dedup_best(spark, sf_dir):
+    from recordlink.operators import dedup as D
+    cat = _cat(spark, sf_dir)
+    return D.best_by_completeness(fx_registry(cat)).select("seq", "taxpayer_number",
+                                                            "completeness_score")
+
+
+@query
+def duplicate_groups(spark, sf_dir):
+    from recordlink.operators import dedup as D
+    cat = _cat(spark, sf_dir)
+    return D.duplicate_groups(fx_registry(cat)).select("group_key", "seq", "group_size")
+
+
+# ---------------------------------------------------------------------------
+# Outlets
+# ---------------------------------------------------------------------------
+
+_OUT_COLS = ["seq", "taxpayer_number", "outlet_number", "outlet_name", "outlet_city",
+             "outlet_permit_issue_date", "outlet_count", "outlets_attached"]
+
+
+def _outlet_inputs(spark, sf_dir):
+    from recordlink.operators import dedup as D
+    from recordlink.operators.outlets import collect_outlets
+    cat = _cat(spark, sf_dir)
+    reg = fx_registry(cat)
+    base = D.unique(D.dedup(reg, "key"))
+    return reg, base, collect_outlets(reg)
+
+
+@query
+def outlets_first(spark, sf_dir):
+    from recordlink.operators.outlets import attach_outlets
+    _, base, outl = _outlet_inputs(spark, sf_dir)
+    return attach_outlets(base, outl).select(*_OUT_COLS)
+
+
+@query
+def outlets_merged(spark, sf_dir):
+    from recordlink.operators.outlets import attach_merged_outlets
+    _, base, outl = _outlet_inputs(spark, sf_dir)
+    return attach_merged_outlets(base, outl).select(*_OUT_COLS)
+
+
+@query
+def outlet_stats(spark, sf_dir):
+    from recordlink.operators.outlets import attach_outlets, outlet_stats as stats
+    reg, base, outl = _outlet_inputs(spark, sf_dir)
+    return stats(reg, attach_outlets(base, outl))
+
+
+# ---------------------------------------------------------------------------
+# Quality
+# ---------------------------------------------------------------------------
+
+@query
+def clean_contacts(spark, sf_dir):
+    from recordlink.operators.quality import clean
+    return clean(fx_contacts(_cat(spark, sf_dir)))
+
+
+def _validated(spark, sf_dir):
+    from recordlink.operators.quality import validate
+    return validate(fx_contacts(_cat(spark, sf_dir)), required=["business_name", "phone"])
+
+
+@query
+def validate_contacts(spark, sf_dir):
+    v = _validated(spark, sf_dir)
+    return v.select("seq", F.array_join("errors", "; ").alias("error_text"), "is_valid")
+
+
+@query
+def validation_errors(spark, sf_dir):
+    from recordlink.operators.quality import validation_errors as ve
+    e = ve(_validated(spark, sf_dir))
+    return e.select("seq", "record_index", F.array_join("errors", "; ").alias("error_text"))
+
+
+@query
+def validation_summary(spark, sf_dir):
+    from recordlink.operators.quality import validation_summary as vs
+    s = vs(_validated(spark, sf_dir))
+    return s.select("total_records", "valid_records", "invalid_records",
+                    F.round("validation_rate", 6).alias("validation_rate"))
+
+
+@query
+def quality_report(spark, sf_dir):
+    from recordlink.operators.quality import quality_report as qr
+    r = qr(fx_contacts(_cat(spark, sf_dir)), key_field="taxpayer_id")
+    return r.select("total_records", "duplicate_count",
+                    F.round("duplicate_rate", 6).alias("duplicate_rate"),
+                    "valid_records", "invalid_records",
+                    F.round("validation_rate", 6).alias("validation_rate"))
+
+
+@query
+def completeness(spark, sf_dir):
+    from recordlink.operators.quality import completeness as comp
+    c = comp(fx_contacts(_cat(spark, sf_dir)), exclude=["seq"])
+    return c.select("field", "pos", "filled", F.round("completeness", 6).alias("completeness"))
+
+
+@query
+def completeness_top(spark, sf_dir):
+    from recordlink.operators.quality import completeness as comp
+    c = comp(fx_registry(_cat(spark, sf_dir)), exclude=["seq"], top=5)
+    return c.select("field", "pos", F.round("completeness", 6).alias("completeness"))
+
+
+@query
+def normalize_collide(spark, sf_dir):
+    from recordlink.operators.schema import normalize
+    c = fx_contacts(_cat(spark, sf_dir))
+    k = F.col("seq")
+    c = c.select("*",
+                 F.when(k % 2 == 0, F.lit("")).otherwise(F.concat(F.col("zip"), F.lit("X")))
+                 .alias("zipcode"),
+                 F.when(k % 5 == 0, F.lit(None).cast("string")).otherwise(F.lit("555-0100"))
+                 .alias("Telephone"))
+    return normalize(c).select("seq", "taxpayer_id", "business_name", "zip_code", "email", "phone")
+
+
+@query
+def standardize_fields(spark, sf_dir):
+    from recordlink.operators.schema import standardize
+    s = standardize(fx_registry(_cat(spark, sf_dir)))
+    return s.select("seq", "taxpayer_id", "business_name", "zip", "taxpayer_city")
+
+
+# ---------------------------------------------------------------------------
+# Search / top-k / ad-hoc query / aggregates
+# ---------------------------------------------------------------------------
+
+@query
+def search_contains(spark, sf_dir):
+    from recordlink.operators.search import search
+    cat = _cat(spark, sf_dir)
+    cust = cat.customer.select(F.col("c_custkey").alias("seq"), "c_name", "c_mktsegment")
+    return search(cust, "c_name", "r#00000001").select("seq", "c_name")
+
+
+@query
+def search_many(spark, sf_dir):
+    from recordlink.operators.search import search_many as sm
+    cat = _cat(spark, sf_dir)
+    frames = {
+        "customer": cat.customer.select(F.col("c_custkey").alias("seq"), F.col("c_name").alias("name")),
+        "supplier": cat.supplier.select(F.col("s_suppkey").alias("seq"), F.col("s_name").alias("name")),
+        "part": cat.part.select(F.col("p_partkey").alias("seq"), F.col("p_name").alias("name")),
+        "nation": cat.nation.select(F.col("n_nationkey").cast("bigint").alias("seq"),
+                                    F.col("n_name").alias("nation_name")),
+    }
+    return sm(frames, "name", "er#0000000", per=100).select("dataset_id", "seq", "name")
+
+
+@query
+def topn_per_group(spark, sf_dir):
+    from recordlink.operators.search import top_n
+    cat = _cat(spark, sf_dir)
+    p = cat.part.select("p_partkey", "p_brand", "p_retailprice")
+    t = top_n(p, "p_brand", 3, [F.desc("p_retailprice"), F.asc("p_partkey")], rank_col="rank")
+    return t.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query
+def soql_like(spark, sf_dir):
+    from recordlink.operators.search import query as q
+    cat = _cat(spark, sf_dir)
+    return q(cat.lineitem, where="l_quantity > 45 AND l_returnflag = 'R'",
+             select=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
+             order=["l_extendedprice DESC", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
+             limit=50, offset=10)
+
+
+@query
+def agg_dropna(spark, sf_dir):
+    from recordlink.operators.aggregate import group_agg
+    cat = _cat(spark, sf_dir)
+    li = cat.lineitem.select(
+        F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
+        .otherwise(F.col("l_returnflag")).alias("flag"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount")
+    g = group_agg(li, "flag", {"l_quantity": ["sum", "mean", "min", "max", "std", "var", "median"],
+                               "l_partkey": "nunique", "l_suppkey": ["first", "last"],
+                               "l_discount": "size"},
+                  order_by=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    return g.select("flag", "l_quantity_sum", "l_quantity_mean", "l_quantity_min", "l_quantity_max",
+                    F.round("l_quantity_std", 6).alias("l_quantity_std"),
+                    F.round("l_quantity_var", 6).alias("l_quantity_var"),
+                    "l_quantity_median", "l_partkey", "l_suppkey_first", "l_suppkey_last",
+                    "l_discount")
+
+
+@query
+def key_extract(spark, sf_dir):
+    from recordlink.operators.aggregate import distinct_keys
+    from recordlink.operators.schema import resolve_key
+    reg = fx_registry(_cat(spark, sf_dir))
+    return distinct_keys(reg, resolve_key(reg))
+
+
+@query
+def status_counts(spark, sf_dir):
+    from recordlink.operators.aggregate import status_counts as sc
+    return sc(fx_places(_cat(spark, sf_dir)), "details_status")
+
+
+@query
+def union_schemas(spark, sf_dir):
+    from recordlink.operators.batches import union_all
+    cat = _cat(spark, sf_dir)
+    frames = {
+        "customer": cat.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                                        F.col("c_acctbal").alias("balance"),
+                                        F.col("c_mktsegment").alias("segment"),
+                                        F.col("c_nationkey").alias("nationkey")),
+        "supplier": cat.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"),
+                                        F.col("s_acctbal").alias("balance"),
+                                        F.col("s_nationkey").cast("string").alias("nationkey")),
+    }
+    return union_all(frames, tag="dataset_id")
+
+
+@query
+def assign_batches(spark, sf_dir):
+    from recordlink.operators.batches import assign_batches as ab
+    cat = _cat(spark, sf_dir)
+    return ab(cat.customer.select("c_custkey", "c_name"), 100, "c_custkey")
+
+
+# ---------------------------------------------------------------------------
+# Places, nested records, text extraction
+# ---------------------------------------------------------------------------
+
+@query
+def search_query(spark, sf_dir):
+    from recordlink.operators.places import search_query as sq
+    reg = fx_registry(_cat(spark, sf_dir))
+    return reg.select("seq", sq(reg).alias("search_query"))
+
+
+def _place_responses(cat):
+    k = F.col("c_custkey")
+    levels = F.array(*[F.lit(x) for x in ["PRICE_LEVEL_FREE", "PRICE_LEVEL_INEXPENSIVE",
+                                           "PRICE_LEVEL_MODERATE", "PRICE_LEVEL_EXPENSIVE",
+                                           "PRICE_LEVEL_VERY_EXPENSIVE", "PRICE_LEVEL_UNSPECIFIED"]])
+    return cat.customer.select(
+        k.alias("seq"),
+        F.concat(F.lit("P"), k.cast("string")).alias("place_id"),
+        F.struct(F.col("c_name").alias("text"), F.lit("en").alias("languageCode")).alias("displayName"),
+        F.concat(k.cast("string"), F.lit(" Main St")).alias("formattedAddress"),
+        ((k % 50).cast("double") / 10).alias("rating"),
+        (k % 1000).cast("int").alias("userRatingCount"),
+        F.struct((k.cast("double") / 1000).alias("latitude"),
+                 (-k.cast("double") / 1000).alias("longitude")).alias("location"),
+        F.element_at(levels, (k % 6 + 1).cast("int")).alias("priceLevel"),
+    )
+
+
+@query
+def places_transform(spark, sf_dir):
+    from recordlink.operators.places import transform_place
+    from recordlink.operators.schema import flatten
+    t = transform_place(_place_responses(_cat(spark, sf_dir)), keep=["place_id"])
+    return flatten(t)
+
+
+@query
+def place_details(spark, sf_dir):
+    from recordlink.operators.places import place_details as pd
+    cat = _cat(spark, sf_dir)
+    req = fx_places(cat).select("taxpayer_id", "place_id")
+    # responses exist only for places with a rating (others were lookup errors)
+    d = pd(req, _place_responses(cat).where(F.col("rating") > 0))
+    return d.select("taxpayer_id", "place_id", "details_status", "name", "price_level",
+                    F.col("geometry.location.lat").alias("lat"))
+
+
+@query
+def flatten_nested(spark, sf_dir):
+    from recordlink.operators.schema import flatten
+    c = _cat(spark, sf_dir).customer
+    nested = c.select(F.col("c_custkey").alias("id"),
+                      F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"),
+                               F.struct(F.col("c_acctbal").alias("amount")).alias("balance"))
+                      .alias("info"))
+    return flatten(nested)
+
+
+def _extract(spark, sf_dir, kind):
+    from recordlink.functions.text import extract
+    docs = _cat(spark, sf_dir).documents
+    return extract(docs, "text", kind, keep=["doc_id"])
+
+
+@query
+def extract_emails(spark, sf_dir):
+    return _extract(spark, sf_dir, "emails")
+
+
+@query
+def extract_numbers(spark, sf_dir):
+    return _extract(spark, sf_dir, "numbers")
+
+
+@query
+def extract_urls(spark, sf_dir):
+    return _extract(spark, sf_dir, "urls")
