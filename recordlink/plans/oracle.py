@@ -493,3 +493,33 @@ _EP, _NP, _UP = _patterns()
 ORACLE["extract_emails"] = _extract_sql(_EP)
 ORACLE["extract_numbers"] = _extract_sql(_NP, numbers=True)
 ORACLE["extract_urls"] = _extract_sql(_UP)
+
+ORACLE["json_roundtrip"] = _w("""
+SELECT seq, taxpayer_id, status, balance FROM fx_account""", "fx_account")
+
+ORACLE["csv_roundtrip"] = _w("""
+SELECT CAST(seq AS VARCHAR) AS seq, nullif(taxpayer_id, '') AS taxpayer_id, nullif(zip, '') AS zip,
+  nullif(email, '') AS email, nullif(phone, '') AS phone FROM fx_contacts""", "fx_contacts")
+
+ORACLE["stream_ingest"] = _w(f"""WITH {_SPLIT},
+e AS (SELECT *, {ck('taxpayer_number')} AS k FROM ex),
+d1 AS (SELECT seq, taxpayer_number, k FROM e WHERE k IS NULL
+  UNION ALL SELECT seq, taxpayer_number, k FROM e WHERE k IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY seq) = 1),
+f AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM d1 WHERE d1.k = b.k)),
+d2 AS (SELECT seq, taxpayer_number, k FROM f WHERE k IS NULL
+  UNION ALL SELECT seq, taxpayer_number, k FROM f WHERE k IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY seq) = 1)
+SELECT seq, taxpayer_number, k AS taxpayer_id FROM d1
+UNION ALL SELECT seq, taxpayer_number, k AS taxpayer_id FROM d2""", "fx_registry")
+
+ORACLE["lookup_batch"] = _w(f"""WITH {_REQ},
+acc AS (SELECT taxpayer_id, first(status) AS status FROM fx_account GROUP BY taxpayer_id)
+SELECT r.taxpayer_id,
+  CASE WHEN a.taxpayer_id IS NOT NULL THEN a.status
+       WHEN right(r.taxpayer_id, 1) IN ('7', '3') THEN NULL
+       WHEN CAST(right(r.taxpayer_id, 1) AS INTEGER) % 2 = 0 THEN 'ACTIVE' ELSE 'INACTIVE' END AS status,
+  CASE WHEN a.taxpayer_id IS NULL AND right(r.taxpayer_id, 1) = '7'
+       THEN 'ValueError: lookup failed' END AS error,
+  a.taxpayer_id IS NOT NULL AS from_cache
+FROM req r LEFT JOIN acc a ON r.taxpayer_id = a.taxpayer_id""", "fx_registry", "fx_account")

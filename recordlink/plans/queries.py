@@ -570,3 +570,94 @@ def extract_numbers(spark, sf_dir):
 @query
 def extract_urls(spark, sf_dir):
     return _extract(spark, sf_dir, "urls")
+
+
+# ---------------------------------------------------------------------------
+# Sources, sinks, streaming and user lookups. These write derived data to a
+# fresh folder under the session's shared checkpoint folder and read it back.
+# ---------------------------------------------------------------------------
+
+def _scratch(spark, name):
+    from recordlink.session import scratch_path
+    return scratch_path(spark, name)
+
+
+@query
+def json_roundtrip(spark, sf_dir):
+    """B1 write, A5 folder read (first row per cleaned key; unreadable records skipped)."""
+    from recordlink.sources.readers import read_dir
+    from recordlink.sources.sinks import write_json
+    path = _scratch(spark, "json")
+    write_json(fx_account(_cat(spark, sf_dir)).repartition(4), path)
+    back = read_dir(spark, path, "jsonl", order_by="_in_seq")
+    return back.select("seq", "taxpayer_id", "status", "balance")
+
+
+@query
+def csv_roundtrip(spark, sf_dir):
+    """B2 write (sorted header), A3 read: every value comes back as text."""
+    from recordlink.sources.readers import read_auto
+    from recordlink.sources.sinks import write_csv
+    path = _scratch(spark, "csv")
+    write_csv(fx_contacts(_cat(spark, sf_dir)), path)
+    back = read_auto(spark, path, fmt="csv")
+    return back.select("seq", "taxpayer_id", "zip", "email", "phone")
+
+
+@query
+def table_manifest(spark, sf_dir):
+    """B5 manifest, B6 verification, B8 fingerprint of the written table."""
+    from recordlink.sources.sinks import verify_manifest, write_manifest
+    path = _scratch(spark, "manifest")
+    _cat(spark, sf_dir).customer.write.parquet(path)
+    write_manifest(spark, path, glob="*.parquet")
+    v = verify_manifest(spark, path, glob="*.parquet")
+    return v.groupBy("status").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query
+def table_fingerprint(spark, sf_dir):
+    from recordlink.sources.sinks import fingerprint
+    return fingerprint(_cat(spark, sf_dir).customer)
+
+
+@query
+def stream_ingest(spark, sf_dir):
+    """K1/K2/K4: two file drops ingested by a resumable stream; keys already
+    written are skipped, first row per key inside a drop."""
+    from recordlink.operators.schema import resolve_key
+    from recordlink.streaming.incremental import read_ingested, stream_ingest as ingest
+    cat = _cat(spark, sf_dir)
+    existing, batch = _split_registry(cat)
+    src, dst, ck = _scratch(spark, "stream-src"), _scratch(spark, "stream-dst"), \
+        _scratch(spark, "stream-ckpt")
+    schema = existing.schema
+    existing.write.json(f"{src}/drop=1")
+    ingest(spark, src, dst, ck, schema, key_fn=resolve_key)
+    batch.write.json(f"{src}/drop=2")
+    ingest(spark, src, dst, ck, schema, key_fn=resolve_key)
+    return read_ingested(spark, dst).select("seq", "taxpayer_number", "taxpayer_id")
+
+
+def _fetch_status(key):
+    """Stand-in for a remote account lookup: a pure function of the key."""
+    if key.endswith("7"):
+        raise ValueError("lookup failed")
+    if key.endswith("3"):
+        return None
+    return {"status": "ACTIVE" if int(key[-1]) % 2 == 0 else "INACTIVE"}
+
+
+@query
+def lookup_batch(spark, sf_dir):
+    """L2 with E11: cached keys from the account table, others fetched once."""
+    from pyspark.sql import types as T
+    from recordlink.operators.aggregate import distinct_keys
+    from recordlink.operators.schema import resolve_key
+    from recordlink.streaming.lookup import lookup_batch as lb
+    cat = _cat(spark, sf_dir)
+    reg = fx_registry(cat)
+    keys = distinct_keys(reg, resolve_key(reg))
+    schema = T.StructType([T.StructField("status", T.StringType())])
+    return lb(keys, "taxpayer_id", _fetch_status, schema, max_parallel=8,
+              cache=fx_account(cat).select("taxpayer_id", "status"))
