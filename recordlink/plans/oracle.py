@@ -477,11 +477,12 @@ SELECT c_custkey AS id, c_name AS info_name, c_mktsegment AS info_segment,
   c_acctbal AS info_balance_amount FROM customer"""
 
 
-def _extract_sql(pattern: str, numbers: bool = False) -> str:
+def _extract_sql(pattern: str, numbers: bool = False, table: str = "documents", id_col: str = "doc_id",
+                 text_col: str = "text") -> str:
     m = "coalesce(nullif(regexp_replace(match, '^0+', ''), ''), '0')" if numbers else "match"
-    return f"""WITH x AS (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS m FROM documents),
-u AS (SELECT doc_id, unnest(generate_series(0, len(m) - 1)) AS match_pos, unnest(m) AS match FROM x)
-SELECT doc_id, CAST(match_pos AS INTEGER) AS match_pos, {m} AS match FROM u"""
+    return f"""WITH x AS (SELECT {id_col}, regexp_extract_all({text_col}, '{pattern}') AS m FROM {table}),
+u AS (SELECT {id_col}, unnest(generate_series(0, len(m) - 1)) AS match_pos, unnest(m) AS match FROM x)
+SELECT {id_col}, CAST(match_pos AS INTEGER) AS match_pos, {m} AS match FROM u"""
 
 
 def _patterns():
@@ -492,7 +493,7 @@ def _patterns():
 _EP, _NP, _UP = _patterns()
 ORACLE["extract_emails"] = _extract_sql(_EP)
 ORACLE["extract_numbers"] = _extract_sql(_NP, numbers=True)
-ORACLE["extract_urls"] = _extract_sql(_UP)
+ORACLE["extract_urls"] = _extract_sql(_UP, table="pages", id_col="page_id", text_col="url")
 
 ORACLE["json_roundtrip"] = _w("""
 SELECT seq, taxpayer_id, status, balance FROM fx_account""", "fx_account")

@@ -569,7 +569,10 @@ def extract_numbers(spark, sf_dir):
 
 @query
 def extract_urls(spark, sf_dir):
-    return _extract(spark, sf_dir, "urls")
+    """URLs in page addresses (the page bodies hold only relative links)."""
+    from recordlink.functions.text import extract
+    pages = _cat(spark, sf_dir).pages
+    return extract(pages, "url", "urls", keep=["page_id"])
 
 
 # ---------------------------------------------------------------------------

@@ -123,6 +123,8 @@ def verify_manifest(spark: SparkSession, path: str, manifest_path: str | None =
                                       F.col("checksum").alias("m_checksum"), "algorithm")
     algo_row = m.select("algorithm").limit(1).collect()
     algorithm = algo_row[0][0] if algo_row else "sha256"
+    # files may have changed since they were last listed in this session
+    spark.catalog.refreshByPath(path)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", True).load(path))
     listing = files.select("path", F.col("length").alias("f_length"))

@@ -57,10 +57,16 @@ def stream_ingest(spark: SparkSession, src: str, dst: str, checkpoint: str, sche
     stream = r.load(src)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = batch
-        if key_fn is not None:
-            out = dedup_batch(batch, key_fn, key_col, order_by, _sink_keys(spark, dst, key_col))
-        out.write.mode("overwrite").parquet(f"{dst.rstrip('/')}/{BATCH_DIR}={batch_id}")
+        # the key de-dup reads the batch more than once: read the files once
+        b = batch.persist() if key_fn is not None else batch
+        try:
+            out = b
+            if key_fn is not None:
+                out = dedup_batch(b, key_fn, key_col, order_by, _sink_keys(spark, dst, key_col))
+            out.write.mode("overwrite").parquet(f"{dst.rstrip('/')}/{BATCH_DIR}={batch_id}")
+        finally:
+            if b is not batch:
+                b.unpersist()
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
