@@ -39,7 +39,7 @@ def test_truthy_per_type(spark):
 
 def test_normalize_collision_last_truthy(spark):
     df = spark.createDataFrame([("1", "A", "", "x"), ("2", "", "B", ""), ("3", "", "", "")],
-                               "seq string, zip string, zipcode string, Zip_Code string")
+                               "seq string, zip string, zipcode string, ZipCode string")
     n = S.normalize(df, keep=["seq"])
     assert n.columns == ["seq", "zip_code"]
     assert rows(n) == [("1", "x"), ("2", "B"), ("3", "")]
