@@ -38,8 +38,10 @@ def collapse(df: DataFrame, key: Column, order_by="seq", keep: str = "last",
 def _side(df: DataFrame, source: str, key_name: str, candidates, order_by, keep,
           synonyms=None) -> DataFrame:
     """Key on the raw record, normalise names, keep one row per key, prefix."""
-    from recordlink.operators.schema import normalize_field_name
-    d = normalize(df.withColumn(KEY, resolve_key(df, candidates)), synonyms, keep=[KEY])
+    from recordlink.operators.schema import _positional, normalize_field_name
+    p0, _, orig = _positional(df)   # names may differ only in case
+    d = normalize(p0.withColumn(KEY, resolve_key(p0, candidates, names=orig)), synonyms,
+                  keep=[KEY], names=orig)
     order = [normalize_field_name(c, synonyms) for c in _as_list(order_by)]
     d = pick_per_key(d, F.col(KEY), order_col(order), keep_nulls=False,
                      pick="max" if keep == "last" else "min", key_out=KEY)
