@@ -8,10 +8,19 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+_SCANS: dict = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, refresh: bool = False) -> DataFrame:
+    """Lazy scan of one table. The scan (file listing + footer schema) is built
+    once per session and path; ``refresh`` re-lists the files."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    if refresh or key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 class Catalog:
