@@ -524,3 +524,81 @@ SELECT r.taxpayer_id,
        THEN 'ValueError: lookup failed' END AS error,
   a.taxpayer_id IS NOT NULL AS from_cache
 FROM req r LEFT JOIN acc a ON r.taxpayer_id = a.taxpayer_id""", "fx_registry", "fx_account")
+
+_SQ = (f"concat_ws(' ', CASE WHEN {tr('taxpayer_name')} THEN taxpayer_name END, "
+       f"CASE WHEN {tr('taxpayer_address')} THEN taxpayer_address END, "
+       f"CASE WHEN {tr('taxpayer_city')} THEN taxpayer_city END, "
+       f"coalesce(CASE WHEN {tr('taxpayer_state')} THEN taxpayer_state END, 'TX'), "
+       f"CASE WHEN {tr('taxpayer_zip')} THEN taxpayer_zip END)")
+_UREG = f"""r AS (SELECT *, {sk('taxpayer_number')} AS k FROM fx_registry),
+u AS (SELECT * FROM r WHERE k IS NULL
+  UNION ALL SELECT * FROM r WHERE k IS NOT NULL QUALIFY row_number() OVER (PARTITION BY k ORDER BY seq) = 1)"""
+
+ORACLE["places_match"] = _w(f"""WITH {_UREG},
+q AS (SELECT *, {_SQ} AS search_query FROM u),
+resp AS (SELECT search_query, CASE WHEN outlet_name = '' THEN NULL ELSE concat('P', CAST(seq AS VARCHAR)) END AS first_id,
+  seq FROM q WHERE taxpayer_city <> 'GERMANY'),
+resp1 AS (SELECT * FROM resp QUALIFY row_number() OVER (PARTITION BY search_query ORDER BY seq) = 1)
+SELECT CASE WHEN {tr('q.taxpayer_number')} THEN q.taxpayer_number END AS taxpayer_id, q.search_query,
+  CASE WHEN {tr('q.search_query')} THEN r.first_id END AS place_id,
+  CASE WHEN NOT {tr('q.search_query')} OR r.search_query IS NULL THEN 'error'
+       WHEN r.first_id IS NOT NULL THEN 'found' ELSE 'not_found' END AS match_status
+FROM q LEFT JOIN resp1 r ON q.search_query = r.search_query""", "fx_registry")
+
+ORACLE["id_validation"] = _w(f"""
+SELECT seq, taxpayer_id, {_VALID_KEY} AS is_valid, {ck('taxpayer_id')} AS cleaned_id FROM fx_contacts""",
+                             "fx_contacts")
+
+ORACLE["smart_merge"] = _w("""
+SELECT a.taxpayer_id, p.seq, p.name AS business_name, a.status, p.place_id, a.address AS street_address,
+  'seq,taxpayer_id,status,entity_type,balance,legal_name,address,filing_date' AS left_fields,
+  'seq,taxpayer_id,place_id,details_status,name,rating,website,user_ratings_total' AS right_fields
+FROM fx_account a JOIN fx_places p ON a.taxpayer_id = p.taxpayer_id""", "fx_account", "fx_places")
+
+ORACLE["semantic_fields"] = _w("""
+SELECT seq, taxpayer_name AS business_name, taxpayer_number AS taxpayer_id, CAST(NULL AS VARCHAR) AS city
+FROM fx_registry""", "fx_registry")
+
+ORACLE["remove_empty"] = _w("""
+SELECT seq, nullif(taxpayer_id, '') AS taxpayer_id, nullif(business_name, '') AS business_name,
+  nullif(zip, '') AS zip, nullif(email, '') AS email, nullif(phone, '') AS phone FROM fx_contacts""",
+                            "fx_contacts")
+
+ORACLE["safe_casts"] = _w("""
+SELECT seq, coalesce(TRY_CAST(zip AS BIGINT), 0) AS zip_int, coalesce(TRY_CAST(zip AS DOUBLE), -1.0) AS zip_float,
+  greatest(100, least(seq, 1000)) AS seq_clamped FROM fx_contacts""", "fx_contacts")
+
+ORACLE["date_checks"] = _w("""
+SELECT seq, coalesce(try_strptime(outlet_permit_issue_date, '%Y-%m-%d') IS NOT NULL, false) AS valid_date,
+  coalesce(try_strptime(outlet_permit_issue_date, '%d/%m/%Y') IS NOT NULL, false) AS valid_dmy,
+  strftime(CAST(outlet_permit_issue_date AS DATE), '%d/%m/%Y') AS dmy
+FROM fx_registry""", "fx_registry")
+
+ORACLE["preview_rows"] = _w("""
+SELECT seq, taxpayer_number, taxpayer_name, taxpayer_city, taxpayer_state, taxpayer_zip, taxpayer_address,
+  outlet_number FROM fx_registry ORDER BY seq LIMIT 5""", "fx_registry")
+
+ORACLE["dedup_nullkeys_one"] = _w(f"""WITH {_DK}
+SELECT seq, taxpayer_number FROM r QUALIFY row_number() OVER (PARTITION BY dedup_key ORDER BY seq) = 1""",
+                                  "fx_registry")
+
+ORACLE["processing_summary"] = _w(f"""WITH ids AS (SELECT DISTINCT {ck('taxpayer_number')} AS taxpayer_id
+  FROM fx_registry WHERE {ck('taxpayer_number')} IS NOT NULL),
+{_STATUS},
+a AS (SELECT i.taxpayer_id, d.taxpayer_id IS NOT NULL AS hd, coalesce(st.n, 0) > 0 AS hf
+  FROM ids i LEFT JOIN fx_account d ON i.taxpayer_id = d.taxpayer_id LEFT JOIN st ON i.taxpayer_id = st.taxpayer_id)
+SELECT count(*) AS total_records, count(*) FILTER (WHERE hd) AS with_details,
+  count(*) FILTER (WHERE hf) AS with_ftas, 0 AS errors,
+  round(CAST(count(*) FILTER (WHERE hd) AS DOUBLE) / count(*) * 100.0, 6) AS with_details_pct,
+  round(CAST(count(*) FILTER (WHERE hf) AS DOUBLE) / count(*) * 100.0, 6) AS with_ftas_pct,
+  0.0 AS errors_pct FROM a""", "fx_registry", "fx_account", "fx_status")
+
+ORACLE["merge_row_counts"] = _w(f"""WITH {_COMBINED}
+SELECT 'registry' AS name, count(*) AS rows FROM fx_registry
+UNION ALL SELECT 'account', count(*) FROM fx_account
+UNION ALL SELECT 'combined', count(*) FROM comb""", *RF)
+
+ORACLE["landed_status"] = _w("""
+SELECT taxpayer_id, 0 AS pos, right_to_transact, report_year FROM fx_status""", "fx_status")
+
+ORACLE["arrow_batches"] = """SELECT c_custkey, CAST(length(c_name) AS BIGINT) AS name_len FROM customer"""

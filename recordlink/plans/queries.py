@@ -664,3 +664,149 @@ def lookup_batch(spark, sf_dir):
     schema = T.StructType([T.StructField("status", T.StringType())])
     return lb(keys, "taxpayer_id", _fetch_status, schema, max_parallel=8,
               cache=fx_account(cat).select("taxpayer_id", "status"))
+
+
+# ---------------------------------------------------------------------------
+# More inventory items: place matching, id split, smart merge, semantic
+# lookup, empty values, safe casts, dates, previews, summaries, landed bodies,
+# multi-dataset read, Arrow batches.
+# ---------------------------------------------------------------------------
+
+def _unique_registry(cat):
+    from recordlink.operators import dedup as D
+    return D.unique(D.dedup(fx_registry(cat)))
+
+
+@query
+def places_match(spark, sf_dir):
+    """Search text per record joined to landed search responses; responses
+    were landed for records outside one city, and list no hit for blank-named
+    outlets."""
+    from recordlink.operators.places import match_places, search_query as sq
+    cat = _cat(spark, sf_dir)
+    recs = _unique_registry(cat)
+    resp = recs.where(F.col("taxpayer_city") != "GERMANY").select(
+        F.col("seq"), sq(recs).alias("search_query"),
+        F.when(F.col("outlet_name") == "", F.array().cast("array<struct<id:string>>"))
+        .otherwise(F.array(F.struct(F.concat(F.lit("P"), F.col("seq").cast("string")).alias("id"))))
+        .alias("places"))
+    return match_places(recs, resp).select("taxpayer_id", "search_query", "place_id", "match_status")
+
+
+@query
+def id_validation(spark, sf_dir):
+    """Keys split into valid (cleaned) and invalid."""
+    from recordlink.functions.expr import clean_key, valid_key
+    c = fx_contacts(_cat(spark, sf_dir))
+    return c.select("seq", "taxpayer_id", valid_key("taxpayer_id").alias("is_valid"),
+                    clean_key("taxpayer_id").alias("cleaned_id"))
+
+
+@query
+def smart_merge(spark, sf_dir):
+    """C11: normalised overlay of two joined records, right side wins."""
+    from recordlink.operators.schema import smart_merge as sm
+    cat = _cat(spark, sf_dir)
+    m = sm(fx_account(cat), fx_places(cat), on="taxpayer_id", priority="right")
+    return m.select("taxpayer_id", "seq", "business_name", "status", "place_id", "street_address",
+                    F.array_join("_source_left_fields", ",").alias("left_fields"),
+                    F.array_join("_source_right_fields", ",").alias("right_fields"))
+
+
+@query
+def semantic_fields(spark, sf_dir):
+    """Values by canonical name, whatever the column is called."""
+    from recordlink.operators.schema import semantic_col
+    reg = fx_registry(_cat(spark, sf_dir))
+    return reg.select("seq", semantic_col(reg, "business_name").alias("business_name"),
+                      semantic_col(reg, "taxpayer_id").alias("taxpayer_id"),
+                      semantic_col(reg, "city").cast("string").alias("city"))
+
+
+@query
+def remove_empty(spark, sf_dir):
+    """Empty strings become NULL."""
+    from recordlink.operators.schema import remove_empty_values
+    return remove_empty_values(fx_contacts(_cat(spark, sf_dir)))
+
+
+@query
+def safe_casts(spark, sf_dir):
+    """Casts with defaults and clamping."""
+    from recordlink.functions.expr import clamp, safe_float, safe_int
+    c = fx_contacts(_cat(spark, sf_dir))
+    return c.select("seq", safe_int("zip").alias("zip_int"), safe_float("zip", -1.0).alias("zip_float"),
+                    clamp(F.col("seq"), 100, 1000).alias("seq_clamped"))
+
+
+@query
+def date_checks(spark, sf_dir):
+    """Strptime-style validation and formatting."""
+    from recordlink.functions.dates import format_datetime, valid_date
+    reg = fx_registry(_cat(spark, sf_dir))
+    return reg.select("seq", valid_date("outlet_permit_issue_date").alias("valid_date"),
+                      valid_date("outlet_permit_issue_date", "%d/%m/%Y").alias("valid_dmy"),
+                      format_datetime(F.to_date("outlet_permit_issue_date"), "%d/%m/%Y").alias("dmy"))
+
+
+@query
+def preview_rows(spark, sf_dir):
+    """H4: first five rows by input order, first eight fields."""
+    from recordlink.operators.search import first_n
+    return first_n(fx_registry(_cat(spark, sf_dir)), 5, "seq", columns=8)
+
+
+@query
+def dedup_nullkeys_one(spark, sf_dir):
+    """G8 (accelerated path): rows without key count as one key; one survives."""
+    from recordlink.operators import dedup as D
+    f = D.dedup(fx_registry(_cat(spark, sf_dir)), "key", null_keys="group")
+    return D.unique(f).select("seq", "taxpayer_number")
+
+
+@query
+def processing_summary(spark, sf_dir):
+    """lookup run summary over the account lookups."""
+    from recordlink.operators.aggregate import distinct_keys, processing_summary as ps
+    from recordlink.operators.schema import resolve_key
+    cat = _cat(spark, sf_dir)
+    reg = fx_registry(cat)
+    s = ps(_account_info(cat, distinct_keys(reg, resolve_key(reg))))
+    return s.select("total_records", "with_details", "with_ftas", "errors",
+                    F.round("with_details_pct", 6).alias("with_details_pct"),
+                    F.round("with_ftas_pct", 6).alias("with_ftas_pct"),
+                    F.round("errors_pct", 6).alias("errors_pct"))
+
+
+@query
+def merge_row_counts(spark, sf_dir):
+    """Rows in and out of a combine."""
+    from recordlink.operators.aggregate import row_counts
+    cat = _cat(spark, sf_dir)
+    reg, acc = fx_registry(cat), fx_account(cat)
+    return row_counts(registry=reg, account=acc, combined=C.combine(reg, acc))
+
+
+@query
+def landed_status(spark, sf_dir):
+    """A10: landed status bodies (single objects) read as lists of records."""
+    from recordlink.sources.landed import parse_status_body
+    st = fx_status(_cat(spark, sf_dir))
+    bodies = st.select("taxpayer_id", F.col("seq").alias("body_seq"),
+                       F.to_json(F.struct("right_to_transact", "report_year")).alias("body"))
+    p = parse_status_body(bodies.select("taxpayer_id", "body", "body_seq"), "body",
+                          "struct<right_to_transact:string,report_year:string>")
+    return p.select("taxpayer_id", F.col("pos").cast("int").alias("pos"), "right_to_transact",
+                    "report_year")
+
+
+@query
+def arrow_batches(spark, sf_dir):
+    """L1: a pandas function over Arrow batches of the customer table."""
+    from recordlink.streaming.lookup import map_batches
+
+    def fn(pdf):
+        return pdf.assign(name_len=pdf["c_name"].str.len().astype("int64"))[["c_custkey", "name_len"]]
+
+    c = _cat(spark, sf_dir).customer.select("c_custkey", "c_name")
+    return map_batches(c, fn, "c_custkey long, name_len long")
