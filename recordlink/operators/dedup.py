@@ -100,25 +100,25 @@ def flag_first(df: DataFrame, key: Column, order_by, null_keys: str = "keep",
     null_keys: ``keep`` (rows without key are never duplicates), ``drop`` (they
     are removed), ``group`` (NULL is one more key: its first row survives).
     keep: ``first`` or ``last``.
+
+    Plan: ``min(order)`` per key is a partial aggregate over the key and order
+    columns only; the rows are then flagged by a join on the *order value*, which
+    is unique, so no key - however hot, NULL included - lands in one task.
     """
+    if null_keys not in ("keep", "drop", "group"):
+        raise ValueError(f"null_keys must be keep, drop or group, not {null_keys!r}")
     d = df.withColumn(KEY, key).withColumn(ORD, order_col(order_by))
-    agg = F.min if keep == "first" else F.max
-    if null_keys == "group":
-        firsts = d.groupBy(KEY).agg(agg(ORD).alias(FIRST)).withColumnRenamed(KEY, KEY + "2")
-        j = d.join(firsts, d[KEY].eqNullSafe(firsts[KEY + "2"]), "inner")
-        out = j.withColumn(flag, F.col(ORD) != F.col(FIRST))
-        return _drop(out, KEY, KEY + "2", FIRST, ORD)
-    keyed = d.where(F.col(KEY).isNotNull())
-    firsts = keyed.groupBy(KEY).agg(agg(ORD).alias(FIRST))
-    flagged = (keyed.join(firsts, KEY, "inner")
-               .withColumn(flag, F.col(ORD) != F.col(FIRST)))
-    flagged = _drop(flagged, KEY, FIRST, ORD)
     if null_keys == "drop":
-        return flagged
-    if null_keys != "keep":
-        raise ValueError(f"null_keys must be keep, drop or group, not {null_keys!r}")
-    unkeyed = _drop(d.where(F.col(KEY).isNull()), KEY, ORD).withColumn(flag, F.lit(False))
-    return flagged.unionByName(unkeyed)
+        d = d.where(F.col(KEY).isNotNull())
+    agg = F.min if keep == "first" else F.max
+    grouped = d if null_keys == "group" else d.where(F.col(KEY).isNotNull())
+    firsts = (grouped.groupBy(KEY).agg(agg(ORD).alias(ORD))
+              .select(ORD, F.lit(True).alias(FIRST)))
+    j = d.join(firsts, ORD, "left")
+    is_dup = F.col(FIRST).isNull()
+    if null_keys == "keep":
+        is_dup = F.col(KEY).isNotNull() & is_dup
+    return _drop(j.withColumn(flag, is_dup), KEY, FIRST, ORD)
 
 
 def dedup(df: DataFrame, strategy: str = "key", key_fields: Sequence[str] | None = None,
