@@ -602,3 +602,10 @@ ORACLE["landed_status"] = _w("""
 SELECT taxpayer_id, 0 AS pos, right_to_transact, report_year FROM fx_status""", "fx_status")
 
 ORACLE["arrow_batches"] = """SELECT c_custkey, CAST(length(c_name) AS BIGINT) AS name_len FROM customer"""
+
+ORACLE["search_names"] = _w("""WITH names AS (SELECT DISTINCT lower(n_name) AS name FROM nation JOIN region
+    ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE'),
+j AS (SELECT n.name AS query_name, r.seq, r.taxpayer_city FROM fx_registry r
+    JOIN names n ON upper(r.taxpayer_city) = upper(n.name))
+SELECT query_name, seq, taxpayer_city FROM j
+  QUALIFY row_number() OVER (PARTITION BY query_name ORDER BY seq) <= 10""", "fx_registry")

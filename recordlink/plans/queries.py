@@ -810,3 +810,15 @@ def arrow_batches(spark, sf_dir):
 
     c = _cat(spark, sf_dir).customer.select("c_custkey", "c_name")
     return map_batches(c, fn, "c_custkey long, name_len long")
+
+
+@query
+def search_names(spark, sf_dir):
+    """First ten registry rows per requested city name (names of one region)."""
+    from recordlink.operators.search import search_names as sn
+    cat = _cat(spark, sf_dir)
+    names = cat.nation.join(cat.region.where(F.col("r_name") == "EUROPE"),
+                            F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.lower("n_name").alias("name"))
+    r = sn(fx_registry(cat), names, "taxpayer_city", per=10)
+    return r.select("query_name", "seq", "taxpayer_city")
