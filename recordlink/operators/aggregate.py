@@ -49,13 +49,32 @@ def group_agg(df: DataFrame, group_by: str | Sequence[str], spec: Mapping[str, s
             cond = e if cond is None else cond & e
         d = d.where(cond)
     ordc = order_col(order_by) if order_by is not None else None
-    aggs = []
+    aggs, distinct = [], []
     for field, funcs in spec.items():
         fl = _as_list(funcs)
         for fn in fl:
             name = field if len(fl) == 1 else f"{field}_{fn}"
-            aggs.append(_agg_expr(field, fn, ordc).alias(name))
-    return d.groupBy(*keys).agg(*aggs)
+            if fn == "nunique":
+                distinct.append((field, name))
+            else:
+                aggs.append(_agg_expr(field, fn, ordc).alias(name))
+    if not distinct:
+        return d.groupBy(*keys).agg(*aggs)
+    if not aggs:
+        return d.groupBy(*keys).agg(*[F.count_distinct(qcol(f)).alias(n) for f, n in distinct])
+    # A distinct count next to other aggregates makes Spark expand every row once
+    # per distinct column; instead count distinct values with a two-step
+    # aggregate (both steps partial) and join the one-row-per-group results.
+    out = d.groupBy(*keys).agg(*aggs)
+    for field, name in distinct:
+        dc = (d.select(*[qcol(k) for k in keys], qcol(field).alias("_rl_v")).distinct()
+              .groupBy(*keys).agg(F.count("_rl_v").alias(name)))
+        cond = None
+        for k in keys:
+            e = out[k].eqNullSafe(dc[k])
+            cond = e if cond is None else cond & e
+        out = out.join(dc, cond, "left").select(out["*"], dc[name])
+    return out
 
 
 def status_counts(df: DataFrame, status_col: str, decimals: int = 6) -> DataFrame:
