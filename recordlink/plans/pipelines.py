@@ -54,7 +54,7 @@ def clean_and_validate(df: DataFrame, out: str, required=()) -> dict:
     from recordlink.operators.schema import standardize
     v = Q.validate(standardize(Q.clean(df)), required).persist()
     try:
-        S.write_all(v.drop("errors").withColumn("errors", F.array_join(v["errors"], "; ")), out)
+        S.write_all(v.withColumn("errors", F.array_join("errors", "; ")), out)
         return Q.validation_summary(v).first().asDict()
     finally:
         v.unpersist()
@@ -81,18 +81,44 @@ def dedup_file(spark: SparkSession, path: str, out: str, strategy: str = "key",
 
 
 def polish_outlets(source: DataFrame, deduped: DataFrame, out: str, merged: bool = True,
-                   order_by="seq") -> DataFrame:
+                   order_by="seq") -> dict:
     """M9: outlets from the raw source attached to the de-duplicated records;
-    returns F8 stats (the outlet list itself is written beside the records)."""
+    the outlet list is written beside the records. Returns F8 stats."""
     outl = O.collect_outlets(source, order_by=order_by)
     attached = (O.attach_merged_outlets(deduped, outl, order_by=order_by) if merged
                 else O.attach_outlets(deduped, outl, order_by=order_by)).persist()
     try:
         S.write_all(attached, f"{out.rstrip('/')}/records")
         outl.write.mode("overwrite").parquet(f"{out.rstrip('/')}/outlets")
-        return O.outlet_stats(source, attached)
+        return {r.metric: r.value for r in O.outlet_stats(source, attached).collect()}
     finally:
-        pass
+        attached.unpersist()
+
+
+def validate_after_dedup(flagged: DataFrame, order_by="_in_seq", required=(), show: int = 5):
+    """M8: validation summary of the unique rows and their first errors (H3)."""
+    v = Q.validate(D.unique(flagged), required)
+    return Q.validation_summary(v), Q.validation_errors(v, order_by, limit=100, with_index=False).limit(show)
+
+
+def load_datasets(spark: SparkSession, paths: dict, out: str, limit_per_dataset: int | None = None,
+                  fmt: str | None = None) -> None:
+    """Several datasets appended to one output partitioned by dataset."""
+    df = R.read_datasets(spark, paths, fmt, limit_per_dataset=limit_per_dataset, order_by="_in_seq")
+    S.write_by_source(df.drop("_in_seq"), out, source_col="dataset_id", mode="append")
+
+
+def places_two_step(records: DataFrame, search_responses: DataFrame, detail_responses: DataFrame,
+                    out: str | None = None, order_by="seq"):
+    """Search text -> place id (A13) -> found ids only (D5) -> details (A14);
+    returns the details and their status counts (F13)."""
+    from recordlink.operators.aggregate import status_counts
+    matched = P.match_places(records, search_responses, order_by=order_by)
+    found = matched.where(F.col("match_status") == "found")
+    details = P.place_details(found, detail_responses, order_by=order_by)
+    if out:
+        S.write_all(details, out)
+    return details, status_counts(details, "details_status")
 
 
 def registry_download(spark: SparkSession, pages_dir: str, history: DataFrame, out: str,
