@@ -14,8 +14,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlink.functions.expr import (as_string, first_truthy, percentage, qcol, strip,
-                                       truthy, truthy_of)
+from recordlink.functions.expr import as_string, percentage, qcol, strip, truthy_of
 from recordlink.operators.dedup import KEY, _as_list, flag_first, order_col, pick_per_key
 from recordlink.operators.schema import TAXPAYER_ID_FIELDS, normalize, prefix, rename_fields, resolve_key
 

@@ -12,7 +12,6 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from recordlink.functions.expr import as_string, first_truthy, qcol, truthy, truthy_of
 from recordlink.operators.dedup import order_col, pick_per_key
