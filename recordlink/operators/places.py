@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlink.functions.expr import as_string, first_truthy, qcol, truthy, truthy_of
+from recordlink.functions.expr import as_string, first_truthy, qcol, strip, truthy_of
 from recordlink.operators.dedup import order_col, pick_per_key
 
 # ---------------------------------------------------------------------------
@@ -76,8 +76,9 @@ def match_places(records: DataFrame, responses: DataFrame, query_col: str = "sea
     """Place id per record from landed search responses.
 
     ``responses`` holds ``search_query`` and ``places`` (array of structs with
-    ``id``), the last response per query wins. Status: ``found`` (first hit's id),
-    ``not_found`` (empty hit list), ``error`` (no response or blank query).
+    ``id``), the last response per query wins. Status: ``found`` (non-empty hit
+    list; ``place_id`` is the first hit's id), ``not_found`` (empty hit list),
+    ``error`` (no response, or a query that is blank once stripped).
     """
     r = records.withColumn("search_query", search_query(records)).withColumn(
         "_rl_tid", record_key(records))
@@ -86,9 +87,10 @@ def match_places(records: DataFrame, responses: DataFrame, query_col: str = "sea
     j = r.join(resp.select("_rl_q", F.col(hits_col).alias("_rl_hits")),
                r["search_query"] == F.col("_rl_q"), "left")
     first_id = F.get(F.col("_rl_hits"), 0)["id"]
-    blank = ~truthy(F.col("search_query"))
+    blank = strip(F.col("search_query")) == ""
     status = (F.when(blank | F.col("_rl_q").isNull(), F.lit("error"))
-              .when(first_id.isNotNull(), F.lit("found")).otherwise(F.lit("not_found")))
+              .when(F.coalesce(F.size("_rl_hits"), F.lit(0)) > 0, F.lit("found"))
+              .otherwise(F.lit("not_found")))
     return j.select(F.col("_rl_tid").alias("taxpayer_id"), "search_query",
                     F.when(~blank, first_id).alias("place_id"), status.alias("match_status"))
 

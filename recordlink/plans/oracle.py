@@ -537,12 +537,12 @@ u AS (SELECT * FROM r WHERE k IS NULL
 ORACLE["places_match"] = _w(f"""WITH {_UREG},
 q AS (SELECT *, {_SQ} AS search_query FROM u),
 resp AS (SELECT search_query, CASE WHEN outlet_name = '' THEN NULL ELSE concat('P', CAST(seq AS VARCHAR)) END AS first_id,
-  seq FROM q WHERE taxpayer_city <> 'GERMANY'),
+  outlet_name <> '' AS has_hits, seq FROM q WHERE taxpayer_city <> 'GERMANY'),
 resp1 AS (SELECT * FROM resp QUALIFY row_number() OVER (PARTITION BY search_query ORDER BY seq) = 1)
 SELECT CASE WHEN {tr('q.taxpayer_number')} THEN q.taxpayer_number END AS taxpayer_id, q.search_query,
-  CASE WHEN {tr('q.search_query')} THEN r.first_id END AS place_id,
-  CASE WHEN NOT {tr('q.search_query')} OR r.search_query IS NULL THEN 'error'
-       WHEN r.first_id IS NOT NULL THEN 'found' ELSE 'not_found' END AS match_status
+  CASE WHEN {strip('q.search_query')} <> '' THEN r.first_id END AS place_id,
+  CASE WHEN {strip('q.search_query')} = '' OR r.search_query IS NULL THEN 'error'
+       WHEN r.has_hits THEN 'found' ELSE 'not_found' END AS match_status
 FROM q LEFT JOIN resp1 r ON q.search_query = r.search_query""", "fx_registry")
 
 ORACLE["id_validation"] = _w(f"""
