@@ -42,12 +42,15 @@ def dedup_batch(batch: DataFrame, key_fn: Callable[[DataFrame], Column], key_col
 def stream_ingest(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: T.StructType,
                   fmt: str = "json", key_fn: Callable[[DataFrame], Column] | None = None,
                   key_col: str = "taxpayer_id", order_by="seq",
-                  max_files_per_trigger: int | None = None, timeout_s: float | None = None) -> list:
+                  max_files_per_trigger: int | None = None, timeout_s: float | None = None,
+                  event_time_col: str | None = None, late_after: str = "1 day") -> list:
     """Process every file not yet seen under ``src`` and stop (``availableNow``).
 
     Returns the run report: one dict per micro-batch (K6). With ``key_fn`` each
     batch keeps only keys never written to ``dst`` (first per key inside the
-    batch); without it every row is appended.
+    batch); without it every row is appended. With ``event_time_col`` the stream
+    also drops repeated keys inside a watermark (``dropDuplicatesWithinWatermark``),
+    whose state is bounded by ``late_after``; the sink anti-join still applies.
     """
     r = spark.readStream.format("json" if fmt in ("json", "jsonl") else fmt).schema(schema)
     if fmt == "csv":
@@ -55,6 +58,10 @@ def stream_ingest(spark: SparkSession, src: str, dst: str, checkpoint: str, sche
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = r.load(src)
+    if event_time_col and key_fn is not None:
+        k = stream.withColumn("_rl_skey", key_fn(stream)).withWatermark(event_time_col, late_after)
+        keyed = k.where(F.col("_rl_skey").isNotNull()).dropDuplicatesWithinWatermark(["_rl_skey"])
+        stream = keyed.unionByName(k.where(F.col("_rl_skey").isNull())).drop("_rl_skey")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # the key de-dup reads the batch more than once: read the files once

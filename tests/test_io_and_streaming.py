@@ -99,3 +99,30 @@ def test_lookup_errors_and_cache(spark):
     assert out["3"].v is None and out["3"].error.startswith("RuntimeError")
     m = map_batches(spark.range(10), lambda pdf: pdf.assign(id=pdf["id"] * 2), "id long")
     assert sorted(r.id for r in m.collect()) == list(range(0, 20, 2))
+
+
+def test_stream_watermark_dedup(spark):
+    d = _tmp()
+    src, dst, ck = os.path.join(d, "src"), os.path.join(d, "dst"), os.path.join(d, "ck")
+    schema = "seq long, taxpayer_id string, ts timestamp"
+    from recordlink.operators.schema import resolve_key
+    rows = [(1, "12345678901", "2024-01-01 00:00:00"), (2, "12345678901", "2024-01-01 01:00:00"),
+            (3, "99999999999", "2024-01-01 02:00:00")]
+    spark.createDataFrame(rows, "seq long, taxpayer_id string, ts string") \
+        .withColumn("ts", F.to_timestamp("ts")).write.json(src + "/drop=1")
+    st = spark.createDataFrame([], schema).schema
+    stream_ingest(spark, src, dst, ck, st, key_fn=resolve_key, event_time_col="ts", late_after="1 day")
+    got = sorted(r.taxpayer_id for r in read_ingested(spark, dst).collect())
+    assert got == ["12345678901", "99999999999"]
+
+
+def test_stream_watermark_keeps_keyless_rows(spark):
+    d = _tmp()
+    src, dst, ck = os.path.join(d, "src"), os.path.join(d, "dst"), os.path.join(d, "ck")
+    from recordlink.operators.schema import resolve_key
+    spark.createDataFrame([(1, "", "2024-01-01 00:00:00"), (2, "", "2024-01-01 00:10:00"),
+                           (3, "12345678901", "2024-01-01 00:20:00")], "seq long, taxpayer_id string, ts string") \
+        .withColumn("ts", F.to_timestamp("ts")).write.json(src + "/drop=1")
+    st = spark.createDataFrame([], "seq long, taxpayer_id string, ts timestamp").schema
+    stream_ingest(spark, src, dst, ck, st, key_fn=resolve_key, event_time_col="ts")
+    assert sorted(r.seq for r in read_ingested(spark, dst).collect()) == [1, 2, 3]
