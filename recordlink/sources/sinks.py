@@ -150,3 +150,32 @@ def fingerprint(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.col("h").cast("decimal(38,0)")).alias("hash_sum"),
         F.bit_xor("h").alias("hash_xor"))
+
+
+def verify_and_load(spark: SparkSession, path: str, fmt: str | None = None,
+                    manifest_path: str | None = None, glob: str = "*"):
+    """Load a written output after checking its manifest.
+
+    As in the reference, a failed check does not stop the load: the statuses are
+    returned beside the data (and a warning is logged) so the caller decides. A
+    missing manifest counts as "skipped".
+    """
+    import logging
+    from recordlink.sources.readers import read_auto
+    mp = manifest_path or f"{path.rstrip('/')}{MANIFEST_NAME}"
+    try:
+        statuses = verify_manifest(spark, path, mp, glob)
+        bad = statuses.where(F.col("status") != "verified").limit(1).count()
+        if bad:
+            logging.getLogger(__name__).warning("manifest check failed for %s", path)
+    except Exception:  # noqa: BLE001 - no manifest: verification skipped
+        statuses = spark.createDataFrame([(path, "skipped")], "path string, status string")
+    return read_auto(spark, path, fmt), statuses
+
+
+def folder_stats(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """Item count and bytes of a cache or work folder (F15); contents not read."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", True).load(path).select("length", "modificationTime"))
+    return files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
+                     F.max("modificationTime").alias("newest"))

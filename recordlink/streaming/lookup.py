@@ -44,6 +44,8 @@ def lookup_batch(keys: DataFrame, key: str, fetch_fn: Callable[[str], dict | Non
     ``from_cache``. Cached rows (``cache`` holding ``key`` and the schema fields)
     are used as they are; the rest go to ``fetch_fn`` in ``max_parallel``
     partitions. ``fetch_fn`` returns a dict of schema fields or None (not found).
+    Every action on the result runs the lookups again: ``persist`` it (or write
+    it) before using it twice.
     """
     ck = cache_key or key
     k = keys.select(F.col(key).cast("string").alias(key)).where(F.col(key).isNotNull()).distinct()
@@ -85,3 +87,12 @@ def lookup_batch(keys: DataFrame, key: str, fetch_fn: Callable[[str], dict | Non
 
 def key_of(c: Column) -> Column:
     return c.cast("string")
+
+
+def append_to_cache(results: DataFrame, cache_path: str, cache_errors: bool = False) -> None:
+    """Append freshly fetched rows to a Parquet cache table (E11). Rows that came
+    from the cache are not written again; error rows only with ``cache_errors``."""
+    new = results.where(~F.col("from_cache"))
+    if not cache_errors:
+        new = new.where(F.col("error").isNull())
+    new.drop("from_cache").write.mode("append").parquet(cache_path)

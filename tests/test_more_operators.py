@@ -90,3 +90,36 @@ def test_match_keys_and_run_report(spark):
     assert [tuple(r) for r in C.match_keys(a, b).collect()] == [("1", "x", "P1")]
     rep = run_report(spark, [{"batch_id": 0, "input_rows": 3, "timestamp": "t"}])
     assert rep.first().input_rows == 3
+
+
+def test_verify_and_load_and_folder_stats(spark):
+    d = _tmp()
+    p = os.path.join(d, "out")
+    spark.range(10).write.parquet(p)
+    df, st = S2.verify_and_load(spark, p, fmt="parquet", glob="*.parquet")
+    assert df.count() == 10 and [r.status for r in st.collect()] == ["skipped"]
+    S2.write_manifest(spark, p, glob="*.parquet")
+    df, st = S2.verify_and_load(spark, p, fmt="parquet", glob="*.parquet")
+    assert {r.status for r in st.collect()} == {"verified"}
+    fs = S2.folder_stats(spark, p, "*.parquet").first()
+    assert fs.files >= 1 and fs.bytes > 0
+
+
+def test_append_to_cache(spark):
+    from recordlink.streaming.lookup import append_to_cache, lookup_batch
+    d = _tmp()
+    cache_path = os.path.join(d, "cache")
+    schema = T.StructType([T.StructField("v", T.StringType())])
+    keys = spark.createDataFrame([("1",), ("2",), ("3",)], "k string")
+
+    def fetch(k):
+        if k == "3":
+            raise ValueError("x")
+        return {"v": "f" + k}
+
+    r1 = lookup_batch(keys, "k", fetch, schema, max_parallel=2).persist()
+    append_to_cache(r1, cache_path)
+    cache = spark.read.parquet(cache_path)
+    assert sorted(r.k for r in cache.collect()) == ["1", "2"]
+    r2 = {r.k: r for r in lookup_batch(keys, "k", fetch, schema, max_parallel=2, cache=cache).collect()}
+    assert r2["1"].from_cache and r2["2"].from_cache and not r2["3"].from_cache
