@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from recordlink.functions.expr import as_string, percentage, qcol, strip, truthy_of
 from recordlink.operators.dedup import KEY, _as_list, flag_first, order_col, pick_per_key
 from recordlink.operators.schema import TAXPAYER_ID_FIELDS, normalize, prefix, rename_fields, resolve_key
+from recordlink.operators.skew import salted_join
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for right results.
@@ -182,7 +183,7 @@ def enrich(base: DataFrame, extra: DataFrame, on: str = "taxpayer_id",
     ex = ex.select(F.col(KEY).alias("_rl_ek"), *[qcol(c).alias(f"{prefix_}{c}") for c in keep_cols])
     b = base.withColumn("_rl_bk", as_string(qcol(on), base.schema[on].dataType)
                         if on in base.columns else F.lit(None).cast("string"))
-    return (b.join(ex, b["_rl_bk"] == ex["_rl_ek"], "left").drop("_rl_bk", "_rl_ek"))
+    return salted_join(b, ex.withColumnRenamed("_rl_ek", "_rl_bk"), "_rl_bk", "left").drop("_rl_bk")
 
 
 def attach_account(base: DataFrame, accounts: DataFrame, id_field: str = "taxpayer_id",
@@ -204,7 +205,7 @@ def attach_account(base: DataFrame, accounts: DataFrame, id_field: str = "taxpay
                           F.col("has_ftas").alias(f"{prefix_}has_ftas"),
                           F.col("ftas_count").alias(f"{prefix_}ftas_count"))
     b = base.withColumn("_rl_bk", strip(as_string(qcol(id_field), base.schema[id_field].dataType)))
-    return b.join(acc, b["_rl_bk"] == acc["_rl_ak"], "left").drop("_rl_bk", "_rl_ak")
+    return salted_join(b, acc.withColumnRenamed("_rl_ak", "_rl_bk"), "_rl_bk", "left").drop("_rl_bk")
 
 
 def merge_outer(left: DataFrame, right: DataFrame, on: str | Sequence[str],
@@ -236,10 +237,10 @@ def incremental_ids(df: DataFrame, existing: DataFrame, id_field: str = "taxpaye
     """Rows whose truthy ``id_field`` is not in ``existing`` (E9). Rows without an
     id are dropped; repeats inside the batch are kept."""
     ef = existing_field or id_field
-    ex = existing.select(as_string(qcol(ef), existing.schema[ef].dataType).alias("_rl_x")).distinct()
-    d = df.where(truthy_of(df, id_field))
-    return d.join(ex, as_string(qcol(id_field), df.schema[id_field].dataType) == ex["_rl_x"],
-                  "left_anti")
+    ex = existing.select(as_string(qcol(ef), existing.schema[ef].dataType).alias("_rl_ik")).distinct()
+    d = df.where(truthy_of(df, id_field)).withColumn(
+        "_rl_ik", as_string(qcol(id_field), df.schema[id_field].dataType))
+    return salted_join(d, ex, "_rl_ik", "left_anti").drop("_rl_ik")
 
 
 def new_records(df: DataFrame, existing_keys: DataFrame, key: Column | None = None,
@@ -254,10 +255,10 @@ def new_records(df: DataFrame, existing_keys: DataFrame, key: Column | None = No
     k = key if key is not None else resolve_key(df)
     if not dedup_when_empty and existing_keys.isEmpty():
         return df
-    ex = existing_keys.select(qcol(existing_key_col).alias("_rl_x")).where(
-        F.col("_rl_x").isNotNull()).distinct()
+    ex = existing_keys.select(qcol(existing_key_col).alias("_rl_nk")).where(
+        F.col("_rl_nk").isNotNull()).distinct()
     d = df.withColumn("_rl_nk", k)
-    fresh = d.join(ex, d["_rl_nk"] == ex["_rl_x"], "left_anti")
+    fresh = salted_join(d, ex, "_rl_nk", "left_anti")
     out = flag_first(fresh, F.col("_rl_nk"), order_by,
                      null_keys="keep" if keep_null else "drop")
     return out.where(~F.col("is_duplicate")).drop("is_duplicate", "_rl_nk")

@@ -184,18 +184,20 @@ def detect_duplicates(df: DataFrame, key_field: str = "taxpayer_id", order_by="s
 # ---------------------------------------------------------------------------
 
 def duplicate_groups(df: DataFrame, key_fields: Sequence[str] | None = None,
-                     key: Column | None = None, key_name: str = "group_key") -> DataFrame:
+                     key: Column | None = None, key_name: str = "group_key",
+                     hot_rows: int | None = None) -> DataFrame:
     """Rows of keys seen more than once (F4), long form: the key and the group
     size are added to each row. Order inside a group is the order column's.
 
-    Groups are never collected into arrays, so a hot key costs no more than its
-    rows; the count is a partial aggregate joined back on the key.
+    Groups are never collected into arrays; the count is a partial aggregate
+    joined back on the key, with hot keys split over several tasks.
     """
+    from recordlink.operators.skew import HOT_ROWS, salted_join
     k = key if key is not None else stripped_key(df, key_fields or GROUP_KEY_FIELDS)
     d = df.withColumn(key_name, k).where(F.col(key_name).isNotNull())
     sizes = (d.groupBy(key_name).agg(F.count(F.lit(1)).alias("group_size"))
              .where(F.col("group_size") > 1))
-    return d.join(sizes, key_name, "inner")
+    return salted_join(d, sizes, key_name, "inner", hot_rows or HOT_ROWS)
 
 
 def _merge_value(df: DataFrame, name: str, ordc: Column) -> Column:

@@ -75,10 +75,12 @@ def _merged_outlets(outlets: DataFrame, key_name: str, order_by, fs) -> DataFram
 
 def _attach(base: DataFrame, per_key: DataFrame, fs, key_fields, cond_fn, count_expr,
             flag: str) -> DataFrame:
+    from recordlink.operators.skew import salted_join
     bk = stripped_key(base, key_fields)
     b = base.withColumn("_rl_bk", bk)
-    j = b.join(per_key.select(OKEY, *[qcol(f).alias(f"_rl_o_{f}") for f in fs], "_n"),
-               b["_rl_bk"] == F.col(OKEY), "left")
+    j = salted_join(b, per_key.select(F.col(OKEY).alias("_rl_bk"), F.lit(True).alias(OKEY),
+                                      *[qcol(f).alias(f"_rl_o_{f}") for f in fs], "_n"),
+                    "_rl_bk", "left")
     matched = F.col(OKEY).isNotNull()
     do = cond_fn(matched)
     sel = []

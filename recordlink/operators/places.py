@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from recordlink.functions.expr import as_string, first_truthy, qcol, strip, truthy_of
 from recordlink.operators.dedup import order_col, pick_per_key
+from recordlink.operators.skew import salted_join
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for right results. The second /
@@ -83,9 +84,10 @@ def match_places(records: DataFrame, responses: DataFrame, query_col: str = "sea
     r = records.withColumn("search_query", search_query(records)).withColumn(
         "_rl_tid", record_key(records))
     resp = pick_per_key(responses, qcol(query_col), order_col(order_by), keep_nulls=False,
-                        key_out="_rl_q")
-    j = r.join(resp.select("_rl_q", F.col(hits_col).alias("_rl_hits")),
-               r["search_query"] == F.col("_rl_q"), "left")
+                        key_out="_rl_rq")
+    j = salted_join(r, resp.select(F.col("_rl_rq").alias("search_query"),
+                                   F.col(hits_col).alias("_rl_hits"), F.lit(True).alias("_rl_q")),
+                    "search_query", "left")
     first_id = F.get(F.col("_rl_hits"), 0)["id"]
     blank = strip(F.col("search_query")) == ""
     status = (F.when(blank | F.col("_rl_q").isNull(), F.lit("error"))
@@ -129,11 +131,12 @@ def place_details(requests: DataFrame, responses: DataFrame, order_by="seq",
     t = transform_place(responses, keep=[id_col, *[c for c in [order_by] if c in responses.columns]])
     t = pick_per_key(t, qcol(id_col), order_col(order_by), keep_nulls=False, key_out="_rl_pid")
     t = t.drop(id_col, *[c for c in [order_by] if c in t.columns])
-    req = requests.withColumn("_rl_has", truthy_of(requests, id_col))
-    j = req.join(t, req[id_col] == F.col("_rl_pid"), "left")
+    req = requests.withColumn("_rl_has", truthy_of(requests, id_col)).withColumn(
+        "_rl_pid", qcol(id_col))
+    j = salted_join(req, t.withColumn("_rl_found", F.lit(True)), "_rl_pid", "left")
     status = (F.when(~F.col("_rl_has"), F.lit("no_place_id"))
-              .when(F.col("_rl_pid").isNotNull(), F.lit("success")).otherwise(F.lit("error")))
-    return j.withColumn("details_status", status).drop("_rl_has", "_rl_pid")
+              .when(F.col("_rl_found").isNotNull(), F.lit("success")).otherwise(F.lit("error")))
+    return j.withColumn("details_status", status).drop("_rl_has", "_rl_pid", "_rl_found")
 
 
 def attach_places(base: DataFrame, places: DataFrame, order_by="seq",
@@ -152,7 +155,8 @@ def attach_places(base: DataFrame, places: DataFrame, order_by="seq",
     fs = [f for f in fields if f in places.columns]
     k = as_string(qcol(place_key), places.schema[place_key].dataType)
     p = pick_per_key(ok, k, order_col(order_by), keep_nulls=False, pick="max", key_out="_rl_pk")
-    p = p.select("_rl_pk", *[qcol(f).alias(f"{prefix_}{f}") for f in fs])
+    p = p.select(F.col("_rl_pk").alias("_rl_bk"), F.lit(True).alias("_rl_pk"),
+                 *[qcol(f).alias(f"{prefix_}{f}") for f in fs])
     b = base.withColumn("_rl_bk", first_truthy(base, base_key))
-    j = b.join(p, b["_rl_bk"] == p["_rl_pk"], "left")
+    j = salted_join(b, p, "_rl_bk", "left")
     return j.withColumn(flag, F.col("_rl_pk").isNotNull()).drop("_rl_bk", "_rl_pk")

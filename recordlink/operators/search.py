@@ -72,8 +72,10 @@ def search_names(df: DataFrame, names: DataFrame, column: str, name_col: str = "
                  per: int = 10, order_by="seq") -> DataFrame:
     """For each requested name, its first ``per`` exact (case-insensitive) matches
     (D7); names without a match are absent."""
+    from recordlink.operators.skew import salted_join
     n = names.select(F.upper(qcol(name_col)).alias("_rl_name"), qcol(name_col).alias("query_name")).distinct()
-    j = df.join(n, F.upper(qcol(column)) == F.col("_rl_name"), "inner").drop("_rl_name")
+    d = df.withColumn("_rl_name", F.upper(qcol(column)))
+    j = salted_join(d, n, "_rl_name", "inner").drop("_rl_name")
     return top_n(j, "query_name", per, _as_list(order_by))
 
 
