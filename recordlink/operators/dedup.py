@@ -197,7 +197,8 @@ def duplicate_groups(df: DataFrame, key_fields: Sequence[str] | None = None,
     d = df.withColumn(key_name, k).where(F.col(key_name).isNotNull())
     sizes = (d.groupBy(key_name).agg(F.count(F.lit(1)).alias("group_size"))
              .where(F.col("group_size") > 1))
-    return salted_join(d, sizes, key_name, "inner", hot_rows or HOT_ROWS)
+    return salted_join(d, sizes, key_name, "inner", hot_rows or HOT_ROWS,
+                       counts=sizes, count_col="group_size")
 
 
 def _merge_value(df: DataFrame, name: str, ordc: Column) -> Column:

@@ -14,7 +14,9 @@ task. ``salted_join`` splits such keys explicitly:
 4. rows with a NULL key never match, so they are spread by the same hash.
 
 The result equals the plain join for inner, left, left-semi and left-anti joins;
-only the partitioning differs.
+only the partitioning differs. The salt is a hash of the whole row, so it is the
+same on every re-execution; the rows the operators join carry their unique
+order column, so copies of a record still spread.
 """
 
 from __future__ import annotations
@@ -34,22 +36,29 @@ SALT = "_rl_salt"
 NSALT = "_rl_nsalt"
 
 
-def hot_keys(big: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``(key, n)`` for keys with more than ``hot_rows`` rows; n = salt count."""
-    c = big.where(qcol(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rl_cnt"))
+def hot_keys(big: DataFrame, key: str, hot_rows: int = HOT_ROWS,
+             counts: DataFrame | None = None, count_col: str = "count") -> DataFrame:
+    """``(key, n)`` for keys with more than ``hot_rows`` rows; n = salt count.
+    ``counts`` (key, ``count_col``) reuses per-key row counts already computed."""
+    if counts is not None:
+        c = counts.select(qcol(key), F.col(count_col).alias("_rl_cnt"))
+    else:
+        c = big.where(qcol(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rl_cnt"))
     return (c.where(F.col("_rl_cnt") > hot_rows)
             .select(qcol(key), F.ceil(F.col("_rl_cnt") / F.lit(hot_rows)).cast("int").alias(NSALT)))
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "left",
-                hot_rows: int = HOT_ROWS, salt_cols: Sequence[str] | None = None) -> DataFrame:
+                hot_rows: int = HOT_ROWS, salt_cols: Sequence[str] | None = None,
+                counts: DataFrame | None = None, count_col: str = "count") -> DataFrame:
     """Join ``small`` (at most one row per key) onto ``big`` on column ``key``,
     splitting hot keys of ``big`` over several tasks. ``how``: inner, left,
     left_semi or left_anti. ``salt_cols`` (default: all of ``big``) feed the
-    row hash that picks a salt."""
+    row hash that picks a salt. ``counts`` gives per-key row counts of ``big``
+    when the caller has them (saves the counting pass)."""
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support {how!r}")
-    hot = F.broadcast(hot_keys(big, key, hot_rows))
+    hot = F.broadcast(hot_keys(big, key, hot_rows, counts, count_col))
     h = F.xxhash64(*[qcol(c) for c in (salt_cols or big.columns)])
     b = big.join(hot, key, "left")
     b = b.withColumn(SALT, F.when(qcol(key).isNull(), F.pmod(h, F.lit(NULL_SPREAD)))
