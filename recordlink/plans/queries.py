@@ -707,7 +707,7 @@ def smart_merge(spark, sf_dir):
     """C11: normalised overlay of two joined records, right side wins."""
     from recordlink.operators.schema import smart_merge as sm
     cat = _cat(spark, sf_dir)
-    m = sm(fx_account(cat), fx_places(cat), on="taxpayer_id", priority="right")
+    m = sm(fx_account(cat), fx_places(cat), on="taxpayer_id", priority="right", order_by="seq")
     return m.select("taxpayer_id", "seq", "business_name", "status", "place_id", "street_address",
                     F.array_join("_source_left_fields", ",").alias("left_fields"),
                     F.array_join("_source_right_fields", ",").alias("right_fields"))
