@@ -136,11 +136,14 @@ def outlet_stats(source: DataFrame, attached: DataFrame, key_fields: Sequence[st
     fs = outlet_fields(source, fields)
     k = stripped_key(source, key_fields)
     ho = has_outlet(source, fs)
-    s = source.select(k.alias("k"), ho.alias("ho")).agg(
-        F.count(F.lit(1)).alias("total_source_records"),
-        F.count_distinct("k").alias("unique_taxpayers"),
-        F.count_distinct(F.when(F.col("ho"), F.col("k"))).alias("taxpayers_with_outlets"),
-        F.count_if(F.col("k").isNotNull() & F.col("ho")).alias("total_outlets_found"))
+    # per key first (partial aggregation before the shuffle), then over the keys
+    g = source.select(k.alias("k"), ho.alias("ho")).groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("ho")).alias("n_ho"))
+    s = g.agg(F.sum("n").cast("bigint").alias("total_source_records"),
+              F.count("k").alias("unique_taxpayers"),
+              F.count_if(F.col("k").isNotNull() & (F.col("n_ho") > 0)).alias("taxpayers_with_outlets"),
+              F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("n_ho"))), F.lit(0))
+              .cast("bigint").alias("total_outlets_found"))
     a = attached.agg(F.count_if(F.col(flag)).alias("records_enriched"),
                      F.count_if(~F.col(flag)).alias("records_unchanged"))
     names_s = ["total_source_records", "unique_taxpayers", "taxpayers_with_outlets",

@@ -179,11 +179,18 @@ def quality_report(df: DataFrame, key_field: str = "taxpayer_id", required: Sequ
     (raw key, NULL counted as a key) and rate, valid / invalid and rate. Field
     completeness is ``completeness(df)``."""
     errs = validation_errors_col(df, required, null_is_absent)
-    d = df.withColumn("_rl_valid", F.size(errs) == 0)
-    a = d.agg(F.count(F.lit(1)).alias("total_records"),
-              duplicate_count(df, key_field).alias("duplicate_count"),
-              F.count_if(F.col("_rl_valid")).alias("valid_records"),
-              F.count_if(~F.col("_rl_valid")).alias("invalid_records"))
+    d = df.select((F.size(errs) == 0).alias("_rl_valid"),
+                  (qcol(key_field) if key_field in df.columns else F.lit(None)).alias("_rl_k"))
+    # rows per raw key value first (NULL is one group, as it is one key here);
+    # partial aggregation runs before the shuffle, so a hot key costs nothing
+    g = d.groupBy("_rl_k").agg(F.count(F.lit(1)).alias("_rl_n"),
+                               F.count_if(F.col("_rl_valid")).alias("_rl_v"))
+    dup = (F.sum("_rl_n") - F.count(F.lit(1))) if key_field in df.columns else F.lit(0)
+    a = g.agg(F.coalesce(F.sum("_rl_n"), F.lit(0)).cast("bigint").alias("total_records"),
+              F.coalesce(dup, F.lit(0)).cast("bigint").alias("duplicate_count"),
+              F.coalesce(F.sum("_rl_v"), F.lit(0)).cast("bigint").alias("valid_records"),
+              F.coalesce(F.sum(F.col("_rl_n") - F.col("_rl_v")), F.lit(0)).cast("bigint")
+              .alias("invalid_records"))
     t = F.col("total_records")
     return a.select("total_records", "duplicate_count",
                     percentage(F.col("duplicate_count"), t).alias("duplicate_rate"),
