@@ -88,7 +88,8 @@ def read_dir(spark: SparkSession, path: str, fmt: str, schema=None, key: Column
     wins and rows without a key are all kept (A5)."""
     pattern = {"jsonl": "*.json*"}.get(fmt, f"*.{fmt}")
     df = (_reader(spark, fmt, schema, drop_malformed=True)
-          .option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path))
+          .option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+          .option("ignoreCorruptFiles", True).load(path))
     if fmt == "json":
         df = unwrap_data(df)
     df = with_seq(df, order_by)
