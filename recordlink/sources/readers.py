@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordlink.functions.expr import clean_key
 from recordlink.operators.dedup import flag_first
 
 FORMATS = {".json": "json", ".jsonl": "jsonl", ".ndjson": "jsonl", ".csv": "csv",
@@ -170,6 +169,3 @@ def ingest_to_parquet(df: DataFrame, path: str, mode: str = "overwrite",
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
-
-def clean_key_of(c: Column) -> Column:
-    return clean_key(c)
