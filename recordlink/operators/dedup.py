@@ -98,15 +98,17 @@ def flag_first(df: DataFrame, key: Column, order_by, null_keys: str = "keep",
     for every later row.
 
     null_keys: ``keep`` (rows without key are never duplicates), ``drop`` (they
-    are removed), ``group`` (NULL is one more key: its first row survives).
-    keep: ``first`` or ``last``.
+    are removed), ``group`` / ``one`` (NULL is one more key: its first row
+    survives). keep: ``first`` or ``last``.
 
     Plan: ``min(order)`` per key is a partial aggregate over the key and order
     columns only; the rows are then flagged by a join on the *order value*, which
     is unique, so no key - however hot, NULL included - lands in one task.
     """
+    if null_keys == "one":          # the accelerated path's name for it
+        null_keys = "group"
     if null_keys not in ("keep", "drop", "group"):
-        raise ValueError(f"null_keys must be keep, drop or group, not {null_keys!r}")
+        raise ValueError(f"null_keys must be keep, drop, group or one, not {null_keys!r}")
     d = df.withColumn(KEY, key).withColumn(ORD, order_col(order_by))
     if null_keys == "drop":
         d = d.where(F.col(KEY).isNotNull())

@@ -120,6 +120,11 @@ def validation_errors(validated: DataFrame, order_by="seq", limit: int = ERROR_L
     return with_positions(validated, errs, cols[0], "record_index")
 
 
+def validation_report(validated: DataFrame, order_by="seq", limit: int = ERROR_LIMIT):
+    """F9 as two frames: the one-row summary and the first ``limit`` errors."""
+    return validation_summary(validated), validation_errors(validated, order_by, limit)
+
+
 def with_positions(table: DataFrame, picked: DataFrame, order_col: str, name: str) -> DataFrame:
     """Add to a few ``picked`` rows their 0-based position in ``table`` by the
     unique ``order_col``, without sorting the table.

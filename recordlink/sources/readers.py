@@ -126,6 +126,12 @@ def latest_file(spark: SparkSession, path: str, glob: str = "*") -> str | None:
     return row["p"] if row else None
 
 
+def latest(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame | None:
+    """The newest file of a format in a folder, read."""
+    p = latest_file(spark, path, f"*.{fmt}")
+    return read_auto(spark, p, fmt) if p else None
+
+
 def files_newest_first(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
     """All matching files, newest first."""
     return file_listing(spark, path, glob).orderBy(F.desc("modified"), "path")
