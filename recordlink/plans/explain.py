@@ -43,3 +43,29 @@ def main(argv) -> None:
 
 if __name__ == "__main__":
     main(sys.argv)
+
+
+def stage_times(event_log_dir: str, top: int = 10) -> list:
+    """Slowest stages from a Spark event log folder (``spark.eventLog.dir``):
+    ``(stage name, tasks, milliseconds)``. Reads plain or zstd-compressed logs."""
+    import glob
+    import json
+    import os
+    out = []
+    for f in glob.glob(os.path.join(event_log_dir, "**", "events_*"), recursive=True) + \
+            glob.glob(os.path.join(event_log_dir, "local-*")):
+        with open(f, "rb") as fh:
+            raw = fh.read()
+        if f.endswith(".zstd"):
+            import zstandard
+            raw = zstandard.ZstdDecompressor().stream_reader(__import__("io").BytesIO(raw)).read()
+        for line in raw.decode("utf-8", "ignore").splitlines():
+            try:
+                e = json.loads(line)
+            except ValueError:
+                continue
+            if e.get("Event") == "SparkListenerStageCompleted":
+                si = e["Stage Info"]
+                out.append((si["Stage Name"], si["Number of Tasks"],
+                            si.get("Completion Time", 0) - si.get("Submission Time", 0)))
+    return sorted(out, key=lambda x: -x[2])[:top]
