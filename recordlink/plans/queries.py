@@ -642,18 +642,19 @@ def stream_ingest(spark, sf_dir):
     return read_ingested(spark, dst).select("seq", "taxpayer_number", "taxpayer_id")
 
 
-def _fetch_status(key):
-    """Stand-in for a remote account lookup: a pure function of the key."""
-    if key.endswith("7"):
-        raise ValueError("lookup failed")
-    if key.endswith("3"):
-        return None
-    return {"status": "ACTIVE" if int(key[-1]) % 2 == 0 else "INACTIVE"}
-
-
 @query
 def lookup_batch(spark, sf_dir):
     """L2 with E11: cached keys from the account table, others fetched once."""
+
+    # Stand-in for a remote account lookup: a pure function of the key. Defined
+    # here so that it is shipped to the Python workers with the task.
+    def _fetch_status(key):
+        if key.endswith("7"):
+            raise ValueError("lookup failed")
+        if key.endswith("3"):
+            return None
+        return {"status": "ACTIVE" if int(key[-1]) % 2 == 0 else "INACTIVE"}
+
     from pyspark.sql import types as T
     from recordlink.operators.aggregate import distinct_keys
     from recordlink.operators.schema import resolve_key
