@@ -80,12 +80,11 @@ def group_agg(df: DataFrame, group_by: str | Sequence[str], spec: Mapping[str, s
 def status_counts(df: DataFrame, status_col: str, decimals: int = 6) -> DataFrame:
     """Rows per status value with their share of all rows.
 
-    The per-status rows are few (one per distinct status), so the total is a
-    window over the aggregated rows.
+    The total is a scalar subquery (one partial aggregate), so no window or
+    single task sees all the groups, whatever the column's cardinality.
     """
-    from pyspark.sql import Window
     g = df.groupBy(qcol(status_col).alias(status_col)).agg(F.count(F.lit(1)).alias("count"))
-    tot = F.sum("count").over(Window.partitionBy())
+    tot = df.agg(F.count(F.lit(1))).scalar()
     return g.withColumn("percentage", percentage(F.col("count"), tot, decimals))
 
 

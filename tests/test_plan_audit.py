@@ -15,7 +15,6 @@ WINDOW_OK = {
     "topn_per_group",      # row_number <= n  -> WindowGroupLimit before the shuffle
     "search_many",         # same, per dataset
     "search_names",        # same, per requested name
-    "status_counts",       # share over one row per status value
     "assign_batches",      # offsets over one row per partition
 }
 SIDE_EFFECT = {"table_manifest", "stream_ingest", "json_roundtrip", "csv_roundtrip"}
