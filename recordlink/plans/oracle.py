@@ -466,7 +466,7 @@ FROM customer"""
 
 ORACLE["place_details"] = _w(f"""WITH resp AS (SELECT concat('P', CAST(c_custkey AS VARCHAR)) AS pid,
     coalesce(c_name, '') AS name, {_PRICE} AS price_level, CAST(c_custkey AS DOUBLE) / 1000 AS lat
-  FROM customer WHERE c_custkey % 50 <> 0)
+  FROM customer WHERE c_acctbal >= 0)
 SELECT p.taxpayer_id, p.place_id,
   CASE WHEN NOT {tr('p.place_id')} THEN 'no_place_id' WHEN r.pid IS NOT NULL THEN 'success'
        ELSE 'error' END AS details_status, r.name, r.price_level, r.lat

@@ -534,8 +534,11 @@ def place_details(spark, sf_dir):
     from recordlink.operators.places import place_details as pd
     cat = _cat(spark, sf_dir)
     req = fx_places(cat).select("taxpayer_id", "place_id")
-    # responses exist only for places with a rating (others were lookup errors)
-    d = pd(req, _place_responses(cat).where(F.col("rating") > 0))
+    # details were landed only for accounts not in arrears (others were lookup errors)
+    in_good_standing = cat.customer.where(F.col("c_acctbal") >= 0).select(
+        F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("place_id"))
+    resp = _place_responses(cat).join(in_good_standing, "place_id", "left_semi")
+    d = pd(req, resp)
     return d.select("taxpayer_id", "place_id", "details_status", "name", "price_level",
                     F.col("geometry.location.lat").alias("lat"))
 
