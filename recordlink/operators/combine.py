@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlink.functions.expr import as_string, percentage, qcol, strip, truthy_of
-from recordlink.operators.dedup import KEY, _as_list, flag_first, order_col, pick_per_key
+from recordlink.operators.dedup import KEY, _as_list, order_col, pick_per_key
 from recordlink.operators.schema import TAXPAYER_ID_FIELDS, normalize, prefix, rename_fields, resolve_key
 from recordlink.operators.skew import salted_join
 
@@ -255,13 +255,25 @@ def new_records(df: DataFrame, existing_keys: DataFrame, key: Column | None = No
     k = key if key is not None else resolve_key(df)
     if not dedup_when_empty and existing_keys.isEmpty():
         return df
-    ex = existing_keys.select(qcol(existing_key_col).alias("_rl_nk")).where(
-        F.col("_rl_nk").isNotNull()).distinct()
-    d = df.withColumn("_rl_nk", k)
-    fresh = salted_join(d, ex, "_rl_nk", "left_anti")
-    out = flag_first(fresh, F.col("_rl_nk"), order_by,
-                     null_keys="keep" if keep_null else "drop")
-    return out.where(~F.col("is_duplicate")).drop("is_duplicate", "_rl_nk")
+    # One narrow aggregate over the batch's and the history's keys: per key the
+    # smallest (is_batch, order). A key seen before gives (0, NULL): no new row;
+    # otherwise it names the first batch row, picked by a join on the unique
+    # order value (no key-partitioned join, so a hot key is harmless).
+    d = df.withColumn("_rl_nk", k).withColumn("_rl_ord", order_col(order_by))
+    ord_type = d.schema["_rl_ord"].dataType
+    batch = d.select("_rl_nk", F.struct(F.lit(1).alias("b"), F.col("_rl_ord").alias("o")).alias("_rl_m"))
+    seen = existing_keys.select(
+        qcol(existing_key_col).alias("_rl_nk"),
+        F.struct(F.lit(0).alias("b"), F.lit(None).cast(ord_type).alias("o")).alias("_rl_m"))
+    firsts = (batch.unionByName(seen).where(F.col("_rl_nk").isNotNull())
+              .groupBy("_rl_nk").agg(F.min("_rl_m").alias("_rl_m"))
+              .where(F.col("_rl_m.b") == 1)
+              .select(F.col("_rl_m.o").alias("_rl_ord"), F.lit(True).alias("_rl_new")))
+    out = d.join(firsts, "_rl_ord", "left")
+    keep = F.col("_rl_new").isNotNull()
+    if keep_null:
+        keep = keep | F.col("_rl_nk").isNull()
+    return out.where(keep).drop("_rl_nk", "_rl_ord", "_rl_new")
 
 
 def remaining(pending: DataFrame, completed: DataFrame, key: str = "taxpayer_id") -> DataFrame:
