@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recordlink.operators.dedup import flag_first
 
 BATCH_DIR = "batch_id"
 
@@ -32,11 +31,12 @@ def dedup_batch(batch: DataFrame, key_fn: Callable[[DataFrame], Column], key_col
                 order_by, seen: DataFrame | None, keep_null: bool = True) -> DataFrame:
     """Rows of one micro-batch whose key was never written before, first per key
     inside the batch; rows without key are kept (K4 over E10)."""
+    from recordlink.operators.combine import new_records
     d = batch.withColumn(key_col, key_fn(batch))
-    if seen is not None:
-        d = d.join(seen, key_col, "left_anti")
-    f = flag_first(d, F.col(key_col), order_by, null_keys="keep" if keep_null else "drop")
-    return f.where(~F.col("is_duplicate")).drop("is_duplicate")
+    if seen is None:
+        seen = d.sparkSession.createDataFrame([], T.StructType([d.schema[key_col]]))
+    return new_records(d, seen, key=F.col(key_col), order_by=order_by,
+                       existing_key_col=key_col, keep_null=keep_null)
 
 
 def stream_ingest(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: T.StructType,
