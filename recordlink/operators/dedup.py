@@ -259,26 +259,43 @@ def completeness_score(df: DataFrame, exclude: Sequence[str] = ()) -> Column:
     return sum(parts[1:], parts[0])
 
 
+RANK = "_rl_rank"
+
+
 def pick_per_key(df: DataFrame, key: Column, rank: Column, keep_nulls: bool = True,
-                 pick: str = "min", key_out: str | None = None) -> DataFrame:
+                 pick: str = "min", key_out: str | None = None,
+                 method: str = "aggregate") -> DataFrame:
     """One whole row per key: the row with the smallest (or largest) ``rank``.
-
-    ``min_by(struct(row), rank)`` is a partial aggregate: each task reduces its
-    rows per key before the shuffle, so a hot key sends one row per task.
+    ``rank`` must be unique per row (it ends with the order column).
+
+    ``method="aggregate"`` (default): ``min_by(struct(row), rank)`` in one
+    partial (map-side) aggregate - one pass over the input, and its key
+    partitioning is reused by a following join on the key. ``method="join"``:
+    ``min(rank)`` per key over the key and rank columns only, then a semi-join on
+    the unique rank value; it reads the input twice but never sorts whole rows.
+    Both keep a hot key out of any single task.
     ``key_out`` also returns the key under that name (key-less rows are then
     dropped).
     """
-    cols = [c for c in df.columns if c != KEY]
+    cols = [c for c in df.columns if c not in (KEY, RANK)]
     d = df.withColumn(KEY, key)
-    fn = F.min_by if pick == "min" else F.max_by
-    row = F.struct(*[qcol(c) for c in cols])
-    g = d.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(fn(row, rank).alias("_r"))
-    if key_out:
-        return g.select(F.col(KEY).alias(key_out), "_r.*")
-    picked = g.select("_r.*")
-    if not keep_nulls:
+    if method == "aggregate":
+        fn = F.min_by if pick == "min" else F.max_by
+        row = F.struct(*[qcol(c) for c in cols])
+        g = d.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(fn(row, rank).alias("_r"))
+        picked = (g.select(F.col(KEY).alias(key_out), "_r.*") if key_out
+                  else g.select("_r.*"))
+    else:
+        d = d.withColumn(RANK, rank)
+        agg = F.min if pick == "min" else F.max
+        best = (d.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(agg(RANK).alias(RANK))
+                .select(RANK))
+        kept = d.where(F.col(KEY).isNotNull()).join(best, RANK, "left_semi")
+        picked = (kept.select(F.col(KEY).alias(key_out), *[qcol(c) for c in cols]) if key_out
+                  else kept.select(*[qcol(c) for c in cols]))
+    if key_out or not keep_nulls:
         return picked
-    return picked.unionByName(d.where(F.col(KEY).isNull()).drop(KEY))
+    return picked.unionByName(df.withColumn(KEY, key).where(F.col(KEY).isNull()).drop(KEY))
 
 
 def best_by_completeness(df: DataFrame, key_fields: Sequence[str] | None = None,

@@ -124,3 +124,11 @@ def test_hot_key_join_is_salted(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_pick_per_key_methods_agree(spark):
+    reg = fx_registry(Catalog(spark, SF_SMALL))
+    k = D.key_strategy_key(reg)
+    a = D.pick_per_key(reg, k, F.col("seq"), pick="max", method="aggregate")
+    b = D.pick_per_key(reg, k, F.col("seq"), pick="max", method="join")
+    assert _sorted(a, "seq", "taxpayer_number") == _sorted(b, "seq", "taxpayer_number")
