@@ -194,12 +194,12 @@ def duplicate_groups(df: DataFrame, key_fields: Sequence[str] | None = None,
     Groups are never collected into arrays; the count is a partial aggregate
     joined back on the key, with hot keys split over several tasks.
     """
-    from recordlink.operators.skew import HOT_ROWS, salted_join
+    from recordlink.operators.skew import salted_join
     k = key if key is not None else stripped_key(df, key_fields or GROUP_KEY_FIELDS)
     d = df.withColumn(key_name, k).where(F.col(key_name).isNotNull())
     sizes = (d.groupBy(key_name).agg(F.count(F.lit(1)).alias("group_size"))
              .where(F.col("group_size") > 1))
-    return salted_join(d, sizes, key_name, "inner", hot_rows or HOT_ROWS,
+    return salted_join(d, sizes, key_name, "inner", hot_rows,
                        counts=sizes, count_col="group_size")
 
 

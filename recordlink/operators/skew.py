@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 
 from recordlink.functions.expr import qcol
 
-# Rows of one key above which the key is split over several tasks.
+# Rows of one key above which the key is split over several tasks; a session
+# can set its own with the ``spark.recordlink.hotRows`` configuration.
 HOT_ROWS = 1_000_000
+HOT_ROWS_CONF = "spark.recordlink.hotRows"
 # Buckets over which rows without a key are spread.
 NULL_SPREAD = 1024
 SALT = "_rl_salt"
@@ -48,8 +50,16 @@ def hot_keys(big: DataFrame, key: str, hot_rows: int = HOT_ROWS,
             .select(qcol(key), F.ceil(F.col("_rl_cnt") / F.lit(hot_rows)).cast("int").alias(NSALT)))
 
 
+def hot_rows_of(df: DataFrame, hot_rows: int | None = None) -> int:
+    """The explicit bound, else the session's ``spark.recordlink.hotRows``, else the default."""
+    if hot_rows:
+        return int(hot_rows)
+    v = df.sparkSession.conf.get(HOT_ROWS_CONF, None)
+    return int(v) if v else HOT_ROWS
+
+
 def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "left",
-                hot_rows: int = HOT_ROWS, salt_cols: Sequence[str] | None = None,
+                hot_rows: int | None = None, salt_cols: Sequence[str] | None = None,
                 counts: DataFrame | None = None, count_col: str = "count") -> DataFrame:
     """Join ``small`` (at most one row per key) onto ``big`` on column ``key``,
     splitting hot keys of ``big`` over several tasks. ``how``: inner, left,
@@ -58,6 +68,7 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "left",
     when the caller has them (saves the counting pass)."""
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support {how!r}")
+    hot_rows = hot_rows_of(big, hot_rows)
     hot = F.broadcast(hot_keys(big, key, hot_rows, counts, count_col))
     h = F.xxhash64(*[qcol(c) for c in (salt_cols or big.columns)])
     b = big.join(hot, key, "left")

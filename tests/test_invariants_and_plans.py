@@ -132,3 +132,14 @@ def test_pick_per_key_methods_agree(spark):
     a = D.pick_per_key(reg, k, F.col("seq"), pick="max", method="aggregate")
     b = D.pick_per_key(reg, k, F.col("seq"), pick="max", method="join")
     assert _sorted(a, "seq", "taxpayer_number") == _sorted(b, "seq", "taxpayer_number")
+
+
+def test_hot_rows_from_session(spark):
+    from recordlink.operators.skew import HOT_ROWS, HOT_ROWS_CONF, hot_rows_of
+    df = spark.range(3)
+    assert hot_rows_of(df) == HOT_ROWS and hot_rows_of(df, 7) == 7
+    spark.conf.set(HOT_ROWS_CONF, "123")
+    try:
+        assert hot_rows_of(df) == 123
+    finally:
+        spark.conf.unset(HOT_ROWS_CONF)
