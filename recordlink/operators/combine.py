@@ -261,14 +261,15 @@ def new_records(df: DataFrame, existing_keys: DataFrame, key: Column | None = No
     # order value (no key-partitioned join, so a hot key is harmless).
     d = df.withColumn("_rl_nk", k).withColumn("_rl_ord", order_col(order_by))
     ord_type = d.schema["_rl_ord"].dataType
-    batch = d.select("_rl_nk", F.struct(F.lit(1).alias("b"), F.col("_rl_ord").alias("o")).alias("_rl_m"))
-    seen = existing_keys.select(
-        qcol(existing_key_col).alias("_rl_nk"),
-        F.struct(F.lit(0).alias("b"), F.lit(None).cast(ord_type).alias("o")).alias("_rl_m"))
+    batch = d.select("_rl_nk", F.lit(1).alias("_rl_b"), "_rl_ord")
+    seen = existing_keys.select(qcol(existing_key_col).alias("_rl_nk"), F.lit(0).alias("_rl_b"),
+                                F.lit(None).cast(ord_type).alias("_rl_ord"))
+    # min(is_batch) is 0 when the key was seen before; min(order) ignores the
+    # history's NULLs. Both are primitive, so the aggregate is a hash aggregate.
     firsts = (batch.unionByName(seen).where(F.col("_rl_nk").isNotNull())
-              .groupBy("_rl_nk").agg(F.min("_rl_m").alias("_rl_m"))
-              .where(F.col("_rl_m.b") == 1)
-              .select(F.col("_rl_m.o").alias("_rl_ord"), F.lit(True).alias("_rl_new")))
+              .groupBy("_rl_nk").agg(F.min("_rl_b").alias("_rl_b"), F.min("_rl_ord").alias("_rl_ord"))
+              .where(F.col("_rl_b") == 1)
+              .select("_rl_ord", F.lit(True).alias("_rl_new")))
     out = d.join(firsts, "_rl_ord", "left")
     keep = F.col("_rl_new").isNotNull()
     if keep_null:
