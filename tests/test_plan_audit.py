@@ -28,6 +28,10 @@ def _plan(df):
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_plan_is_scale_safe(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
+    assert len(set(df.columns)) == len(df.columns), f"{name}: duplicate column names"
+    if name not in SIDE_EFFECT:
+        again = E.queries()[name](spark, SF_SMALL)
+        assert again.schema == df.schema, f"{name}: schema differs between builds"
     plan = _plan(df)
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "collect_list", "collect_set"):
         assert bad not in plan, f"{name}: {bad}"
