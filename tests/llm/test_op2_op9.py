@@ -1,3 +1,4 @@
+import functools
 import struct
 import zlib
 
@@ -13,6 +14,7 @@ from tests.llm.edge import edge_documents, empty_documents
 SF = "/root/testdata/sf0.001"
 
 
+@functools.cache
 def _library(name):
     t = Tokenizer.from_file(vocabulary_path(name))
     t.encode_special_tokens = True
