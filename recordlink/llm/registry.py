@@ -2,23 +2,43 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from recordlink.llm import op5_warc as warc
+from recordlink.llm import op9_binary as binary
 from recordlink.llm.common import documents
 from recordlink.llm.op2_packing import pack
-from recordlink.llm.op9_binary import read_records, write_records
+from recordlink.llm.op3_quality import quality_report
+from recordlink.llm.op6_secrets import secret_report
+from recordlink.llm.op10_sharding import assign_shards
 
 
 def op2_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir), length=4096, end_id=2, with_ids=False)
 
 
+def op3_quality_rules(spark, sf_dir):
+    return quality_report(documents(spark, sf_dir))
+
+
+def op5_warc(spark, sf_dir):
+    return warc.read_records(warc.write_warc(documents(spark, sf_dir, "pages")))
+
+
+def op6_secret_scans(spark, sf_dir):
+    return secret_report(documents(spark, sf_dir))
+
+
 def op9_binary_output(spark, sf_dir):
-    return read_records(write_records(documents(spark, sf_dir), end_id=0), with_ids=False)
+    return binary.read_records(binary.write_records(documents(spark, sf_dir), end_id=0), with_ids=False)
 
 
-def _pipeline(spark, sf_dir):
-    import corpus_pipeline
-    return corpus_pipeline.run(spark, sf_dir)
+def op10_sharding(spark, sf_dir):
+    return assign_shards(documents(spark, sf_dir), shards=40).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op9_binary_output)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_quality_rules, op5_warc, op6_secret_scans,
+                                   op9_binary_output, op10_sharding)}
 ORACLE: dict[str, str] = {}
