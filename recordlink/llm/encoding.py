@@ -1,10 +1,11 @@
 """Token ids of whole texts by a public tokenizer file, with a cache of word results.
 
 Both supported tokenizers cut a text into words that never cross white space, and encode
-each word on its own. So a text is cut at blanks, each distinct chunk goes once through the
-tokenizers library, and the text's ids are the chunks' ids joined. Texts for which that cut is
-not proven equal (characters beyond Latin-1, control separators, runs of white space before a
-blank) go whole through the library. The result is the library's, id for id.
+each word on its own. So a batch of texts is cut at blanks by Arrow, each distinct chunk of the
+batch is looked up or goes once through the tokenizers library, and the texts' ids are put
+together from the chunks' ids with numpy. Where runs of white space matter to the tokenizer, a
+text is cut by the tokenizer's own word pattern instead. Texts with characters beyond Latin-1 or
+control separators go whole through the library. The result is the library's, id for id.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def text_encoder(path: str, cache_words: int = 400_000):
-    """``encode(texts) -> list of bytes``: each text's ids, little-endian unsigned 16-bit.
+def text_encoder(path: str, cache_words: int = 1_000_000):
+    """``encode(texts) -> list of bytes``: each text's ids, little-endian unsigned 16-bit; null
+    texts are empty. ``texts`` is an Arrow array or a list.
 
     ``path`` names a ``tokenizers`` file: byte-level BPE, with or without the lower-casing,
     blank-dropping front end. The cache is emptied when it holds ``cache_words`` chunks, so
@@ -38,64 +40,133 @@ def _make_encoder(path: str, cache_words: int):
     import re
     from array import array
 
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
     from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
     full = Tokenizer.from_file(path)
     full.encode_special_tokens = True
     if full.get_vocab_size() > 65536:
         raise ValueError("ids are kept in 16 bits; the vocabulary has more than 65536 entries")
-    words_only = full.pre_tokenizer is not None and full.normalizer is not None
+    words_only = full.normalizer is not None
     # The words are cut here, so the per-word tokenizer keeps only the byte mapping and merges.
     one = Tokenizer.from_file(path)
     one.encode_special_tokens = True
     if words_only:
         one.normalizer = normalizers.Sequence([])
-    one.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     letters, digits, blank = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", r"\t-\r\x20\x85\xa0"
     short = "'s|'t|'re|'ve|'m|'ll|'d"
     if words_only:
         cut = re.compile(rf"{short}|[{letters}]+|[{digits}]|[^{blank}{letters}{digits}]+")
-        unsure = re.compile(r"[\x1c-\x1f]")
+        special = None
     else:
         cut = re.compile(rf"{short}| ?[{letters}]+| ?[{digits}]+| ?[^{blank}{letters}{digits}]+"
                          rf"|[{blank}]+(?![^{blank}])|[{blank}]+")
-        unsure = re.compile(rf"[\x1c-\x1f]|[{blank}]\x20|\x20$")
+        # Blank runs, other white space, or white space at an end: the word pattern decides.
+        special = r"[\t-\r\x20]{2}|[\t\x0b\x0c\r]|\x{85}|\x{a0}|^[\x20\n]|[\x20\n]$"
+    foreign = r"[^\x{0}-\x{ff}]|[\x1c-\x1f]"
+    # A letter, a comma or full stop, then white space: always three words, so cut there at once.
+    stop, stopped = r"([A-Za-zÀ-ÖØ-öø-ÿ])([,.])([\x20\n])", r"\1 \2\3" if words_only else "\\1\x1f\\2\\3"
+    # Many words go through the library as one text; the pre-tokenizer cuts at the mark.
+    mark = "\x1f"
+    one.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(mark, "isolated"),
+                                                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    mark_ids = one.encode(mark, add_special_tokens=False).ids
+    if len(mark_ids) != 1:
+        raise ValueError("the vocabulary has no single id for the word mark")
     cache: dict[str, bytes] = {}
 
-    def chunks(text: str) -> list[str] | None:
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            return None
-        if unsure.search(text):
-            return None
-        return text.lower().split() if words_only else text.replace(" ", "\x1f ").split("\x1f")
-
-    def learn(new: list[str]) -> None:
-        parts = [cut.findall(c) for c in new]
-        # cached under a key no chunk has: a word is a chunk of its own only if it is whole
-        todo = list({w for p in parts for w in p})
-        got = dict(zip(todo, (array("H", e.ids).tobytes() for e in
-                              one.encode_batch_fast(todo, add_special_tokens=False))))
-        for c, p in zip(new, parts):
-            cache[c] = got[p[0]] if len(p) == 1 else b"".join([got[w] for w in p])
-
-    def encode(texts: list[str | None]) -> list[bytes]:
+    def words_of(chunk: str) -> list[str]:
+        start = 1 if not words_only and chunk[:1] == " " else 0
+        return [chunk] if chunk[start:].isalpha() else cut.findall(chunk)
+
+    def learn(words: list[str]) -> list[bytes]:
+        """Ids of each word, some thousands at a time."""
         out: list[bytes] = []
-        for i in range(0, len(texts), 256):
-            block = texts[i:i + 256]
-            cuts = [chunks(t) if t else [] for t in block]
-            new = set().union(*(c for c in cuts if c)).difference(cache)
-            if new:
-                if len(cache) + len(new) > cache_words:
-                    cache.clear()
-                    new = set().union(*(c for c in cuts if c))
-                learn(list(new))
-            for t, c in zip(block, cuts):
-                if c is None:
-                    out.append(array("H", full.encode(t, add_special_tokens=False).ids).tobytes())
-                else:
-                    out.append(b"".join(map(cache.__getitem__, c)))
+        texts = [mark.join([*words[i:i + 4096], ""]) for i in range(0, len(words), 4096)]
+        for text in texts:
+            ids = np.array(one.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
+            ends = np.flatnonzero(ids == mark_ids[0])
+            data, at = ids.tobytes(), 0
+            for e in (2 * ends).tolist():
+                out.append(data[at:e])
+                at = e + 2
+        return out
+
+    def ids_for(chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks, from the cache or the library."""
+        got = list(map(cache.get, chunks))
+        at = [i for i, v in enumerate(got) if v is None]
+        if at:
+            parts = [words_of(chunks[i]) for i in at]
+            known = dict.fromkeys([w for p in parts for w in p])
+            todo = [w for w in known if w not in cache]
+            for w in known.keys() - set(todo):
+                known[w] = cache[w]
+            known.update(zip(todo, learn(todo)))
+            if len(cache) + len(known) > cache_words:
+                cache.clear()
+            cache.update(known)
+            for i, p in zip(at, parts):
+                got[i] = known[p[0]] if len(p) == 1 else b"".join([known[w] for w in p])
+        return got
+
+    def joined(chunks: pa.Array, ends) -> list[bytes]:
+        """Ids of texts given as runs of chunks: text i is ``chunks[ends[i]:ends[i + 1]]``."""
+        coded = chunks.dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        parts = ids_for(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        flat = np.frombuffer(b"".join(parts), "<u2")
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 2
+        first = np.cumsum(size) - size
+        n = size[codes]
+        after = np.cumsum(n)
+        at = np.repeat(first[codes] - (after - n), n)
+        at += np.arange(len(at))
+        data, stops = flat[at].tobytes(), (2 * np.concatenate([[0], after])[ends]).tolist()
+        return [data[a:b] for a, b in zip(stops, stops[1:])]
+
+    def encode_block(texts: pa.Array) -> list[bytes]:
+        texts = pc.fill_null(texts, "")
+        alien = pc.match_substring_regex(texts, foreign)
+        plain = pc.invert(alien)
+        if special is not None:
+            plain = pc.and_not(plain, pc.match_substring_regex(texts, special))
+        kind = np.where(plain.to_numpy(zero_copy_only=False), 0, np.where(alien.to_numpy(zero_copy_only=False), 2, 1))
+        out: list[bytes] = [b""] * len(texts)
+        rows = np.flatnonzero(kind == 0)
+        if len(rows):
+            some = texts.take(pa.array(rows)) if len(rows) < len(texts) else texts
+            some = pc.replace_substring_regex(some, stop, stopped)
+            if words_only:
+                split = pc.utf8_split_whitespace(pc.utf8_lower(some))
+            else:
+                # a blank starts the next word, a newline stands alone
+                some = pc.replace_substring(pc.replace_substring(some, " ", "\x1f "), "\n", "\x1f\n\x1f")
+                split = pc.split_pattern(some, "\x1f")
+            ends = split.offsets.to_numpy()
+            for r, x in zip(rows.tolist(), joined(split.values.slice(ends[0], ends[-1] - ends[0]), ends - ends[0])):
+                out[r] = x
+        rows = np.flatnonzero(kind == 1)
+        if len(rows):
+            words = [cut.findall(texts[r].as_py()) for r in rows.tolist()]
+            ends = np.cumsum([0, *map(len, words)])
+            for r, x in zip(rows.tolist(), joined(pa.array([w for ws in words for w in ws], pa.string()), ends)):
+                out[r] = x
+        for r in np.flatnonzero(kind == 2).tolist():
+            out[r] = array("H", full.encode(texts[r].as_py(), add_special_tokens=False).ids).tobytes()
+        return out
+
+    def encode(texts) -> list[bytes]:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        out, at = [], 0
+        while at < len(texts):
+            # about 8 MB of text at a time, one text at least
+            size = np.cumsum(pc.fill_null(pc.binary_length(texts.slice(at, 4096)), 0).to_numpy(zero_copy_only=False))
+            k = max(1, int(np.searchsorted(size, 1 << 23)))
+            out += encode_block(texts.slice(at, k))
+            at += k
         return out
 
     return encode

@@ -34,9 +34,9 @@ def encode_partitions(docs: DataFrame, tokenizer: str, end_id: int | None, id_co
         from pyspark import TaskContext
         encode, part, at = text_encoder(tokenizer), TaskContext.get().partitionId(), 0
         for b in batches:
-            for i in range(0, b.num_rows, 512):
-                piece = b.slice(i, 512)
-                ids = [x + end for x in encode(piece.column(1).to_pylist())]
+            for i in range(0, b.num_rows, 4096):
+                piece = b.slice(i, 4096)
+                ids = [x + end for x in encode(piece.column(1))]
                 sizes, starts = [len(x) // 2 for x in ids], []
                 for n in sizes:
                     starts.append(at)

@@ -77,7 +77,7 @@ def crc32c_many(blobs: list[bytes]) -> list[int]:
         for k in range(4):
             buf[s + k] ^= 0xFF
         at += n * size
-    words = np.frombuffer(buf, "<u4").reshape(-1, size // 4).T
+    words = np.ascontiguousarray(np.frombuffer(buf, "<u4").reshape(-1, size // 4).T)
     c = np.zeros(words.shape[1], np.uint32)
     for w in words:
         c ^= w
@@ -115,9 +115,9 @@ def write_records(docs: DataFrame, folder: str | None = None, tokenizer: str | N
         out = index = None
         encode = text_encoder(tokenizer)
         for b in batches:
-            for i in range(0, b.num_rows, 256):
-                piece = b.slice(i, 256)
-                docs_, ids = piece.column(0).to_pylist(), [x + end for x in encode(piece.column(1).to_pylist())]
+            for i in range(0, b.num_rows, 4096):
+                piece = b.slice(i, 4096)
+                docs_, ids = piece.column(0).to_pylist(), [x + end for x in encode(piece.column(1))]
                 loads = [struct.pack("<Bq", d is not None, d or 0) + x for d, x in zip(docs_, ids)]
                 heads = [struct.pack("<Q", len(x)) for x in loads]
                 sums = crc32c_many(heads + loads)

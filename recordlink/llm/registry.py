@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 from recordlink.llm import op5_warc as warc
 from recordlink.llm import op9_binary as binary
 from recordlink.llm.common import documents
+from recordlink.llm.op1_vptree import nearest
 from recordlink.llm.op2_packing import pack
 from recordlink.llm.op3_quality import quality_report
 from recordlink.llm.op6_secrets import secret_report
+from recordlink.llm.op8_jaccard import jaccard_components
 from recordlink.llm.op10_sharding import assign_shards
 
 
+def op1_nearest(spark, sf_dir):
+    return nearest(documents(spark, sf_dir, "embeddings"), every=20, k=20, factor=2.0)
+
+
 def op2_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir), length=4096, end_id=2, with_ids=False)
 
@@ -29,6 +35,10 @@ def op6_secret_scans(spark, sf_dir):
     return secret_report(documents(spark, sf_dir))
 
 
+def op8_jaccard_join(spark, sf_dir):
+    return jaccard_components(documents(spark, sf_dir), k=3, percent=90)
+
+
 def op9_binary_output(spark, sf_dir):
     return binary.read_records(binary.write_records(documents(spark, sf_dir), end_id=0), with_ids=False)
 
@@ -39,6 +49,6 @@ def op10_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_quality_rules, op5_warc, op6_secret_scans,
-                                   op9_binary_output, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_nearest, op2_packing, op3_quality_rules, op5_warc, op6_secret_scans,
+                                   op8_jaccard_join, op9_binary_output, op10_sharding)}
 ORACLE: dict[str, str] = {}

@@ -34,7 +34,7 @@ TRICKY = ["", " ", "  ", "a", " a", "a ", "a  b", "a   b", "a\n b", "a\n\n\nb \t
 def test_encoder_equals_library(spark, name):
     texts = TRICKY + [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
     texts += ["".join(p) for p in zip(TRICKY, reversed(TRICKY))]
-    for cache in (400_000, 7):
+    for cache in (1_000_000, 7):
         got = [np.frombuffer(b, "<u2").tolist() for b in text_encoder(vocabulary_path(name), cache)(texts)]
         assert got == [_library(name)(t) for t in texts]
 
