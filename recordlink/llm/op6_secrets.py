@@ -208,3 +208,12 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") -> D
             yield pa.RecordBatch.from_arrays(cols, names=target.names)
 
     return docs.mapInArrow(run, schema)
+
+
+def redact_documents(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """``redact``, with the length column (if there is one) set to the new text's where it was set."""
+    out = redact(docs, text_col)
+    if length_col not in docs.columns:
+        return out
+    new = F.when(F.col(length_col).isNotNull(), F.char_length(text_col)).cast(docs.schema[length_col].dataType)
+    return out.withColumn(length_col, new)

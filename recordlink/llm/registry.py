@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from recordlink.llm import op4_url_lists as lists
 from recordlink.llm import op5_warc as warc
 from recordlink.llm import op9_binary as binary
 from recordlink.llm.common import documents
@@ -11,6 +12,7 @@ from recordlink.llm.op1_vptree import nearest
 from recordlink.llm.op2_packing import pack
 from recordlink.llm.op3_quality import quality_report
 from recordlink.llm.op6_secrets import secret_report
+from recordlink.llm.op7_sampling import sample_encodings
 from recordlink.llm.op8_jaccard import jaccard_components
 from recordlink.llm.op10_sharding import assign_shards
 
@@ -27,6 +29,11 @@ def op3_quality_rules(spark, sf_dir):
     return quality_report(documents(spark, sf_dir))
 
 
+def op4_url_lists(spark, sf_dir):
+    pages = documents(spark, sf_dir, "pages")
+    return lists.evaluate(lists.derived_captures(pages), lists.derived_entries(pages))
+
+
 def op5_warc(spark, sf_dir):
     return warc.read_records(warc.write_warc(documents(spark, sf_dir, "pages")))
 
@@ -35,6 +42,10 @@ def op6_secret_scans(spark, sf_dir):
     return secret_report(documents(spark, sf_dir))
 
 
+def op7_sampled_encoding(spark, sf_dir):
+    return sample_encodings(documents(spark, sf_dir), k=2, with_ids=False)
+
+
 def op8_jaccard_join(spark, sf_dir):
     return jaccard_components(documents(spark, sf_dir), k=3, percent=90)
 
@@ -49,6 +60,11 @@ def op10_sharding(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_nearest, op2_packing, op3_quality_rules, op5_warc, op6_secret_scans,
-                                   op8_jaccard_join, op9_binary_output, op10_sharding)}
-ORACLE: dict[str, str] = {}
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_nearest, op2_packing, op3_quality_rules, op4_url_lists, op5_warc, op6_secret_scans,
+                                   op7_sampled_encoding, op8_jaccard_join, op9_binary_output, op10_sharding, pipeline)}
+ORACLE: dict[str, str] = {"op4_url_lists": lists.SQL}
