@@ -55,6 +55,7 @@ def _make_encoder(path: str, cache_words: int):
     one.encode_special_tokens = True
     if words_only:
         one.normalizer = normalizers.Sequence([])
+    one.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     letters, digits, blank = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", r"\t-\r\x20\x85\xa0"
     short = "'s|'t|'re|'ve|'m|'ll|'d"
     if words_only:
@@ -68,32 +69,12 @@ def _make_encoder(path: str, cache_words: int):
     foreign = r"[^\x{0}-\x{ff}]|[\x1c-\x1f]"
     # A letter, a comma or full stop, then white space: always three words, so cut there at once.
     stop, stopped = r"([A-Za-zÀ-ÖØ-öø-ÿ])([,.])([\x20\n])", r"\1 \2\3" if words_only else "\\1\x1f\\2\\3"
-    # Many words go through the library as one text; the pre-tokenizer cuts at the mark.
-    mark = "\x1f"
-    one.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(mark, "isolated"),
-                                                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-    mark_ids = one.encode(mark, add_special_tokens=False).ids
-    if len(mark_ids) != 1:
-        raise ValueError("the vocabulary has no single id for the word mark")
     cache: dict[str, bytes] = {}
 
     def words_of(chunk: str) -> list[str]:
         start = 1 if not words_only and chunk[:1] == " " else 0
         return [chunk] if chunk[start:].isalpha() else cut.findall(chunk)
 
-    def learn(words: list[str]) -> list[bytes]:
-        """Ids of each word, some thousands at a time."""
-        out: list[bytes] = []
-        texts = [mark.join([*words[i:i + 4096], ""]) for i in range(0, len(words), 4096)]
-        for text in texts:
-            ids = np.array(one.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
-            ends = np.flatnonzero(ids == mark_ids[0])
-            data, at = ids.tobytes(), 0
-            for e in (2 * ends).tolist():
-                out.append(data[at:e])
-                at = e + 2
-        return out
-
     def ids_for(chunks: list[str]) -> list[bytes]:
         """Ids of distinct chunks, from the cache or the library."""
         got = list(map(cache.get, chunks))
@@ -104,7 +85,8 @@ def _make_encoder(path: str, cache_words: int):
             todo = [w for w in known if w not in cache]
             for w in known.keys() - set(todo):
                 known[w] = cache[w]
-            known.update(zip(todo, learn(todo)))
+            made = one.encode_batch_fast(todo, add_special_tokens=False)
+            known.update(zip(todo, (array("H", e.ids).tobytes() for e in made)))
             if len(cache) + len(known) > cache_words:
                 cache.clear()
             cache.update(known)
