@@ -39,8 +39,7 @@ def merge_source(spark: SparkSession, src_dir: str, out: str, fmt: str = "json")
 
 def combine_files(spark: SparkSession, left_path: str, right_path: str, out: str) -> dict:
     """M4: two files (any supported format) combined, with coverage stats."""
-    l = R.with_seq(R.read_auto(spark, left_path), "_in_seq")
-    r = R.with_seq(R.read_auto(spark, right_path), "_in_seq")
+    l, r = (R.read_placed(spark, p, "_in_seq") for p in (left_path, right_path))
     c = C.combine(l, r, order_by="_in_seq").persist()
     try:
         S.write_all(c, out)
@@ -69,7 +68,7 @@ def dedup_file(spark: SparkSession, path: str, out: str, strategy: str = "key",
                review_out: str | None = None) -> dict:
     """Load, flag duplicates, write uniques (and removed rows for
     review), return F2 stats."""
-    df = R.with_seq(R.read_auto(spark, path), "_in_seq")
+    df = R.read_placed(spark, path, "_in_seq")
     flagged = D.dedup(df, strategy, order_by="_in_seq").persist()
     try:
         S.write_all(D.unique(flagged).drop("_in_seq"), out)

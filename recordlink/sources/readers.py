@@ -1,9 +1,13 @@
 """File sources: auto-detected JSON / CSV / Parquet, directory merges, landed
 pages, newest file, dataset description (A1-A9, A15, H6).
 
-All reads are lazy DataFrame scans; nothing is loaded on the driver. A whole-file
-JSON array (``multiLine``) cannot be split, so large inputs should land as JSON
-Lines or be converted once to Parquet (``ingest_to_parquet``).
+Rows are never loaded on the driver. ``json`` takes JSON Lines, one-document
+files (array or object) and indented files, told apart file by file. A one-document
+JSON file and a CSV file (whose cells may hold newlines) cannot be split, so large
+inputs should land as JSON Lines or be converted once to Parquet (``ingest_to_parquet``).
+
+Malformed records are never dropped silently: ``read_dir_checked`` returns them beside
+the good rows; ``read_dir`` logs their number.
 """
 
 from __future__ import annotations
@@ -19,25 +23,27 @@ from recordlink.operators.dedup import flag_first
 
 FORMATS = {".json": "json", ".jsonl": "jsonl", ".ndjson": "jsonl", ".csv": "csv",
            ".parquet": "parquet"}
-SIDE_CAR_SUFFIX = ".checksum"
+CORRUPT = "_corrupt_record"
+# File name patterns per format; checksum sidecars (a.json.checksum) do not match.
+PATTERNS = {"json": "*.{json,jsonl,ndjson}", "jsonl": "*.{json,jsonl,ndjson}", "csv": "*.csv", "parquet": "*.parquet"}
 
 
-def _reader(spark: SparkSession, fmt: str, schema=None, drop_malformed: bool = False):
-    r = spark.read
+def _reader(spark: SparkSession, fmt: str, schema=None, options: dict | None = None):
+    """A reader for one format. Malformed records are kept (permissive): with a schema
+    their text is in ``_corrupt_record``."""
+    r = spark.read.options(**{k: str(v) for k, v in (options or {}).items()})
     if schema is not None:
         r = r.schema(schema)
     if fmt == "json":
         r = r.option("multiLine", True)
     if fmt in ("json", "jsonl"):
-        r = r.format("json")
-        if drop_malformed:
-            r = r.option("mode", "DROPMALFORMED")
+        r = r.format("json").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     elif fmt == "csv":
-        # every value is text; the header names the columns; a UTF-8 BOM is dropped
-        r = r.format("csv").option("header", True).option("inferSchema", False) \
-            .option("encoding", "UTF-8")
-        if drop_malformed:
-            r = r.option("mode", "DROPMALFORMED")
+        # every value is text; the header names the columns; a UTF-8 BOM is dropped;
+        # a quote inside a quoted cell is doubled, and a cell may hold newlines
+        r = (r.format("csv").option("header", True).option("inferSchema", False)
+             .option("encoding", "UTF-8").option("quote", '"').option("escape", '"').option("multiLine", True)
+             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
     elif fmt == "parquet":
         r = r.format("parquet")
     else:
@@ -45,6 +51,53 @@ def _reader(spark: SparkSession, fmt: str, schema=None, drop_malformed: bool = F
     return r
 
 
+def _json_files(spark: SparkSession, path: str, options: dict | None = None) -> tuple[list, list]:
+    """Paths of JSON Lines files and of one-document files. A file is JSON Lines when its
+    first non-blank line is a complete object or array; blank files are neither."""
+    lines = (spark.read.options(**{k: str(v) for k, v in (options or {}).items()}).text(path)
+             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"), F.trim(F.regexp_replace("value", "^\ufeff", "")).alias("value"))
+             .where(F.col("value") != ""))
+    first = lines.groupBy("file").agg(F.min_by(F.col("value").rlike(r"^(?s)(\{.*\}|\[.*\])\s*$"),
+                                               F.struct("block", "row")).alias("by_line"))
+    kinds = first.collect()         # one row per input file, like the file listing itself
+    return [r["file"] for r in kinds if r["by_line"]], [r["file"] for r in kinds if not r["by_line"]]
+
+
+def _read_json(spark: SparkSession, path: str, schema=None, options: dict | None = None) -> DataFrame:
+    """JSON files of either layout as one frame with ``_rl_file`` and ``_rl_block``."""
+    by_line, whole = _json_files(spark, path, options)
+    frames = []
+    for fmt, files in (("jsonl", by_line), ("json", whole)):
+        if files:
+            df = _reader(spark, fmt, schema).load(files)
+            df = df.withColumn("_rl_file", F.col("_metadata.file_path")).withColumn("_rl_block", F.col("_metadata.file_block_start"))
+            frames.append(_unwrap_with_place(df) if schema is None else df)
+    if not frames:
+        if schema is None:
+            return _reader(spark, "json", schema, options).load(path)
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("_rl_file", T.StringType()),
+                                                       T.StructField("_rl_block", T.LongType())]))
+    if len(frames) == 1:
+        return frames[0]
+    from recordlink.operators.batches import union_all
+    return union_all({i: f for i, f in enumerate(frames)}, tag=None)
+
+
+def _unwrap_with_place(df: DataFrame) -> DataFrame:
+    """``unwrap_data`` for a frame that carries its file columns."""
+    names = [c for c in df.columns if c not in ("_rl_file", "_rl_block")]
+    inner = df.schema[names[0]].dataType if len(names) == 1 and names[0] == "data" else None
+    if isinstance(inner, T.ArrayType) and isinstance(inner.elementType, T.StructType):
+        return df.select(F.explode("data").alias("_rl_r"), "_rl_file", "_rl_block").select("_rl_r.*", "_rl_file", "_rl_block")
+    return df
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def detect_format(path: str) -> str:
     ext = os.path.splitext(path.rstrip("/"))[1].lower()
     if ext in (".xlsx", ".xls"):
@@ -66,32 +119,69 @@ def unwrap_data(df: DataFrame, field: str = "data") -> DataFrame:
 def read_auto(spark: SparkSession, path: str, fmt: str | None = None, schema=None) -> DataFrame:
     """Read one file (or folder of one format) by its suffix (A1, A3, A4)."""
     fmt = fmt or detect_format(path)
-    df = _reader(spark, fmt, schema).load(path)
-    return unwrap_data(df) if fmt == "json" else df
+    if fmt == "json":
+        return _read_json(spark, path, schema).drop("_rl_file", "_rl_block")
+    return _reader(spark, fmt, schema).load(path)
 
 
 def with_seq(df: DataFrame, name: str = "seq") -> DataFrame:
-    """Input-order column: (file path, block start, row id); write it out once
-    to make it stable."""
-    return df.withColumn(name, F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row")))
+    """Input-order column: (file path, block start, row id). A frame whose ``seq`` is used
+    more than once is written out first (``cut_lineage``), so that all uses agree."""
+    placed = "_rl_file" in df.columns
+    file, block = ((F.col("_rl_file"), F.col("_rl_block")) if placed
+                   else (F.col("_metadata.file_path"), F.col("_metadata.file_block_start")))
+    return df.withColumn(name, F.struct(file.alias("file"), block.alias("block"),
+                                        F.monotonically_increasing_id().alias("row"))).drop("_rl_file", "_rl_block")
+
+
+def read_placed(spark: SparkSession, path: str, order_by: str = "seq", fmt: str | None = None) -> DataFrame:
+    """One file or folder with its input order, written to the shared folder so that the order
+    is fixed for every later use."""
+    from recordlink.session import cut_lineage
+    fmt = fmt or detect_format(path)
+    df = _read_json(spark, path) if fmt == "json" else read_auto(spark, path, fmt)
+    return cut_lineage(with_seq(df, order_by))
+
+
+def read_dir_checked(spark: SparkSession, path: str, fmt: str, schema=None, order_by: str = "seq") -> tuple[DataFrame, DataFrame]:
+    """Every file of one format in a folder (A5): ``(rows, malformed)``.
+
+    Both come from one reading that is written to the shared folder, so they agree and
+    ``order_by`` is fixed. ``malformed`` holds the order value and text of records that do
+    not parse (JSON: not JSON, or a value not of its type; CSV: wrong number of cells), each
+    of them kept out of ``rows``. An unreadable file stops the read.
+    """
+    from recordlink.session import cut_lineage
+    options = {"pathGlobFilter": PATTERNS[fmt], "recursiveFileLookup": True}
+    if schema is not None and fmt != "parquet" and CORRUPT not in schema.fieldNames():
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    if fmt in ("json", "jsonl"):
+        df = _read_json(spark, path, schema, options)
+    elif fmt == "csv" and schema is None:
+        # one more text column takes the record when its cells do not fit the header
+        names = _reader(spark, fmt, None, options).load(path).columns
+        typed = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField(CORRUPT, T.StringType())])
+        df = _reader(spark, fmt, typed, options).load(path)
+    else:
+        df = _reader(spark, fmt, schema, options).load(path)
+    df = cut_lineage(with_seq(df, order_by))
+    if CORRUPT not in df.columns:
+        return df, df.sparkSession.createDataFrame([], T.StructType([df.schema[order_by], T.StructField(CORRUPT, T.StringType())]))
+    return (df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull()).select(order_by, CORRUPT))
 
 
 def read_dir(spark: SparkSession, path: str, fmt: str, schema=None, key: Column | None = None,
              key_candidates: Sequence[str] | None = None, order_by: str = "seq",
              dedup: bool = True) -> DataFrame:
-    """Every file of one format in a folder (checksum sidecars and unreadable
-    records skipped), with an input-order ``seq``; the first row per cleaned key
-    wins and rows without a key are all kept (A5)."""
-    pattern = {"jsonl": "*.json*"}.get(fmt, f"*.{fmt}")
-    df = (_reader(spark, fmt, schema, drop_malformed=True)
-          .option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
-          .option("ignoreCorruptFiles", True).load(path))
-    if fmt == "json":
-        df = unwrap_data(df)
-    df = with_seq(df, order_by)
+    """Every file of one format in a folder (checksum sidecars not matched), with an
+    input-order ``seq``; the first row per cleaned key wins and rows without a key are all
+    kept (A5). Malformed records are left out and their number is logged; use
+    ``read_dir_checked`` to get them."""
+    df, malformed = read_dir_checked(spark, path, fmt, schema, order_by)
+    n = malformed.count()
+    if n:
+        import logging
+        logging.getLogger(__name__).warning("%d malformed records in %s", n, path)
     if not dedup:
         return df
     if key is None:
@@ -105,10 +195,10 @@ def read_pages(spark: SparkSession, path: str, limit: int | None = None,
                page_pattern: str = r"page[_-]?(\d+)") -> DataFrame:
     """Landed result pages (one JSON file per page) in page order (A7): rows carry
     ``page`` (from the file name) and ``pos``; ``limit`` clips like the paged read."""
-    df = spark.read.format("json").load(path)
-    df = df.withColumn("page", F.regexp_extract(F.col("_metadata.file_name"), page_pattern, 1)
-                       .cast("bigint"))
-    df = df.withColumn("pos", F.monotonically_increasing_id())
+    df = _read_json(spark, path)
+    name = F.regexp_extract(F.col("_rl_file"), r"([^/]*)$", 1)
+    df = (df.withColumn("page", F.regexp_extract(name, page_pattern, 1).cast("bigint"))
+          .withColumn("pos", F.monotonically_increasing_id()).drop("_rl_file", "_rl_block"))
     df = df.orderBy("page", "pos")
     return df.limit(limit) if limit is not None else df
 
@@ -148,16 +238,19 @@ def describe_dataset(df: DataFrame) -> DataFrame:
 def read_datasets(spark: SparkSession, paths: dict, fmt: str | None = None,
                   limit_per_dataset: int | None = None, tag: str = "dataset_id",
                   order_by: str = "seq") -> DataFrame:
-    """Several named datasets as one frame with ``tag`` (A8, A9). A missing path
-    is skipped (its name is absent); each can be clipped to its first N rows."""
+    """Several named datasets as one frame with ``tag`` (A8, A9). A path that does not
+    exist is skipped with a warning (its name is absent); any other failure is raised. Each
+    can be clipped to its first N rows."""
     from recordlink.operators.batches import union_all
     from recordlink.operators.search import top_n
     frames = {}
     for name, p in paths.items():
-        try:
-            df = read_auto(spark, p, fmt)
-        except Exception:  # noqa: BLE001 - an unreadable dataset becomes empty
+        if not path_exists(spark, p):
+            import logging
+            logging.getLogger(__name__).warning("dataset %s: no such path %s", name, p)
             continue
+        kind = fmt or detect_format(p)
+        df = _read_json(spark, p) if kind == "json" else read_auto(spark, p, kind)
         frames[name] = with_seq(df, order_by)
     if not frames:
         raise ValueError("no dataset could be read")

@@ -31,8 +31,9 @@ def _flat_for_text(df: DataFrame, sort_columns: bool = True) -> DataFrame:
 
 
 def _csv_writer(w):
-    # values are written as they are: the CSV writer trims whitespace by default
-    return (w.option("header", True).option("ignoreLeadingWhiteSpace", False)
+    # values are written as they are: the CSV writer trims whitespace by default; a quote
+    # inside a cell is doubled, as the reader expects
+    return (w.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False))
 
 
@@ -145,8 +146,8 @@ def verify_manifest(spark: SparkSession, path: str, manifest_path: str | None =
 def fingerprint(df: DataFrame) -> DataFrame:
     """Order-free table fingerprint (B8): row count, sum and xor of per-row
     64-bit hashes. Equal tables give equal fingerprints within Spark."""
-    h = F.xxhash64(*[qcol(c) for c in df.columns])
-    return df.select(h.alias("h")).agg(
+    from recordlink.operators.dedup import content_hash
+    return df.select(content_hash(df).alias("h")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(F.col("h").cast("decimal(38,0)")).alias("hash_sum"),
         F.bit_xor("h").alias("hash_xor"))
@@ -161,14 +162,14 @@ def verify_and_load(spark: SparkSession, path: str, fmt: str | None = None,
     missing manifest counts as "skipped".
     """
     import logging
-    from recordlink.sources.readers import read_auto
+    from recordlink.sources.readers import path_exists, read_auto
     mp = manifest_path or f"{path.rstrip('/')}{MANIFEST_NAME}"
-    try:
+    if path_exists(spark, mp):
         statuses = verify_manifest(spark, path, mp, glob)
         bad = statuses.where(F.col("status") != "verified").limit(1).count()
         if bad:
             logging.getLogger(__name__).warning("manifest check failed for %s", path)
-    except Exception:  # noqa: BLE001 - no manifest: verification skipped
+    else:       # no manifest: verification skipped; any other failure is raised
         statuses = spark.createDataFrame([(path, "skipped")], "path string, status string")
     return read_auto(spark, path, fmt), statuses
 

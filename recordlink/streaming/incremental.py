@@ -1,11 +1,11 @@
 """Incremental, resumable ingest with Structured Streaming (K1-K6).
 
 New files landing in a folder are picked up by a file-source stream; each
-micro-batch is de-duplicated against everything already written (anti-join on
-the key, read key-only from the sink) and appended. The stream checkpoint
-(``checkpointLocation``) is the progress state: a restarted run processes only
-files it has not seen. Batch output folders are named by ``batchId`` and written
-with ``overwrite``, so a replayed batch replaces its own output (idempotent).
+micro-batch is de-duplicated against the keys of all earlier batches and appended.
+The stream checkpoint (``checkpointLocation``) is the progress state: a restarted
+run processes only files it has not seen. Batch output folders are named by
+``batchId`` and written with ``overwrite``, and a batch's history is the key table's
+folders *below* its own id, so a replayed batch writes the same rows again.
 """
 
 from __future__ import annotations
@@ -16,15 +16,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recordlink.sources.readers import path_exists
+
 
 BATCH_DIR = "batch_id"
 
 
-def _sink_keys(spark: SparkSession, dst: str, key_col: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(dst).select(key_col).where(F.col(key_col).isNotNull()).distinct()
-    except Exception:  # noqa: BLE001 - no output yet
+def keys_path(dst: str) -> str:
+    """Key-only side table of an ingest target, one folder per batch."""
+    return f"{dst.rstrip('/')}_keys"
+
+
+def _earlier_keys(spark: SparkSession, dst: str, batch_id: int) -> DataFrame | None:
+    """Keys written by batches before ``batch_id``. Only a missing table means "none yet";
+    any other failure stops the batch."""
+    path = keys_path(dst)
+    if batch_id == 0 or not path_exists(spark, path):
         return None
+    return spark.read.parquet(path).where(F.col(BATCH_DIR) < batch_id).drop(BATCH_DIR)
 
 
 def dedup_batch(batch: DataFrame, key_fn: Callable[[DataFrame], Column], key_col: str,
@@ -69,8 +78,14 @@ def stream_ingest(spark: SparkSession, src: str, dst: str, checkpoint: str, sche
         try:
             out = b
             if key_fn is not None:
-                out = dedup_batch(b, key_fn, key_col, order_by, _sink_keys(spark, dst, key_col))
-            out.write.mode("overwrite").parquet(f"{dst.rstrip('/')}/{BATCH_DIR}={batch_id}")
+                out = dedup_batch(b, key_fn, key_col, order_by, _earlier_keys(spark, dst, batch_id))
+            folder = f"{BATCH_DIR}={batch_id}"
+            out.write.mode("overwrite").parquet(f"{dst.rstrip('/')}/{folder}")
+            if key_fn is not None:
+                # from the rows just written: the key table never names a key the sink lacks
+                written = spark.read.schema(out.schema).parquet(f"{dst.rstrip('/')}/{folder}")
+                (written.select(key_col).where(F.col(key_col).isNotNull())
+                 .write.mode("overwrite").parquet(f"{keys_path(dst)}/{folder}"))
         finally:
             if b is not batch:
                 b.unpersist()
@@ -91,11 +106,8 @@ def stream_ingest(spark: SparkSession, src: str, dst: str, checkpoint: str, sche
 def json_progress(p) -> dict:
     if isinstance(p, dict):
         return p
-    try:
-        import json
-        return json.loads(p.json)
-    except Exception:  # noqa: BLE001
-        return {}
+    import json
+    return json.loads(p.json)
 
 
 def run_report(spark: SparkSession, report: list) -> DataFrame:
