@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlink.functions.expr import as_string, percentage, qcol, strip, truthy_of
-from recordlink.operators.dedup import KEY, _as_list, order_col, pick_per_key
+from recordlink.operators.dedup import (FIRST, KEY, PLACE, _as_list, first_at_place, order_col,
+                                         pick_per_key)
 from recordlink.operators.schema import TAXPAYER_ID_FIELDS, normalize, prefix, rename_fields, resolve_key
 from recordlink.operators.skew import salted_join
 
@@ -257,8 +258,8 @@ def new_records(df: DataFrame, existing_keys: DataFrame, key: Column | None = No
         return df
     # One narrow aggregate over the batch's and the history's keys: per key the
     # smallest (is_batch, order). A key seen before gives (0, NULL): no new row;
-    # otherwise it names the first batch row, picked by a join on the unique
-    # order value (no key-partitioned join, so a hot key is harmless).
+    # otherwise it names the first batch row, picked by a join on (key, order),
+    # NULLs matching (no join on the key alone, so a hot key is harmless).
     d = df.withColumn("_rl_nk", k).withColumn("_rl_ord", order_col(order_by))
     ord_type = d.schema["_rl_ord"].dataType
     batch = d.select("_rl_nk", F.lit(1).alias("_rl_b"), "_rl_ord")
@@ -269,12 +270,13 @@ def new_records(df: DataFrame, existing_keys: DataFrame, key: Column | None = No
     firsts = (batch.unionByName(seen).where(F.col("_rl_nk").isNotNull())
               .groupBy("_rl_nk").agg(F.min("_rl_b").alias("_rl_b"), F.min("_rl_ord").alias("_rl_ord"))
               .where(F.col("_rl_b") == 1)
-              .select("_rl_ord", F.lit(True).alias("_rl_new")))
-    out = d.join(firsts, "_rl_ord", "left")
-    keep = F.col("_rl_new").isNotNull()
+              .select(F.struct("_rl_nk", "_rl_ord").alias(PLACE), F.lit(True).alias(FIRST)))
+    keyed = d.where(F.col("_rl_nk").isNotNull()).withColumn(PLACE, F.struct("_rl_nk", "_rl_ord"))
+    out = (first_at_place(keyed.join(firsts, PLACE), df).where(F.col(FIRST))
+           .drop("_rl_nk", "_rl_ord", PLACE, FIRST))
     if keep_null:
-        keep = keep | F.col("_rl_nk").isNull()
-    return out.where(keep).drop("_rl_nk", "_rl_ord", "_rl_new")
+        out = out.unionByName(d.where(F.col("_rl_nk").isNull()).drop("_rl_nk", "_rl_ord"))
+    return out
 
 
 def remaining(pending: DataFrame, completed: DataFrame, key: str = "taxpayer_id") -> DataFrame:

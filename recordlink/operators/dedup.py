@@ -4,18 +4,18 @@ Scale notes
 -----------
 * A key may hold a third of all rows. No operator here uses a window partitioned
   by the key: "first row per key" is a ``min(order)`` aggregate (partial,
-  map-side combined) joined back on the key; AQE's skew-join splits a hot key's
-  partition on the big side. Per-key picks of whole rows use ``min_by`` /
+  map-side combined) joined back on (key, order value). Per-key picks of whole rows use ``min_by`` /
   ``max_by`` aggregates, which also combine map-side.
 * Rows without a key never shuffle: they are split off and unioned back.
-* ``order_by`` must be unique; "first" / "last" are defined by it.
+* ``order_by`` should be unique; "first" / "last" are defined by it. Where order values
+  are NULL or repeat, a key still keeps exactly one row of ``flag_first``.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,7 @@ from recordlink.operators.schema import DEDUP_KEY_FIELDS, FUZZY_KEY_FIELDS, GROU
 KEY = "_rl_key"
 FIRST = "_rl_first"
 ORD = "_rl_ord"
+PLACE = "_rl_place"
 
 
 def _as_list(x) -> list[str]:
@@ -59,6 +60,20 @@ def _canonical_json_value(c: Column, dtype: T.DataType) -> Column:
                                                 .alias(f.name) for f in fs]))
     if isinstance(dtype, T.MapType):
         return F.array_sort(F.map_entries(c))
+    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, (T.StructType, T.MapType, T.ArrayType)):
+        return F.transform(c, lambda x: _canonical_json_value(x, dtype.elementType))
+    return c
+
+
+def _sorted_maps(c: Column, dtype: T.DataType) -> Column:
+    """Value with maps as sorted entries at any depth and struct fields left in order."""
+    if isinstance(dtype, T.StructType):
+        return F.when(c.isNotNull(), F.struct(*[_sorted_maps(c[f.name], f.dataType).alias(f.name)
+                                                for f in dtype.fields]))
+    if isinstance(dtype, T.MapType):
+        return F.array_sort(F.map_entries(c))
+    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, (T.StructType, T.MapType, T.ArrayType)):
+        return F.transform(c, lambda x: _sorted_maps(x, dtype.elementType))
     return c
 
 
@@ -70,8 +85,8 @@ def record_hash(df: DataFrame, exclude: Sequence[str] = (), recursive: bool = Tr
     """
     ex = set(exclude)
     fields = sorted([f for f in df.schema.fields if f.name not in ex], key=lambda f: f.name)
-    parts = [(_canonical_json_value(qcol(f.name), f.dataType) if recursive else qcol(f.name))
-             .alias(f.name) for f in fields]
+    value = _canonical_json_value if recursive else _sorted_maps
+    parts = [value(qcol(f.name), f.dataType).alias(f.name) for f in fields]
     return F.md5(F.to_json(F.struct(*parts)))
 
 
@@ -102,8 +117,10 @@ def flag_first(df: DataFrame, key: Column, order_by, null_keys: str = "keep",
     survives). keep: ``first`` or ``last``.
 
     Plan: ``min(order)`` per key is a partial aggregate over the key and order
-    columns only; the rows are then flagged by a join on the *order value*, which
-    is unique, so no key - however hot, NULL included - lands in one task.
+    columns only; the rows are then flagged by a join on (key, order), NULLs
+    matching, so a hot key is spread by its order values. A key whose rows all
+    lack an order value, or share it, keeps one row: the smallest content hash
+    among the rows at that place (normally one row, so the window is trivial).
     """
     if null_keys == "one":          # the accelerated path's name for it
         null_keys = "group"
@@ -113,14 +130,28 @@ def flag_first(df: DataFrame, key: Column, order_by, null_keys: str = "keep",
     if null_keys == "drop":
         d = d.where(F.col(KEY).isNotNull())
     agg = F.min if keep == "first" else F.max
-    grouped = d if null_keys == "group" else d.where(F.col(KEY).isNotNull())
-    firsts = (grouped.groupBy(KEY).agg(agg(ORD).alias(ORD))
-              .select(ORD, F.lit(True).alias(FIRST)))
-    j = d.join(firsts, ORD, "left")
-    is_dup = F.col(FIRST).isNull()
-    if null_keys == "keep":
-        is_dup = F.col(KEY).isNotNull() & is_dup
-    return _drop(j.withColumn(flag, is_dup), KEY, FIRST, ORD)
+    loose = d.where(F.col(KEY).isNull()) if null_keys == "keep" else None
+    if loose is not None:
+        d = d.where(F.col(KEY).isNotNull())
+    firsts = (d.groupBy(KEY).agg(agg(ORD).alias(ORD))
+              .select(F.struct(KEY, ORD).alias(PLACE), F.lit(True).alias(FIRST)))
+    j = first_at_place(d.withColumn(PLACE, F.struct(KEY, ORD)).join(firsts, PLACE, "left"), df)
+    out = _drop(j.withColumn(flag, ~F.col(FIRST)), KEY, FIRST, ORD, PLACE)
+    if loose is not None:
+        out = out.unionByName(_drop(loose.withColumn(flag, F.lit(False)), KEY, ORD))
+    return out
+
+
+def content_hash(df: DataFrame) -> Column:
+    """64-bit hash of a row's values; maps, which cannot be hashed, as sorted entries."""
+    return F.xxhash64(*[_sorted_maps(qcol(f.name), f.dataType) for f in df.schema.fields])
+
+
+def first_at_place(joined: DataFrame, rows: DataFrame) -> DataFrame:
+    """``FIRST`` true for one row of each place that was joined, false elsewhere. A place is
+    a (key, order) pair; it holds several rows only where order values repeat."""
+    w = Window.partitionBy(PLACE).orderBy(content_hash(rows))
+    return joined.withColumn(FIRST, F.col(FIRST).isNotNull() & (F.row_number().over(w) == 1))
 
 
 def dedup(df: DataFrame, strategy: str = "key", key_fields: Sequence[str] | None = None,
@@ -228,7 +259,10 @@ def merge_duplicates(df: DataFrame, key_fields: Sequence[str] | None = None, ord
     ordc = order_col(order_by)
     aggs = []
     for name in df.columns:
-        if name in order_cols:
+        if name in order_cols and len(order_cols) > 1:
+            # several order columns belong together: those of the group's first row
+            aggs.append(F.min(F.struct(*[qcol(c) for c in order_cols]))[name].alias(name))
+        elif name in order_cols:
             aggs.append(F.min(qcol(name)).alias(name))
         else:
             aggs.append(_merge_value(d, name, ordc).alias(name))

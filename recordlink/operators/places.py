@@ -84,7 +84,7 @@ def match_places(records: DataFrame, responses: DataFrame, query_col: str = "sea
     r = records.withColumn("search_query", search_query(records)).withColumn(
         "_rl_tid", record_key(records))
     resp = pick_per_key(responses, qcol(query_col), order_col(order_by), keep_nulls=False,
-                        key_out="_rl_rq")
+                        pick="max", key_out="_rl_rq")
     j = salted_join(r, resp.select(F.col("_rl_rq").alias("search_query"),
                                    F.col(hits_col).alias("_rl_hits"), F.lit(True).alias("_rl_q")),
                     "search_query", "left")
@@ -123,13 +123,14 @@ def transform_place(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 def place_details(requests: DataFrame, responses: DataFrame, order_by="seq",
                   id_col: str = "place_id") -> DataFrame:
-    """Details per requested place id from landed responses.
+    """Details per requested place id from landed responses (A14); the last response per id wins.
 
     Status ``success`` (a response exists), ``error`` (none), ``no_place_id``
     (blank id). Response columns are transformed with ``transform_place``.
     """
     t = transform_place(responses, keep=[id_col, *[c for c in [order_by] if c in responses.columns]])
-    t = pick_per_key(t, qcol(id_col), order_col(order_by), keep_nulls=False, key_out="_rl_pid")
+    t = pick_per_key(t, qcol(id_col), order_col(order_by), keep_nulls=False, pick="max",
+                     key_out="_rl_pid")
     t = t.drop(id_col, *[c for c in [order_by] if c in t.columns])
     req = requests.withColumn("_rl_has", truthy_of(requests, id_col)).withColumn(
         "_rl_pid", qcol(id_col))

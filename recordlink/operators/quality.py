@@ -126,29 +126,14 @@ def validation_report(validated: DataFrame, order_by="seq", limit: int = ERROR_L
 
 
 def with_positions(table: DataFrame, picked: DataFrame, order_col: str, name: str) -> DataFrame:
-    """Add to a few ``picked`` rows their 0-based position in ``table`` by the
-    unique ``order_col``, without sorting the table.
-
-    The picked order values (a top-k, so bounded) become literals t_1 < ... < t_k.
-    Every table row up to t_k gets bucket b = number of t_j below it (k compiled
-    comparisons); x <= t_i exactly when b <= i, so position(t_i) = rows with
-    b <= i, minus t_i itself. One
-    filtered pass over the table and an aggregate of at most k+1 rows.
+    """Add to ``picked`` rows their 0-based position in ``table`` by the unique ``order_col``.
+
+    Only the order column is sorted and numbered (``row_index``: range partitions and one
+    count per partition); the picked rows, any number of them, join their position on it.
     """
-    ts = [r[0] for r in picked.select(order_col).orderBy(order_col).collect()]
-    if not ts:
-        return picked.withColumn(name, F.lit(None).cast("bigint"))
-    oc = F.col(order_col)
-    bucket = sum([F.when(oc > F.lit(t), 1).otherwise(0) for t in ts[1:]],
-                 F.when(oc > F.lit(ts[0]), 1).otherwise(0))
-    counts = {r["b"]: r["n"] for r in table.where(oc <= F.lit(ts[-1]))
-              .select(bucket.alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("n")).collect()}
-    pos, run = {}, 0
-    for i, t in enumerate(ts):
-        run += counts.get(i, 0)          # run = rows with x <= t_i (b <= i)
-        pos[t] = run - 1                 # rows strictly before t_i
-    m = F.create_map(*[x for t, p in pos.items() for x in (F.lit(t), F.lit(p))])
-    return picked.withColumn(name, F.element_at(m, oc).cast("bigint"))
+    from recordlink.operators.batches import row_index
+    places = row_index(table.select(F.col(order_col).alias("_rl_po")), "_rl_po", name=name)
+    return picked.join(places, F.col(order_col).eqNullSafe(F.col("_rl_po")), "left").drop("_rl_po")
 
 
 def completeness(df: DataFrame, exclude: Sequence[str] = (), top: int | None = None) -> DataFrame:

@@ -7,11 +7,13 @@ task. ``salted_join`` splits such keys explicitly:
 
 1. count the base rows per key (a partial aggregate over the key column only);
 2. keys with more than ``hot_rows`` rows are *hot*; there are at most
-   ``rows / hot_rows`` of them, which bounds the broadcast of the hot list;
+   ``rows / hot_rows`` of them. Whether that list is broadcast is left to Spark's
+   size checks;
 3. a hot key's base rows get a deterministic salt in ``[0, n)`` (a hash of the
    row), where ``n = ceil(rows_of_key / hot_rows)``; its single row on the other
    side is repeated ``n`` times, once per salt. Every other key has salt 0;
-4. rows with a NULL key never match, so they are spread by the same hash.
+4. rows with a NULL key never match, so they take no part in the join: they are
+   added back (left, left-anti) or left out (inner, left-semi).
 
 The result equals the plain join for inner, left, left-semi and left-anti joins;
 only the partitioning differs. The salt is a hash of the whole row, so it is the
@@ -25,6 +27,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordlink.functions.expr import qcol
 
@@ -32,8 +35,6 @@ from recordlink.functions.expr import qcol
 # can set its own with the ``spark.recordlink.hotRows`` configuration.
 HOT_ROWS = 1_000_000
 HOT_ROWS_CONF = "spark.recordlink.hotRows"
-# Buckets over which rows without a key are spread.
-NULL_SPREAD = 1024
 SALT = "_rl_salt"
 NSALT = "_rl_nsalt"
 
@@ -60,23 +61,46 @@ def hot_rows_of(df: DataFrame, hot_rows: int | None = None) -> int:
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "left",
                 hot_rows: int | None = None, salt_cols: Sequence[str] | None = None,
-                counts: DataFrame | None = None, count_col: str = "count") -> DataFrame:
+                counts: DataFrame | None = None, count_col: str = "count",
+                big_unique: bool = False) -> DataFrame:
     """Join ``small`` (at most one row per key) onto ``big`` on column ``key``,
     splitting hot keys of ``big`` over several tasks. ``how``: inner, left,
     left_semi or left_anti. ``salt_cols`` (default: all of ``big``) feed the
     row hash that picks a salt. ``counts`` gives per-key row counts of ``big``
-    when the caller has them (saves the counting pass)."""
+    when the caller has them (saves the counting pass). ``big_unique=True`` states
+    that ``big`` has at most one row per key: no key can be hot, so no counting."""
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support {how!r}")
     hot_rows = hot_rows_of(big, hot_rows)
-    hot = F.broadcast(hot_keys(big, key, hot_rows, counts, count_col))
-    h = F.xxhash64(*[qcol(c) for c in (salt_cols or big.columns)])
-    b = big.join(hot, key, "left")
-    b = b.withColumn(SALT, F.when(qcol(key).isNull(), F.pmod(h, F.lit(NULL_SPREAD)))
-                     .when(F.col(NSALT).isNotNull(), F.pmod(h, F.col(NSALT)))
+    keyed = big.where(qcol(key).isNotNull())
+    loose = big.where(qcol(key).isNull())
+    if big_unique:
+        out = keyed.join(small, key, how)
+        return _with_loose(out, loose, how)
+    hot = hot_keys(keyed, key, hot_rows, counts, count_col)
+    # maps cannot be hashed; any other columns tell the rows of a key apart
+    hashable = [c for c in (salt_cols or big.columns) if not _holds_map(big.schema[c].dataType)]
+    h = F.xxhash64(*[qcol(c) for c in hashable])
+    b = keyed.join(hot, key, "left")
+    b = b.withColumn(SALT, F.when(F.col(NSALT).isNotNull(), F.pmod(h, F.col(NSALT)))
                      .otherwise(F.lit(0)).cast("long")).drop(NSALT)
     s = small.join(hot, key, "left")
     s = s.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("long"),
                                                 (F.coalesce(F.col(NSALT), F.lit(1)) - 1).cast("long"))))
     s = s.drop(NSALT)
-    return b.join(s, [key, SALT], how).drop(SALT)
+    return _with_loose(b.join(s, [key, SALT], how).drop(SALT), loose, how)
+
+
+def _holds_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.MapType):
+        return True
+    if isinstance(dtype, T.ArrayType):
+        return _holds_map(dtype.elementType)
+    return isinstance(dtype, T.StructType) and any(_holds_map(f.dataType) for f in dtype.fields)
+
+
+def _with_loose(joined: DataFrame, loose: DataFrame, how: str) -> DataFrame:
+    """Key-less rows of the big side: kept by left and left-anti joins only."""
+    if how in ("inner", "left_semi"):
+        return joined
+    return joined.unionByName(loose, allowMissingColumns=True)

@@ -43,11 +43,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names a shared (distributed) folder there; it is only set here
-    when it is unset, which is the case in local tests.
+    The cluster names a shared (distributed) folder there. In local mode an unset
+    folder becomes a temporary one; off local mode that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="recordlink-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext

@@ -235,3 +235,79 @@ def test_new_records_keeps_keyless(spark):
                                "seq int, taxpayer_id string")
     ex = spark.createDataFrame([("99999999999",)], "taxpayer_id string")
     assert rows(C.new_records(df, ex), "seq") == [(1,), (3,)]
+
+
+# --- rows with awkward order values, maps and repeats --------------------------------------------
+
+def test_flag_first_null_and_repeated_order(spark):
+    from recordlink.operators import dedup as D
+    rows = [("A", 1, "x"), ("B", 1, "x"), ("A", 2, "y"), ("C", None, "x"), ("C", None, "y"), ("D", 5, "p"), ("D", 5, "q"),
+            ("E", 7, "same"), ("E", 7, "same"), (None, None, "n"), (None, 1, "n"), ("F", None, "z"), ("F", 3, "z")]
+    df = spark.createDataFrame(rows, "k string, seq int, v string")
+    for keep in ("first", "last"):
+        u = D.unique(D.flag_first(df, F.col("k"), "seq", keep=keep)).collect()
+        assert sorted(r.k for r in u if r.k) == list("ABCDEF")
+        assert sum(r.k is None for r in u) == 2
+    assert [r.seq for r in u if r.k == "A"] == [2]
+    u = D.unique(D.flag_first(df, F.col("k"), "seq", null_keys="group")).collect()
+    assert sorted(str(r.k) for r in u) == sorted(["None", *"ABCDEF"])
+
+
+def test_new_records_null_order(spark):
+    from recordlink.operators.combine import new_records
+    df = spark.createDataFrame([("A", None), ("A", 2), ("B", None), ("C", 1), (None, None)], "taxpayer_id string, seq int")
+    old = spark.createDataFrame([("C",)], "taxpayer_id string")
+    out = new_records(df, old, key=F.col("taxpayer_id")).collect()
+    assert sorted(str(r.taxpayer_id) for r in out) == ["A", "B", "None"]
+
+
+def test_exact_strategy_ignores_map_entry_order(spark):
+    from recordlink.operators import dedup as D
+    df = spark.sql("select 1 as seq, map('a', 1, 'b', 2) as m, array(map('x', 1, 'y', 2)) as l union all "
+                   "select 2, map('b', 2, 'a', 1), array(map('y', 2, 'x', 1))")
+    assert D.unique(D.dedup(df, "exact")).count() == 1
+    assert D.unique(D.dedup(df, "hash")).count() == 1
+
+
+def test_merge_duplicates_keeps_order_columns_together(spark):
+    from recordlink.operators import dedup as D
+    df = spark.createDataFrame([("k", 1, 9), ("k", 2, 1)], "taxpayer_id string, a int, b int")
+    r = D.merge_duplicates(df, order_by=["a", "b"]).first()
+    assert (r.a, r.b) == (1, 9)
+
+
+def test_merge_maps_later_wins(spark):
+    from recordlink.operators.schema import merge_maps
+    r = spark.sql("select map('a', 1, 'b', 2) x, map('b', 3, 'c', 4) y").select(merge_maps(F.col("x"), F.col("y")).alias("m")).first()
+    assert r.m == {"a": 1, "b": 3, "c": 4}
+
+
+def test_salted_join_with_map_column_and_null_keys(spark):
+    from recordlink.operators.skew import salted_join
+    big = spark.sql("select * from values ('a', map('x', 1)), ('a', map('y', 2)), (cast(null as string), map('z', 3)) t(k, m)")
+    small = spark.createDataFrame([("a", 10)], "k string, v int")
+    for how, n in (("left", 3), ("inner", 2), ("left_semi", 2), ("left_anti", 1)):
+        for unique in (False, True):
+            assert salted_join(big, small, "k", how, hot_rows=1, big_unique=unique).count() == n, how
+
+
+def test_validation_errors_any_limit(spark):
+    from recordlink.operators import quality as Q
+    v = spark.range(0, 12_000).selectExpr("id * 2 as seq", "id % 2 = 0 as is_valid")
+    rows = Q.validation_errors(v, "seq", limit=5_500).collect()
+    assert len(rows) == 5_500 and all(r.record_index * 2 == r.seq for r in rows)
+
+
+def test_places_last_response_wins(spark):
+    from recordlink.operators.places import place_details
+    req = spark.createDataFrame([("p1",)], "place_id string")
+    resp = spark.createDataFrame([("p1", "old", 1), ("p1", "new", 2)], "place_id string, websiteUri string, seq int")
+    row = place_details(req, resp).first().asDict()
+    assert "new" in row.values() and "old" not in row.values()
+
+
+def test_camel_to_snake():
+    from recordlink.operators.schema import camel_to_snake
+    for name, want in (("TaxPayerID", "tax_payer_id"), ("taxpayerNumber", "taxpayer_number"), ("HTTPServer2Go", "http_server2_go"),
+                       ("already_snake", "already_snake"), ("A", "a"), ("", ""), ("zipCode5", "zip_code5")):
+        assert camel_to_snake(name) == want
