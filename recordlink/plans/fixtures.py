@@ -45,13 +45,14 @@ def fx_registry(cat: Catalog) -> DataFrame:
 
 
 def fx_account(cat: Catalog) -> DataFrame:
-    """Account side: one row per key; customers outside one market segment plus
-    every supplier (keys the registry lacks)."""
-    c = cat.customer.where(F.col("c_mktsegment") != "AUTOMOBILE")
+    """Account side: one row per key; every customer (one market segment under keys the
+    registry lacks) plus every supplier (other such keys)."""
+    c = cat.customer
     k = F.col("c_custkey")
+    series = F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("38")).otherwise(F.lit("32"))
     cust = c.select(
         k.alias("seq"),
-        F.concat(F.lit("32"), F.lpad(_s(k), 9, "0")).alias("taxpayer_id"),
+        F.concat(series, F.lpad(_s(k), 9, "0")).alias("taxpayer_id"),
         F.when(F.col("c_acctbal") < 0, F.lit("INACTIVE")).otherwise(F.lit("ACTIVE")).alias("status"),
         F.col("c_mktsegment").alias("entity_type"),
         F.col("c_acctbal").alias("balance"),
@@ -127,13 +128,14 @@ FIXTURE_SQL = {
   CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE n_name END AS outlet_city,
   CASE WHEN o_orderkey % 15 = 0 THEN NULL ELSE cast(cast(o_orderdate AS DATE) AS VARCHAR) END AS outlet_permit_issue_date
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
-    "fx_account": """SELECT c_custkey AS seq, concat('32', lpad(cast(c_custkey AS VARCHAR), 9, '0')) AS taxpayer_id,
+    "fx_account": """SELECT c_custkey AS seq,
+  concat(CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN '38' ELSE '32' END, lpad(cast(c_custkey AS VARCHAR), 9, '0')) AS taxpayer_id,
   CASE WHEN c_acctbal < 0 THEN 'INACTIVE' ELSE 'ACTIVE' END AS status, c_mktsegment AS entity_type,
   c_acctbal AS balance,
   CASE WHEN c_custkey % 4 = 0 THEN concat(c_name, ' Holdings Group') WHEN c_custkey % 4 = 1 THEN '' END AS legal_name,
   CASE WHEN c_custkey % 5 = 0 THEN concat(cast(c_custkey AS VARCHAR), ' Market St') END AS address,
   concat('2020-', lpad(cast(c_custkey % 12 + 1 AS VARCHAR), 2, '0'), '-15') AS filing_date
-FROM customer WHERE c_mktsegment <> 'AUTOMOBILE'
+FROM customer
 UNION ALL
 SELECT 1000000 + s_suppkey, concat('39', lpad(cast(s_suppkey AS VARCHAR), 9, '0')), 'ACTIVE', 'SUPPLIER',
   s_acctbal, s_name, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM supplier""",
@@ -165,12 +167,12 @@ def with_fixtures(sql: str, *names: str) -> str:
 
 
 def fx_status(cat: Catalog) -> DataFrame:
-    """Per-taxpayer status records (several per key, many keys without any):
-    urgent orders as status filings."""
-    o = cat.orders.where(F.col("o_orderpriority") == "1-URGENT")
-    return o.select(
+    """Per-taxpayer status records (several per key, many keys without any): every order is
+    a status filing, those that are not urgent under keys without a taxpayer."""
+    series = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("32")).otherwise(F.lit("37"))
+    return cat.orders.select(
         F.col("o_orderkey").alias("seq"),
-        F.concat(F.lit("32"), F.lpad(_s(F.col("o_custkey")), 9, "0")).alias("taxpayer_id"),
+        F.concat(series, F.lpad(_s(F.col("o_custkey")), 9, "0")).alias("taxpayer_id"),
         F.col("o_orderstatus").alias("right_to_transact"),
         _s(F.year("o_orderdate")).alias("report_year"),
     )
@@ -178,6 +180,7 @@ def fx_status(cat: Catalog) -> DataFrame:
 
 FIXTURES["fx_status"] = fx_status
 FIXTURE_SQL["fx_status"] = """SELECT o_orderkey AS seq,
-  concat('32', lpad(cast(o_custkey AS VARCHAR), 9, '0')) AS taxpayer_id,
+  concat(CASE WHEN o_orderpriority = '1-URGENT' THEN '32' ELSE '37' END,
+         lpad(cast(o_custkey AS VARCHAR), 9, '0')) AS taxpayer_id,
   o_orderstatus AS right_to_transact, cast(year(o_orderdate) AS VARCHAR) AS report_year
-FROM orders WHERE o_orderpriority = '1-URGENT'"""
+FROM orders"""

@@ -464,9 +464,9 @@ SELECT concat('P', CAST(c_custkey AS VARCHAR)) AS place_id, coalesce(c_name, '')
   {_PRICE} AS price_level
 FROM customer"""
 
-ORACLE["place_details"] = _w(f"""WITH resp AS (SELECT concat('P', CAST(c_custkey AS VARCHAR)) AS pid,
+ORACLE["place_details"] = _w(f"""WITH resp AS (SELECT concat(CASE WHEN c_acctbal >= 0 THEN 'P' ELSE 'Q' END, CAST(c_custkey AS VARCHAR)) AS pid,
     coalesce(c_name, '') AS name, {_PRICE} AS price_level, CAST(c_custkey AS DOUBLE) / 1000 AS lat
-  FROM customer WHERE c_acctbal >= 0)
+  FROM customer)
 SELECT p.taxpayer_id, p.place_id,
   CASE WHEN NOT {tr('p.place_id')} THEN 'no_place_id' WHEN r.pid IS NOT NULL THEN 'success'
        ELSE 'error' END AS details_status, r.name, r.price_level, r.lat
@@ -538,7 +538,7 @@ ORACLE["places_match"] = _w(f"""WITH {_UREG},
 q AS (SELECT *, {_SQ} AS search_query FROM u),
 resp AS (SELECT search_query, CASE WHEN outlet_name = '' THEN NULL ELSE concat('P', CAST(seq AS VARCHAR)) END AS first_id,
   outlet_name <> '' AS has_hits, seq FROM q WHERE taxpayer_city <> 'GERMANY'),
-resp1 AS (SELECT * FROM resp QUALIFY row_number() OVER (PARTITION BY search_query ORDER BY seq) = 1)
+resp1 AS (SELECT * FROM resp QUALIFY row_number() OVER (PARTITION BY search_query ORDER BY seq DESC) = 1)
 SELECT CASE WHEN {tr('q.taxpayer_number')} THEN q.taxpayer_number END AS taxpayer_id, q.search_query,
   CASE WHEN {strip('q.search_query')} <> '' THEN r.first_id END AS place_id,
   CASE WHEN {strip('q.search_query')} = '' OR r.search_query IS NULL THEN 'error'

@@ -534,10 +534,11 @@ def place_details(spark, sf_dir):
     from recordlink.operators.places import place_details as pd
     cat = _cat(spark, sf_dir)
     req = fx_places(cat).select("taxpayer_id", "place_id")
-    # details were landed only for accounts not in arrears (others were lookup errors)
-    in_good_standing = cat.customer.where(F.col("c_acctbal") >= 0).select(
-        F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("place_id"))
-    resp = _place_responses(cat).join(in_good_standing, "place_id", "left_semi")
+    # details of accounts in arrears were landed under another id (their lookups fail)
+    arrears = cat.customer.select(F.concat(F.lit("P"), F.col("c_custkey").cast("string")).alias("place_id"),
+                                  (F.col("c_acctbal") < 0).alias("_behind"))
+    resp = _place_responses(cat).join(arrears, "place_id").withColumn(
+        "place_id", F.when(F.col("_behind"), F.regexp_replace("place_id", "^P", "Q")).otherwise(F.col("place_id"))).drop("_behind")
     d = pd(req, resp)
     return d.select("taxpayer_id", "place_id", "details_status", "name", "price_level",
                     F.col("geometry.location.lat").alias("lat"))

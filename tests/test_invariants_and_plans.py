@@ -81,7 +81,7 @@ def test_combine_two_exchanges(spark):
 
 def test_filters_and_columns_pushed(spark):
     cat = Catalog(spark, SF_SMALL)
-    acc = fx_account(cat).select("taxpayer_id", "status")
+    acc = fx_account(cat).where(F.col("entity_type") != "AUTOMOBILE").select("taxpayer_id", "status")
     plan = _plan(acc)
     assert "PushedFilters: [IsNotNull(c_mktsegment), Not(EqualTo(c_mktsegment,AUTOMOBILE))]" in plan
     assert "ReadSchema: struct<c_custkey:bigint,c_acctbal:double,c_mktsegment:string>" in plan
