@@ -74,13 +74,13 @@ def _merged_outlets(outlets: DataFrame, key_name: str, order_by, fs) -> DataFram
 
 
 def _attach(base: DataFrame, per_key: DataFrame, fs, key_fields, cond_fn, count_expr,
-            flag: str) -> DataFrame:
+            flag: str, base_unique: bool = False) -> DataFrame:
     from recordlink.operators.skew import salted_join
     bk = stripped_key(base, key_fields)
     b = base.withColumn("_rl_bk", bk)
     j = salted_join(b, per_key.select(F.col(OKEY).alias("_rl_bk"), F.lit(True).alias(OKEY),
                                       *[qcol(f).alias(f"_rl_o_{f}") for f in fs], "_n"),
-                    "_rl_bk", "left")
+                    "_rl_bk", "left", big_unique=base_unique)
     matched = F.col(OKEY).isNotNull()
     do = cond_fn(matched)
     sel = []
@@ -100,8 +100,10 @@ def _attach(base: DataFrame, per_key: DataFrame, fs, key_fields, cond_fn, count_
 
 def attach_outlets(base: DataFrame, outlets: DataFrame, key_fields: Sequence[str] = OUTLET_KEY_FIELDS,
                    order_by="seq", overwrite: bool = False, key_name: str = "taxpayer_id",
-                   fields: Sequence[str] = OUTLET_FIELDS, flag: str = "outlets_attached") -> DataFrame:
-    """Attach outlets to records.
+                   fields: Sequence[str] = OUTLET_FIELDS, flag: str = "outlets_attached",
+                   base_unique: bool = False) -> DataFrame:
+    """Attach outlets to records (E6). ``base_unique`` states that ``base`` has at most one
+    row per key, which saves counting its keys.
 
     A record whose key has outlets and that has no outlet data of its own (or
     ``overwrite``) takes the first outlet's truthy fields at top level and
@@ -112,21 +114,22 @@ def attach_outlets(base: DataFrame, outlets: DataFrame, key_fields: Sequence[str
     own = has_outlet(base, fs)
     return _attach(base, first, fs, key_fields,
                    lambda m: m & (F.lit(overwrite) | ~own),
-                   lambda do: F.when(do, F.col("_n")), flag)
+                   lambda do: F.when(do, F.col("_n")), flag, base_unique)
 
 
 def attach_merged_outlets(base: DataFrame, outlets: DataFrame,
                           key_fields: Sequence[str] = OUTLET_KEY_FIELDS, order_by="seq",
                           store_all: bool = True, key_name: str = "taxpayer_id",
                           fields: Sequence[str] = OUTLET_FIELDS,
-                          flag: str = "outlets_attached") -> DataFrame:
+                          flag: str = "outlets_attached", base_unique: bool = False) -> DataFrame:
     """Attach one merged outlet per record (E7): always overwrites the top-level
     outlet fields with the merged truthy values; ``outlet_count`` is set when the
     taxpayer has more than one outlet and ``store_all``."""
     fs = [f for f in fields if f in outlets.columns]
     merged = _merged_outlets(outlets, key_name, order_by, fs)
     return _attach(base, merged, fs, key_fields, lambda m: m,
-                   lambda do: F.when(do & F.lit(store_all) & (F.col("_n") > 1), F.col("_n")), flag)
+                   lambda do: F.when(do & F.lit(store_all) & (F.col("_n") > 1), F.col("_n")), flag,
+                   base_unique)
 
 
 def outlet_stats(source: DataFrame, attached: DataFrame, key_fields: Sequence[str] = OUTLET_KEY_FIELDS,

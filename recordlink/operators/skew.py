@@ -12,8 +12,8 @@ task. ``salted_join`` splits such keys explicitly:
 3. a hot key's base rows get a deterministic salt in ``[0, n)`` (a hash of the
    row), where ``n = ceil(rows_of_key / hot_rows)``; its single row on the other
    side is repeated ``n`` times, once per salt. Every other key has salt 0;
-4. rows with a NULL key never match, so they take no part in the join: they are
-   added back (left, left-anti) or left out (inner, left-semi).
+4. rows with a NULL key never match; their salt is the whole row hash, so they
+   spread over all tasks, however many there are.
 
 The result equals the plain join for inner, left, left-semi and left-anti joins;
 only the partitioning differs. The salt is a hash of the whole row, so it is the
@@ -72,23 +72,22 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "left",
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"salted_join does not support {how!r}")
     hot_rows = hot_rows_of(big, hot_rows)
-    keyed = big.where(qcol(key).isNotNull())
-    loose = big.where(qcol(key).isNull())
-    if big_unique:
-        out = keyed.join(small, key, how)
-        return _with_loose(out, loose, how)
-    hot = hot_keys(keyed, key, hot_rows, counts, count_col)
     # maps cannot be hashed; any other columns tell the rows of a key apart
     hashable = [c for c in (salt_cols or big.columns) if not _holds_map(big.schema[c].dataType)]
     h = F.xxhash64(*[qcol(c) for c in hashable])
-    b = keyed.join(hot, key, "left")
-    b = b.withColumn(SALT, F.when(F.col(NSALT).isNotNull(), F.pmod(h, F.col(NSALT)))
+    if big_unique:
+        b = big.withColumn(SALT, F.when(qcol(key).isNull(), h).otherwise(F.lit(0)).cast("long"))
+        return b.join(small.withColumn(SALT, F.lit(0).cast("long")), [key, SALT], how).drop(SALT)
+    hot = hot_keys(big, key, hot_rows, counts, count_col)
+    b = big.join(hot, key, "left")
+    b = b.withColumn(SALT, F.when(qcol(key).isNull(), h)
+                     .when(F.col(NSALT).isNotNull(), F.pmod(h, F.col(NSALT)))
                      .otherwise(F.lit(0)).cast("long")).drop(NSALT)
     s = small.join(hot, key, "left")
     s = s.withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("long"),
                                                 (F.coalesce(F.col(NSALT), F.lit(1)) - 1).cast("long"))))
     s = s.drop(NSALT)
-    return _with_loose(b.join(s, [key, SALT], how).drop(SALT), loose, how)
+    return b.join(s, [key, SALT], how).drop(SALT)
 
 
 def _holds_map(dtype: T.DataType) -> bool:
@@ -98,9 +97,3 @@ def _holds_map(dtype: T.DataType) -> bool:
         return _holds_map(dtype.elementType)
     return isinstance(dtype, T.StructType) and any(_holds_map(f.dataType) for f in dtype.fields)
 
-
-def _with_loose(joined: DataFrame, loose: DataFrame, how: str) -> DataFrame:
-    """Key-less rows of the big side: kept by left and left-anti joins only."""
-    if how in ("inner", "left_semi"):
-        return joined
-    return joined.unionByName(loose, allowMissingColumns=True)

@@ -585,13 +585,16 @@ SELECT seq, taxpayer_number FROM r QUALIFY row_number() OVER (PARTITION BY dedup
 ORACLE["processing_summary"] = _w(f"""WITH ids AS (SELECT DISTINCT {ck('taxpayer_number')} AS taxpayer_id
   FROM fx_registry WHERE {ck('taxpayer_number')} IS NOT NULL),
 {_STATUS},
-a AS (SELECT i.taxpayer_id, d.taxpayer_id IS NOT NULL AS hd, coalesce(st.n, 0) > 0 AS hf
-  FROM ids i LEFT JOIN fx_account d ON i.taxpayer_id = d.taxpayer_id LEFT JOIN st ON i.taxpayer_id = st.taxpayer_id)
+failed AS (SELECT DISTINCT concat('3', cast(2000000000 + c_custkey AS VARCHAR)) AS taxpayer_id FROM customer WHERE c_acctbal < 0),
+a AS (SELECT i.taxpayer_id, d.taxpayer_id IS NOT NULL AS hd, coalesce(st.n, 0) > 0 AS hf, f.taxpayer_id IS NOT NULL AS bad
+  FROM ids i LEFT JOIN fx_account d ON i.taxpayer_id = d.taxpayer_id LEFT JOIN st ON i.taxpayer_id = st.taxpayer_id
+  LEFT JOIN failed f ON i.taxpayer_id = f.taxpayer_id)
 SELECT count(*) AS total_records, count(*) FILTER (WHERE hd) AS with_details,
-  count(*) FILTER (WHERE hf) AS with_ftas, 0 AS errors,
+  count(*) FILTER (WHERE hf) AS with_ftas, count(*) FILTER (WHERE bad) AS errors,
   round(CAST(count(*) FILTER (WHERE hd) AS DOUBLE) / count(*) * 100.0, 6) AS with_details_pct,
   round(CAST(count(*) FILTER (WHERE hf) AS DOUBLE) / count(*) * 100.0, 6) AS with_ftas_pct,
-  0.0 AS errors_pct FROM a""", "fx_registry", "fx_account", "fx_status")
+  round(CAST(count(*) FILTER (WHERE bad) AS DOUBLE) / count(*) * 100.0, 6) AS errors_pct
+FROM a""", "fx_registry", "fx_account", "fx_status")
 
 ORACLE["merge_row_counts"] = _w(f"""WITH {_COMBINED}
 SELECT 'registry' AS name, count(*) AS rows FROM fx_registry

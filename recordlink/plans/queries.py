@@ -83,10 +83,10 @@ def enrich_left(spark, sf_dir):
                     "enriched_name", "enriched_rating")
 
 
-def _account_info(cat, ids):
+def _account_info(cat, ids, errors=None):
     from recordlink.sources.landed import account_info
     acc = fx_account(cat)
-    return account_info(ids, details=acc.drop("seq"), status=fx_status(cat))
+    return account_info(ids, details=acc.drop("seq"), status=fx_status(cat), errors=errors)
 
 
 @query
@@ -294,21 +294,21 @@ def _outlet_inputs(spark, sf_dir):
 def outlets_first(spark, sf_dir):
     from recordlink.operators.outlets import attach_outlets
     _, base, outl = _outlet_inputs(spark, sf_dir)
-    return attach_outlets(base, outl).select(*_OUT_COLS)
+    return attach_outlets(base, outl, base_unique=True).select(*_OUT_COLS)
 
 
 @query
 def outlets_merged(spark, sf_dir):
     from recordlink.operators.outlets import attach_merged_outlets
     _, base, outl = _outlet_inputs(spark, sf_dir)
-    return attach_merged_outlets(base, outl).select(*_OUT_COLS)
+    return attach_merged_outlets(base, outl, base_unique=True).select(*_OUT_COLS)
 
 
 @query
 def outlet_stats(spark, sf_dir):
     from recordlink.operators.outlets import attach_outlets, outlet_stats as stats
     reg, base, outl = _outlet_inputs(spark, sf_dir)
-    return stats(reg, attach_outlets(base, outl))
+    return stats(reg, attach_outlets(base, outl, base_unique=True))
 
 
 # ---------------------------------------------------------------------------
@@ -773,10 +773,15 @@ def dedup_nullkeys_one(spark, sf_dir):
 def processing_summary(spark, sf_dir):
     """lookup run summary over the account lookups."""
     from recordlink.operators.aggregate import distinct_keys, processing_summary as ps
+    from recordlink.functions.expr import clean_key
     from recordlink.operators.schema import resolve_key
     cat = _cat(spark, sf_dir)
     reg = fx_registry(cat)
-    s = ps(_account_info(cat, distinct_keys(reg, resolve_key(reg))))
+    # lookups of customers in arrears were answered with an error
+    failed = cat.customer.select(F.concat(F.lit("3-"), (F.lit(2000000000) + F.col("c_custkey")).cast("string")).alias("k"),
+                                 F.when(F.col("c_acctbal") < 0, F.lit("HTTP 503")).alias("error"))
+    failed = failed.select(clean_key("k").alias("taxpayer_id"), "error")
+    s = ps(_account_info(cat, distinct_keys(reg, resolve_key(reg)), errors=failed))
     return s.select("total_records", "with_details", "with_ftas", "errors",
                     F.round("with_details_pct", 6).alias("with_details_pct"),
                     F.round("with_ftas_pct", 6).alias("with_ftas_pct"),

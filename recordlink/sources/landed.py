@@ -37,12 +37,13 @@ def parse_detail_body(df: DataFrame, body_col: str, schema: str | T.DataType,
 
 def account_info(ids: DataFrame, details: DataFrame | None = None, status: DataFrame | None = None,
                  key: str = "taxpayer_id", order_by="seq", include_details: bool = True,
-                 include_status: bool = True) -> DataFrame:
+                 include_status: bool = True, errors: DataFrame | None = None) -> DataFrame:
     """One row per requested id (A11, A12, flattened as C16).
 
     Columns: ``key``, ``has_details``, ``has_ftas``, ``ftas_count``, ``detail_<f>``
     for each detail field (NULL without details), ``ftas_<f>`` of the first status
-    record by ``order_by``, and ``error`` (NULL). Switching both parts off gives
+    record by ``order_by``, and ``error``: the landed failure of the key's lookup from
+    ``errors`` (``key, error``; the greatest text where there are several). Switching both parts off gives
     no rows; switching one off gives its empty form.
     """
     req = ids.select(qcol(key)).where(qcol(key).isNotNull()).distinct()
@@ -57,7 +58,9 @@ def account_info(ids: DataFrame, details: DataFrame | None = None, status: DataF
             d = pick_per_key(details, qcol(key), order_col(order_by), keep_nulls=False,
                              pick="max", key_out="_rl_dk").drop(key)
         else:
-            d = details.withColumnRenamed(key, "_rl_dk").dropDuplicates(["_rl_dk"])
+            # no order column: the greatest row, so that every run picks the same one
+            d = (details.groupBy(qcol(key).alias("_rl_dk")).agg(F.max(F.struct(*[qcol(c) for c in dfields])).alias("_rl_r"))
+                 .select("_rl_dk", "_rl_r.*"))
         d = d.select("_rl_dk", F.lit(True).alias("_rl_hd"),
                      *[qcol(c).alias(f"detail_{c}") for c in dfields])
         out = out.join(d, out[key] == d["_rl_dk"], "left").drop("_rl_dk")
@@ -75,10 +78,15 @@ def account_info(ids: DataFrame, details: DataFrame | None = None, status: DataF
         scols = [f"ftas_{c}" for c in sfields]
     else:
         out = out.withColumn("_rl_n", F.lit(None).cast("bigint"))
+    failure = F.lit(None).cast("string")
+    if errors is not None:
+        e = errors.groupBy(qcol(key).alias("_rl_ee")).agg(F.max("error").alias("_rl_error"))
+        out = out.join(e, out[key] == e["_rl_ee"], "left").drop("_rl_ee")
+        failure = F.col("_rl_error").cast("string")
     return out.select(
         qcol(key),
         F.coalesce(F.col("_rl_hd"), F.lit(False)).alias("has_details"),
         (F.coalesce(F.col("_rl_n"), F.lit(0)) > 0).alias("has_ftas"),
         F.coalesce(F.col("_rl_n"), F.lit(0)).cast("bigint").alias("ftas_count"),
         *[qcol(c) for c in dcols], *[qcol(c) for c in scols],
-        F.lit(None).cast("string").alias("error"))
+        failure.alias("error"))

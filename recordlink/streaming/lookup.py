@@ -11,18 +11,14 @@ from __future__ import annotations
 
 from typing import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def map_batches(df: DataFrame, fn: Callable, schema: T.StructType | str,
-                max_records_per_batch: int | None = None) -> DataFrame:
-    """Apply ``fn(pandas.DataFrame) -> pandas.DataFrame`` to Arrow batches (L1)."""
-    if max_records_per_batch:
-        df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch",
-                                 str(max_records_per_batch))
-
+def map_batches(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
+    """Apply ``fn(pandas.DataFrame) -> pandas.DataFrame`` to Arrow batches (L1). The batch size
+    is the session's ``spark.sql.execution.arrow.maxRecordsPerBatch``."""
     def run(it: Iterator):
         for pdf in it:
             yield fn(pdf)
@@ -36,14 +32,15 @@ def transform(df: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
 
 
 def lookup_batch(keys: DataFrame, key: str, fetch_fn: Callable[[str], dict | None],
-                 schema: T.StructType, max_parallel: int = 8, cache: DataFrame | None = None,
-                 cache_key: str | None = None) -> DataFrame:
+                 schema: T.StructType, max_parallel: int | None = None, cache: DataFrame | None = None,
+                 cache_key: str | None = None, cache_order: str | None = None) -> DataFrame:
     """Look up each distinct key once (L2).
 
     Output: ``key``, the ``schema`` fields, ``error`` (text or NULL) and
     ``from_cache``. Cached rows (``cache`` holding ``key`` and the schema fields)
-    are used as they are; the rest go to ``fetch_fn`` in ``max_parallel``
-    partitions. ``fetch_fn`` returns a dict of schema fields or None (not found).
+    are used as they are, the last one per key by ``cache_order`` (without it the greatest
+    row); the rest go to ``fetch_fn`` in ``max_parallel`` partitions (default: the session's
+    parallelism). ``fetch_fn`` returns a dict of schema fields or None (not found).
     Every action on the result runs the lookups again: ``persist`` it (or write
     it) before using it twice.
     """
@@ -56,8 +53,10 @@ def lookup_batch(keys: DataFrame, key: str, fetch_fn: Callable[[str], dict | Non
     todo = k
     if cache is not None:
         c = cache.select(F.col(ck).cast("string").alias(key),
-                         *[F.col(n).cast(schema[n].dataType).alias(n) for n in field_names])
-        c = c.dropDuplicates([key])
+                         *[F.col(n).cast(schema[n].dataType).alias(n) for n in field_names],
+                         *([F.col(cache_order).alias("_rl_co")] if cache_order else []))
+        row = F.struct(*[F.col(n) for n in field_names])
+        c = c.groupBy(key).agg((F.max_by(row, "_rl_co") if cache_order else F.max(row)).alias("_rl_r")).select(key, "_rl_r.*")
         hits = c.join(k, key, "left_semi").withColumn("error", F.lit(None).cast("string"))
         todo = k.join(c.select(key), key, "left_anti")
 
@@ -78,21 +77,21 @@ def lookup_batch(keys: DataFrame, key: str, fetch_fn: Callable[[str], dict | Non
                 rows.append(rec)
             yield pd.DataFrame(rows, columns=[key, *field_names, "error"])
 
-    fetched = todo.repartition(max_parallel, key).mapInPandas(run, out_schema) \
+    fetched = todo.repartition(max_parallel or keys.sparkSession.sparkContext.defaultParallelism, key).mapInPandas(run, out_schema) \
         .withColumn("from_cache", F.lit(False))
     if hits is None:
         return fetched
     return hits.withColumn("from_cache", F.lit(True)).unionByName(fetched)
 
 
-def key_of(c: Column) -> Column:
-    return c.cast("string")
-
-
-def append_to_cache(results: DataFrame, cache_path: str, cache_errors: bool = False) -> None:
+def append_to_cache(results: DataFrame, cache_path: str, cache_errors: bool = False,
+                    key: str | None = None) -> None:
     """Append freshly fetched rows to a Parquet cache table (E11). Rows that came
-    from the cache are not written again; error rows only with ``cache_errors``."""
+    from the cache are not written again; error rows and not-found rows (every field
+    but the key, the first column unless named, is NULL) only with ``cache_errors``."""
     new = results.where(~F.col("from_cache"))
     if not cache_errors:
-        new = new.where(F.col("error").isNull())
+        fields = [c for c in results.columns if c not in (key or results.columns[0], "error", "from_cache")]
+        found = F.exists(F.array(*[F.col(c).isNotNull() for c in fields]), lambda x: x)
+        new = new.where(F.col("error").isNull() & found)
     new.drop("from_cache").write.mode("append").parquet(cache_path)
