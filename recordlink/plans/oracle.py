@@ -612,3 +612,23 @@ j AS (SELECT n.name AS query_name, r.seq, r.taxpayer_city FROM fx_registry r
     JOIN names n ON upper(r.taxpayer_city) = upper(n.name))
 SELECT query_name, seq, taxpayer_city FROM j
   QUALIFY row_number() OVER (PARTITION BY query_name ORDER BY seq) <= 10""", "fx_registry")
+
+
+ORACLE["table_manifest"] = "SELECT TRUE AS all_verified, count(*) > 0 AS any_files FROM customer"
+
+ORACLE["table_fingerprint"] = """SELECT count(*) AS rows, TRUE AS copy_equal, FALSE AS altered_equal FROM customer"""
+
+ORACLE["json_lines_as_json"] = "SELECT c_custkey, c_name, c_mktsegment FROM customer"
+
+ORACLE["csv_text_roundtrip"] = """SELECT CAST(doc_id AS VARCHAR) AS doc_id,
+  md5(concat('said "', text, '", twice')) AS text_md5 FROM documents"""
+
+ORACLE["dedup_null_order"] = """SELECT o_custkey,
+  min(CASE WHEN o_orderkey % 3 <> 0 THEN CAST(floor(o_orderkey / 50) AS BIGINT) END) AS seq
+FROM orders GROUP BY o_custkey"""
+
+ORACLE["stream_replay"] = """WITH first AS (SELECT o_custkey, min(o_orderkey) AS seq FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1),
+second AS (SELECT o_custkey, min(o_orderkey) AS seq FROM orders WHERE o_orderkey % 2 = 1
+  AND o_custkey NOT IN (SELECT o_custkey FROM first) GROUP BY 1)
+SELECT seq, CAST(o_custkey AS VARCHAR) AS taxpayer_id FROM first UNION ALL
+SELECT seq, CAST(o_custkey AS VARCHAR) FROM second"""

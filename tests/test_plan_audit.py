@@ -20,7 +20,8 @@ WINDOW_OK = {
     "assign_batches",      # offsets over one row per partition
     "validation_errors",   # same
 }
-SIDE_EFFECT = {"table_manifest", "stream_ingest", "json_roundtrip", "csv_roundtrip"}
+SIDE_EFFECT = {"table_manifest", "stream_ingest", "json_roundtrip", "csv_roundtrip",
+               "table_fingerprint", "json_lines_as_json", "csv_text_roundtrip", "stream_replay"}
 
 
 def _plan(df):
