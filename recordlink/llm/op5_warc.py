@@ -30,8 +30,9 @@ CHUNKS = ("page_id long, record_id string, record_type string, refers_to long, c
 
 
 def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
-                 min_bytes: int = 100) -> DataFrame:
-    """``page_id, url, payload, digest, refers_to``: revisits name the first equal payload."""
+                 min_bytes: int = 100, broadcast_rows: int = 100_000) -> DataFrame:
+    """``page_id, url, payload, digest, refers_to``: revisits name the first equal payload. At most
+    ``broadcast_rows`` rows of two ids and a digest (about 100 bytes each) are ever broadcast."""
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         payload.alias("payload"))
@@ -42,6 +43,10 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
               .filter(F.col("page_id") > F.col("_all_page_id"))
               .select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"),
                       F.col("_all_page_id").alias("refers_to")).distinct())
+    firsts = keep(firsts, "revisits")
+    # Few revisits (a checked count) go to every task, so payloads are not shuffled; many are joined.
+    if firsts.count() <= broadcast_rows:
+        firsts = F.broadcast(firsts)
     return (rows.withColumn("digest", digest)
             .join(firsts, (F.col("page_id") == F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
             .select("page_id", "url", "payload", "digest", "refers_to"))

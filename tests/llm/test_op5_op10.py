@@ -54,6 +54,12 @@ def test_warc_round_trip(spark):
     assert texts == Counter((i, p) for i, p in data if not (first.get(p) is not None and i is not None and i > first[p]))
 
 
+def test_plan_is_the_same_joined_or_broadcast(spark):
+    from recordlink.llm.op5_warc import plan_records
+    a, b = (Counter((r.page_id, r.digest, r.refers_to) for r in plan_records(_pages(spark), broadcast_rows=n).collect()) for n in (0, 1000))
+    assert a == b and sum(a.values()) == _pages(spark).count()
+
+
 def test_warc_is_readable_gzip(spark):
     import gzip
     m = write_warc(_pages(spark).coalesce(1)).first()
