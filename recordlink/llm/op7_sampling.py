@@ -57,18 +57,22 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0):
     weight = (weight - math.log(np.exp(weight).sum())) * temperature
     rare = float(weight.min())
     odd = np.uint64(0x9E3779B97F4A7C15)
-    # Pieces by length in code points: sorted 64-bit polynomial hashes for the substring look-up.
-    by_length = {}
-    for n in sorted({len(p) for p in pieces}):
-        rows = [i for i, p in enumerate(pieces) if len(p) == n]
-        codes = np.array([[ord(c) for c in pieces[i]] for i in rows], np.uint64)
-        h = np.zeros(len(rows), np.uint64)
-        with np.errstate(over="ignore"):
-            for c in codes.T:
-                h = (h ^ c) * odd
-                h ^= h >> np.uint64(29)
-        order = np.argsort(h)
-        by_length[n] = (h[order], np.array(plain)[rows][order], weight[rows][order])
+    # Per length in code points: sorted 64-bit polynomial hashes of all piece prefixes of that
+    # length, with the piece's id and weight where the prefix is a whole piece (else -1).
+    width = np.array([len(p) for p in pieces])
+    codes = np.zeros((len(pieces), int(width.max())), np.uint64)
+    for i, p in enumerate(pieces):
+        codes[i, :len(p)] = [ord(c) for c in p]
+    by_length, h = {}, np.zeros(len(pieces), np.uint64)
+    with np.errstate(over="ignore"):
+        for n in range(1, codes.shape[1] + 1):
+            h = (h ^ codes[:, n - 1]) * odd
+            h ^= h >> np.uint64(29)
+            table = np.unique(h[width >= n])
+            ids, cost = np.full(len(table), -1), np.zeros(len(table))
+            whole = width == n
+            ids[np.searchsorted(table, h[whole])], cost[np.searchsorted(table, h[whole])] = np.array(plain)[whole], weight[whole]
+            by_length[n] = (table, ids, cost)
     longest = max(by_length)
     units = re.compile("▁+[^▁\n]*|[^▁\n]+|\n")
     mix1, mix2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -98,17 +102,18 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0):
             g = (h[at] ^ text[at + length - 1]) * odd
             g ^= g >> np.uint64(29)
             h[at] = g
-            if length in by_length:
-                hs, ids, ws = by_length[length]
-                place = np.minimum(np.searchsorted(hs, g), len(hs) - 1)
-                hit = hs[place] == g
-                s = at[hit]
-                start.append(s)
-                end.append(s + length)
-                piece.append(ids[place[hit]])
-                cost.append(ws[place[hit]])
-                if length == 1:
-                    single[s] = True
+            table, ids, costs = by_length[length]
+            place = np.minimum(np.searchsorted(table, g), len(table) - 1)
+            known = table[place] == g               # else no piece goes on from here
+            at, place = at[known], place[known]
+            hit = ids[place] >= 0
+            s = at[hit]
+            start.append(s)
+            end.append(s + length)
+            piece.append(ids[place[hit]])
+            cost.append(costs[place[hit]])
+            if length == 1:
+                single[s] = True
         odd_ones = pos[~single]                     # outside the vocabulary: spelt in bytes, -1 - code point
         cp = text[odd_ones].astype(np.int64)
         n_bytes = 1 + (cp > 0x7F) + (cp > 0x7FF) + (cp > 0xFFFF)
