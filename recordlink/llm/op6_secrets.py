@@ -7,9 +7,13 @@ The lexer then reads the text as source or configuration: around every ``=``, ``
 ``=>`` it takes the target name before it (plain, quoted, dotted or indexed) and the expression
 after it: quoted strings, bare words, names, joined by ``+`` or ``.`` . Literals are bound to
 names and constants are propagated: ``a = "..."; b = a; password = b`` reports the literal where
-it stands. A literal is scored by its targets' sensitive name parts and by its own make-up
-(length, mixture, entropy, placeholders); from ``threshold`` on its span is reported as
-``literal``.
+it stands. A literal's make-up (length, mixture, entropy, placeholders) gives 0 to 1 in quarters;
+a strong target name (``password``, ``token``, also inside a joined name such as ``dbpassword``)
+adds 0.25, a weak one (``key``, ``auth``, ``pass``, ``dsn``; whole name parts) adds nothing, other
+names are not scored. From ``threshold`` on, by default 1, the span is reported as ``literal``:
+under a strong name at a make-up of 0.75, under a weak one at a full 1. Quoted values with spaces
+count under pass-phrase names only, and not if they read as a prompt; unquoted words without a
+digit are prose.
 
 Whole texts are scanned, positions are code points, end exclusive. Edge cases: a null text is
 empty and has no span; empty texts, null ids and repeated rows give one result each; empty
@@ -55,18 +59,27 @@ def secret_scanner(threshold: float = 1.0):
     pairs = {("api", "key"), ("private", "key"), ("access", "key"), ("secret", "key"), ("auth", "key"),
              ("encryption", "key"), ("signing", "key"), ("master", "key"), ("pass", "word"), ("pass", "phrase"),
              ("connection", "string")}
+    # Strong words and pairs inside one part of a joined name; tokenizer, secretary and the like are other words.
+    inner = "|".join(sorted(strong - {"token", "secret"} | {a + b for a, b in pairs}, key=len, reverse=True))
+    joined = re.compile(rf"{inner}|token(?!i[sz](?:e|ing|ation))|secret(?!ar[iy]|e[ds]?$|i(?:ng|on|ve)|ory?$|ly$)")
+    phrase = re.compile(r"passphrase|(?<![a-z])pass_phrase")
+    prompt = re.compile(r"(?i)\b(?:enter|type|please|your|pass[\s_-]?(?:phrase|word)s?)\b")
     weak = {"key", "auth", "pass", "salt", "cert", "signature", "login", "dsn", "conn"}
     dummy = re.compile(r"(?i)^(?:change_?me|example|placeholder|redacted|dummy|sample|test|none|null|true|false|"
                        r"undefined|todo|your[_\-].*|my[_\-].*|x+|\*+|\.+|-+|<.*>|\$\{.*\}|\{\{.*\}\}|%\w+%|\$\w+)$")
 
-    def name_score(name: str) -> float:
+    def name_score(name: str) -> float | None:
+        """What the name adds to a literal's score; None: the name is not sensitive."""
         words = [w.lower() for w in part.findall(name)]
-        if strong.intersection(words) or any(p in pairs for p in zip(words, words[1:])):
-            return 1.0
-        return 0.4 if weak.intersection(words) else 0.0
+        if any(joined.search(w) for w in words) or any(p in pairs for p in zip(words, words[1:])):
+            return 0.25
+        return 0.0 if weak.intersection(words) else None
 
-    def literal_score(value: str) -> float:
-        if len(value) < 6 or dummy.match(value) or any(c.isspace() for c in value):
+    def literal_score(value: str, spaces: bool) -> float:
+        """0 to 1; ``spaces``: the target holds a pass phrase, so the value may have spaces."""
+        if len(value) < 6 or dummy.match(value):
+            return 0.0
+        if any(c.isspace() for c in value) and (not spaces or prompt.search(value)):
             return 0.0
         n = len(value)
         bits = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
@@ -134,9 +147,9 @@ def secret_scanner(threshold: float = 1.0):
             best: dict[tuple[int, int], float] = {}
             for name, whole, s, e in named_literals(text):
                 score = name_score(name)
-                if score:
-                    score += literal_score(whole)
-                    if score >= 0.75 + threshold and e > s:
+                if score is not None:
+                    score += literal_score(whole, bool(phrase.search("_".join(part.findall(name)).lower())))
+                    if score >= threshold and e > s:
                         best[s, e] = max(score, best.get((s, e), 0.0))
             out += [("literal", s, e, x) for (s, e), x in best.items()]
         if "AKIA" in text:

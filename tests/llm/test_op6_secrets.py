@@ -67,6 +67,40 @@ def test_lexer_leaves_harmless_values():
         assert found(text) == set(), text
 
 
+def test_weak_names_report_full_scoring_literals():
+    for name in ("key", "auth", "DB_PASS", "salt", "cert", "signature", "login", "dsn", "conn"):
+        assert found(f"{name} = 'Xq9!r7LmZ2vTk'") == {"Xq9!r7LmZ2vTk"}, name
+    assert found("auth: 'Xq9!r7LmZ2vTk'") == {"Xq9!r7LmZ2vTk"}
+    assert found("dsn = 'postgres://app:u7Ghh2@db/main'") == {"postgres://app:u7Ghh2@db/main"}
+    for text in ("DB_PASS = 'changeme'", "key = 'colour'", "auth: 'basic'", "login = 'aaaaaaaaaaaa1'"):
+        assert found(text) == set(), text
+
+
+def test_strong_words_inside_joined_names():
+    for name in ("dbpassword", "authtoken", "clientsecret", "DBPASSWORD", "awssecretkey", "userpwd", "refreshtokens",
+                 "app.dbpassword", "tokenvalue", "encryptionkey", "secretid", "tokenissuer"):
+        assert found(f"{name} = 'q8!p#x2Lm'") == {"q8!p#x2Lm"}, name
+    for name in ("tokenizer", "secretary", "tokenization", "secretion", "monkey", "compass"):
+        assert found(f"{name} = 'q8!p#x2Lm9vT'") == set(), name
+
+
+def test_pass_phrases_with_spaces():
+    for name in ("passphrase", "pass_phrase", "sshPassPhrase", "keypassphrase"):
+        assert found(f'{name} = "correct horse battery staple"') == {"correct horse battery staple"}, name
+    for text in ('passphrase: "Enter the passphrase"', 'password: "correct horse battery staple"',
+                 'title = "correct horse battery staple"', 'compass_phrase = "correct horse battery staple"',
+                 "passphrase: none of that matters"):
+        assert found(text) == set(), text
+
+
+def test_report_and_redact_weak_names(spark):
+    docs = spark.createDataFrame([(1, "DB_PASS = 'Xq9!r7LmZ2vTk'"), (2, 'passphrase = "correct horse battery staple"'),
+                                  (3, "dbpassword = 'q8!p#x2Lm'")], "doc_id long, text string")
+    assert {(r.doc_id, r.n_literal) for r in secret_report(docs).collect()} == {(1, 1), (2, 1), (3, 1)}
+    assert {(r.doc_id, r.text) for r in redact(docs).collect()} == {
+        (1, "DB_PASS = '[secret]'"), (2, 'passphrase = "[secret]"'), (3, "dbpassword = '[secret]'")}
+
+
 def test_positions_are_code_points():
     text = "東京 é 😀 my_secret = 'q8Zp!x2Lm9vT'"
     assert [(text[s:e]) for k, s, e, _ in secret_scanner()(text) if k == "literal"] == ["q8Zp!x2Lm9vT"]
