@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from recordlink.llm.op5_warc import read_chunks, read_records, write_warc
 from recordlink.llm.op10_sharding import assign_shards, write_shards
@@ -124,3 +125,22 @@ def test_written_shards(spark, tmp_path):
     write_shards(docs, str(tmp_path / "s"), 5)
     back = spark.read.parquet(str(tmp_path / "s"))
     assert sorted(r.text for r in back.select("text").collect()) == sorted(r.text for r in docs.select("text").collect())
+
+
+def test_written_shards_hold_every_row(spark, tmp_path):
+    twins = spark.createDataFrame([(6, "same", "en", "a", 4), (6, "same", "de", "b", 4), (6, "same", "de", None, 5),
+                                   (None, "same", "en", "a", 4), (None, "same", "en", "a", 4)],
+                                  "doc_id long, text string, lang string, source string, n_chars long")
+    docs = edge_documents(spark).unionByName(twins, allowMissingColumns=True).withColumn("_row", F.lit(7))
+    write_shards(docs, str(tmp_path / "s"), 4)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert sorted(back.columns) == sorted([*docs.columns, "shard", "slot"])
+    rows = back.collect()
+    assert Counter(tuple(r[c] for c in docs.columns) for r in rows) == Counter(map(tuple, docs.collect()))
+
+    def place(rows, size, crc):
+        return Counter((r.doc_id, r.source, size(r), crc(r), r.shard, r.slot) for r in rows)
+
+    plan = assign_shards(docs, 4).collect()      # rows with equal keys may swap their slots, others not
+    assert place(rows, lambda r: len((r.text or "").encode()) + 16, lambda r: zlib.crc32((r.text or "").encode())) \
+        == place(plan, lambda r: r.size, lambda r: r.text_crc32)
