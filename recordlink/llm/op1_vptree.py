@@ -211,26 +211,40 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20, factor: float = 1.0,
         norm = (q * q).sum(1) + top
         kept_score = np.full((len(q), k + 1), -np.inf)
         kept_row = np.full((len(q), k + 1), -1)
+        first = np.array([i[0] for i in ids])
+        # Twice what a matrix product may differ from the scores below, by rounding.
+        slack = 4 * (dim + 1) * np.finfo(float).eps * np.sqrt((q * q).sum(1) * max(top, (x * x).sum(1).max()))
+
+        def exact(at, rows):
+            """Scores summed the same way for every pair, whatever the block, so that ties are ties."""
+            out = np.empty(len(at))
+            for i in range(0, len(at), 16_384):
+                out[i:i + 16_384] = (x[rows[i:i + 16_384]] * q[at[i:i + 16_384]]).sum(1)
+            return out
 
         def visit(r, cand):
             s = q[r] @ x[cand].T
-            score = np.hstack([kept_score[r], s])
-            row = np.hstack([kept_row[r], np.broadcast_to(cand, s.shape)])
-            top_at = np.argsort(-score, axis=1, kind="stable")[:, :k + 1]
-            kept_score[r] = np.take_along_axis(score, top_at, 1)
-            kept_row[r] = np.take_along_axis(row, top_at, 1)
+            kth = -np.partition(-np.hstack([kept_score[r], s]), k, axis=1)[:, k]
+            near = s >= (kth - slack[r])[:, None]
+            hit = np.flatnonzero(near.any(1))
+            if len(hit):
+                at, col = np.nonzero(near[hit])
+                s, h = np.full((len(hit), len(cand)), -np.inf), r[hit]
+                s[at, col] = exact(h[at], cand[col])
+                score = np.hstack([kept_score[h], s])
+                row = np.hstack([kept_row[h], np.broadcast_to(cand, s.shape)])
+                top_at = np.lexsort((first[row], -score))[:, :k + 1]     # smallest first ids among ties
+                kept_score[h] = np.take_along_axis(score, top_at, 1)
+                kept_row[h] = np.take_along_axis(row, top_at, 1)
             # the (k+1)-th vector bounds the k-th neighbour, the query's own vector counted out
             return np.minimum(limits[r], np.sqrt(np.maximum(norm[r] - 2 * kept_score[r, k], 0)) * (1 + 1e-9) + 1e-9)
 
         tau = limits.copy()
         search_tree(pts, nodes, lifted, tau, factor, visit)
-        first = np.array([i[0] for i in ids])
         out = []
         for i in range(len(q)):
             ok = kept_row[i] >= 0
             rr, ss = kept_row[i][ok], kept_score[i][ok]
-            # exact scores of the kept vectors, then smallest ids among ties
-            ss = (x[rr] * q[i]).sum(1)
             for j in np.lexsort((first[rr], -ss)):
                 out += [(int(qid[i]), n, float(ss[j])) for n in ids[rr[j]] if n != qid[i]]
         return out

@@ -49,6 +49,23 @@ def test_recall_at_production_factor(spark):
     assert hit >= 0.9 * sum(map(len, want.values()))
 
 
+@pytest.mark.parametrize("scale", [1.0, 0.1])
+def test_different_vectors_with_equal_scores(spark, scale):
+    """Ties go to the smallest ids, whichever leaf or shard holds them; 0.1: sums that round."""
+    rng = np.random.default_rng(3)
+    grid = np.array(np.meshgrid(*[[-1.0, 0.0, 1.0]] * 5)).reshape(5, -1).T
+    grid = grid[np.any(grid != 0, axis=1)] * scale
+    rows = [(int(i), v.tolist()) for i, v in zip(rng.permutation(len(grid)), grid)]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want, x = {}, np.array([v for _, v in rows])
+    for q, v in rows:
+        if q % 20 == 0:
+            score = (x * np.array(v)).sum(1)
+            want[q] = sorted(((i, float(s)) for (i, _), s in zip(rows, score) if i != q), key=lambda p: (-p[1], p[0]))[:5]
+    _compare(nearest(t, k=5, cells=2, shard_rows=500, block_rows=4, leaf=8).collect(), want)
+    _compare(nearest(t, k=5, cells=8, shard_rows=20, block_rows=100, leaf=64).collect(), want)
+
+
 def test_edge_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 2.0]), (1, [3.0, -1.0]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]),
