@@ -32,6 +32,22 @@ from pyspark.sql import functions as F
 from recordlink.llm.encoding import vocabulary_path
 
 SAMPLES = "doc_id long, sample int, n_pieces long, ids_crc32 long, log_prob double, log_inclusion double, ids array<int>"
+DECODED = SAMPLES.replace("ids array<int>", "text_crc32 long, round_trip boolean")
+
+
+def make_decoder(model: str):
+    """Functions ids -> text and text -> the normalised text that its ids decode to."""
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=model)
+    lead = sp.normalize("a").startswith("▁")       # the model puts a blank before every text
+
+    def back(ids):
+        return None if ids is None else sp.decode(ids) if ids else ""
+
+    def normal(text):
+        return sp.normalize(text).replace("▁", " ")[lead:] if text else ""
+
+    return back, normal
 
 
 def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0):
@@ -278,8 +294,10 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0):
 def sample_encodings(docs: DataFrame, k: int = 2, seed: int = 0, model: str | None = None, id_col: str = "doc_id",
                      text_col: str = "text", temperature: float = 1.0, with_ids: bool = True) -> DataFrame:
     """``doc_id, sample`` (from 1, falling perturbed value), ``n_pieces, ids_crc32, log_prob,
-    log_inclusion`` and, unless ``with_ids`` is off, ``ids``."""
+    log_inclusion`` and ``ids``; with ``with_ids`` off, in place of the ids what they decode to:
+    ``text_crc32`` of the decoded text and ``round_trip``, whether it is the normalised text."""
     model = model or vocabulary_path("piece_bpe_32k.model")
+    schema = SAMPLES if with_ids else DECODED
 
     def run(batches):
         import zlib
@@ -287,8 +305,16 @@ def sample_encodings(docs: DataFrame, k: int = 2, seed: int = 0, model: str | No
         import numpy as np
         import pyarrow as pa
         draw = make_sampler(model, k, seed, temperature)
-        names = [f.rsplit(" ", 1)[0] for f in SAMPLES.split(", ")]
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int32())]
+        back, normal = make_decoder(model)
+        names = [f.rsplit(" ", 1)[0] for f in schema.split(", ")]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
+                 *([pa.list_(pa.int32())] if with_ids else [pa.int64(), pa.bool_()])]
+
+        def last(got, text):
+            if with_ids:
+                return (got.astype(np.int32),)
+            decoded = back(got.tolist())
+            return zlib.crc32(decoded.encode()), decoded == text
 
         def blocks(texts):
             """Row ranges of about three million characters, one row at least."""
@@ -303,15 +329,15 @@ def sample_encodings(docs: DataFrame, k: int = 2, seed: int = 0, model: str | No
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for lo, hi in blocks(texts):
                 rows = []
-                for doc, found in zip(ids[lo:hi], draw(texts[lo:hi], ids[lo:hi])):
+                for doc, text, found in zip(ids[lo:hi], texts[lo:hi], draw(texts[lo:hi], ids[lo:hi])):
+                    text = None if with_ids else normal(text)
                     for j, (got, log_p, log_q) in enumerate(found):
                         rows.append((doc, j + 1, len(got), zlib.crc32(got.astype("<u4").tobytes()), round(log_p, 6),
-                                     round(log_q, 6), got.astype(np.int32) if with_ids else None))
+                                     round(log_q, 6), *last(got, text)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
-    out = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-           .mapInArrow(run, SAMPLES))
-    return out if with_ids else out.drop("ids")
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+            .mapInArrow(run, schema))
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", out_col: str = "text", model: str | None = None) -> DataFrame:
@@ -323,10 +349,9 @@ def decode(encoded: DataFrame, ids_col: str = "ids", out_col: str = "text", mode
 
     def run(batches):
         import pyarrow as pa
-        import sentencepiece
-        sp, target = sentencepiece.SentencePieceProcessor(model_file=model), arrow_schema(schema)
+        back, target = make_decoder(model)[0], arrow_schema(schema)
         for b in batches:
-            texts = [None if x is None else sp.decode(x) if x else "" for x in b.column(at).to_pylist()]
+            texts = [back(x) for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=target.names)
 
     return encoded.mapInArrow(run, schema)

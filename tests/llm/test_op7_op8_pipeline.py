@@ -76,6 +76,16 @@ def test_round_trip_and_partition_independence(spark):
     assert sample_encodings(empty_documents(spark)).count() == 0
 
 
+def test_digest_comes_from_the_decoded_text(spark):
+    import zlib
+    docs = edge_documents(spark).select("doc_id", "text").unionByName(
+        spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text"))
+    rows = sample_encodings(docs, k=2, with_ids=False).collect()
+    assert all(r.round_trip for r in rows)
+    want = Counter((d.doc_id, zlib.crc32((d.text or "").encode())) for d in docs.collect())
+    assert Counter((r.doc_id, r.text_crc32) for r in rows if r["sample"] == 1) == want
+
+
 # --- Jaccard join ------------------------------------------------------------------------------
 
 def shingles(text, k):
