@@ -16,6 +16,7 @@ from recordlink.llm.op7_sampling import sample_encodings
 from recordlink.llm.op8_jaccard import jaccard_components
 from recordlink.llm.op10_sharding import assign_shards
 from recordlink.llm import op11_filter_audit as filters
+from recordlink.llm.op12_personal_data import personal_report
 from recordlink.llm import op13_conversations as conversations
 
 
@@ -66,6 +67,10 @@ def op11_filter_audit(spark, sf_dir):
     return filters.filter_audit(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
+def op12_personal_data(spark, sf_dir):
+    return personal_report(documents(spark, sf_dir))
+
+
 def op13_conversation_repair(spark, sf_dir):
     rows = documents(spark, sf_dir, "conversations")
     return conversations.repair_report(conversations.damage(rows), rows)
@@ -77,6 +82,6 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_nearest, op2_packing, op3_quality_rules, op4_url_lists, op5_warc, op6_secret_scans,
-                                   op7_sampled_encoding, op8_jaccard_join, op9_binary_output, op10_sharding, op11_filter_audit,
+                                   op7_sampled_encoding, op8_jaccard_join, op9_binary_output, op10_sharding, op11_filter_audit, op12_personal_data,
                                    op13_conversation_repair, pipeline)}
 ORACLE: dict[str, str] = {"op4_url_lists": lists.SQL, "op11_filter_audit": filters.SQL}
