@@ -25,7 +25,18 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     there, so a lost executor costs a re-read and never a second, different computation."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept._llm_path = path
+    return kept
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables written by ``keep`` that no later step reads."""
+    for df in tables:
+        if path := getattr(df, "_llm_path", None):
+            spark = df.sparkSession
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def tasks_of(spark: SparkSession) -> int:
