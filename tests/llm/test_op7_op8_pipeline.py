@@ -225,3 +225,20 @@ def test_stages_take_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         cur = stage(spark, cur, "/nowhere")
         assert cur.count() == 0
+
+
+def test_outlying_copies_and_null_ids(spark):
+    """A family whose copies link to its middle only, outliers that link to nothing, and rows without ids."""
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(60)]
+    rows = [" ".join(base)]
+    for i in range(120):
+        w = list(base)
+        for at in rng.sample(range(0, 60, 12), 1 + i % 3):
+            w[at + rng.randrange(4)] = f"x{rng.randrange(10 ** 6)}"
+        rows.append(" ".join(w))
+    rows += [" ".join(base[:40]) + " " + " ".join(f"o{i}w{j}" for j in range(20 + i % 9)) for i in range(60)]
+    data = [(i if i % 3 else None, t) for i, t in enumerate(rows)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    for settings in ({}, dict(group_rows=8, hot_groups=2)):
+        assert Counter(tuple(r) for r in jaccard_components(docs, 3, 80, **settings).collect()) == Counter(brute_components(data, 3, 80))
