@@ -210,27 +210,74 @@ def attach_account(base: DataFrame, accounts: DataFrame, id_field: str = "taxpay
 
 
 def merge_outer(left: DataFrame, right: DataFrame, on: str | Sequence[str],
-                suffixes=("_x", "_y"), null_equal: bool = False) -> DataFrame:
+                suffixes=("_x", "_y"), null_equal: bool = False, hot_rows: int | None = None) -> DataFrame:
     """Full outer many-to-many join with ``_x`` / ``_y`` on overlapping names.
 
     ``null_equal=True`` matches NULL keys to each other (pandas behaviour); it is
     off by default because NULL-to-NULL matching emits every pair of NULL-key rows.
+
+    Spark never splits a full outer join's skewed partitions, so keys with more than
+    ``hot_rows`` rows on a side (counted first, over the key columns only) change the plan:
+    matched pairs come from an inner join in which a hot key is dealt into a grid of parts (left
+    rows by one salt, right rows by the other), and unmatched rows from joins with the counted
+    keys. Without a hot key it is one plain full outer join. The rows are the same either way.
     """
+    from recordlink.operators.skew import hot_rows_of, salted_join
     on = _as_list(on)
     overlap = (set(left.columns) & set(right.columns)) - set(on)
-    l = left.select(*[qcol(c).alias(c + suffixes[0]) if c in overlap else qcol(c)
-                      for c in left.columns])
-    r = right.select(*[qcol(c).alias(c + suffixes[1]) if c in overlap else
-                       qcol(c).alias(f"_rl_r_{c}") if c in on else qcol(c) for c in right.columns])
-    cond = None
-    for c in on:
-        e = l[c].eqNullSafe(r[f"_rl_r_{c}"]) if null_equal else (l[c] == r[f"_rl_r_{c}"])
-        cond = e if cond is None else cond & e
-    j = l.join(r, cond, "full_outer")
-    keys = [F.coalesce(l[c], r[f"_rl_r_{c}"]).alias(c) for c in on]
-    rest = [qcol(c + suffixes[0]) if c in overlap else qcol(c) for c in left.columns if c not in on]
-    rest += [qcol(c + suffixes[1]) if c in overlap else qcol(c) for c in right.columns if c not in on]
-    return j.select(*keys, *rest)
+    rest = [c + suffixes[0] if c in overlap else c for c in left.columns if c not in on]
+    rest_r = [c + suffixes[1] if c in overlap else c for c in right.columns if c not in on]
+
+    def side(df, i):
+        whole = F.struct(*[qcol(c) for c in on])
+        if not null_equal:
+            full = qcol(on[0]).isNotNull()
+            for c in on[1:]:
+                full = full & qcol(c).isNotNull()
+            whole = F.when(full, whole)
+        named = [qcol(c).alias(c + suffixes[i]) if c in overlap else qcol(c) for c in df.columns if c not in on]
+        return df.select(*[qcol(c).alias(f"_rl_on{i}_{c}") for c in on], *named, whole.alias("_rl_k"))
+
+    l, r = side(left, 0), side(right, 1)
+    keys = {i: [F.col(f"_rl_on{i}_{c}").alias(c) for c in on] for i in (0, 1)}
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    counts = (l.select("_rl_k", one.alias("nl"), zero.alias("nr")).unionByName(r.select("_rl_k", zero.alias("nl"), one.alias("nr")))
+              .where(F.col("_rl_k").isNotNull()).groupBy("_rl_k").agg(F.sum("nl").alias("nl"), F.sum("nr").alias("nr")))
+    h = hot_rows_of(left, hot_rows)
+    if counts.where((F.col("nl") > h) | (F.col("nr") > h)).isEmpty():
+        r_plain = r.withColumnRenamed("_rl_k", "_rl_kr")
+        j = l.join(r_plain, l["_rl_k"] == r_plain["_rl_kr"], "full_outer")
+        return j.select(*[F.coalesce(f"_rl_on0_{c}", f"_rl_on1_{c}").alias(c) for c in on], *map(qcol, rest), *map(qcol, rest_r))
+    # the grid of a hot key: ceil(nl / h) x ceil(nr / h) parts
+    parts = [F.ceil(F.col(n) / F.lit(h)).cast("int").alias(f"_rl_{n}") for n in ("nl", "nr")]
+    hot = counts.where((F.col("nl") > 0) & (F.col("nr") > 0) & ((F.col("nl") > h) | (F.col("nr") > h))).select("_rl_k", *parts)
+
+    def dealt(df, own, other):
+        """Rows with a salt of their own; one copy for each salt of the other side."""
+        n_own, n_other = (F.coalesce(f"_rl_{n}", F.lit(1)) for n in (own, other))
+        return (df.where(F.col("_rl_k").isNotNull()).join(hot, "_rl_k", "left")
+                .withColumn(f"_rl_s{own}", F.pmod(_row_hash(df), n_own).cast("int"))
+                .withColumn(f"_rl_s{other}", F.explode(F.sequence(F.lit(0), n_other - 1))).drop("_rl_nl", "_rl_nr"))
+
+    matched = (dealt(l, "nl", "nr").join(dealt(r, "nr", "nl"), ["_rl_k", "_rl_snl", "_rl_snr"])
+               .select(*keys[0], *map(qcol, rest), *map(qcol, rest_r)))
+
+    def unmatched(df, own, other, i):
+        alone = counts.where(F.col(other) == 0)
+        # NULL keys spread by their rows; they match nothing and all stay
+        some = salted_join(df.where(F.col("_rl_k").isNotNull()), alone.select("_rl_k"), "_rl_k", "left_semi", hot_rows=h,
+                           salt_cols=[c for c in df.columns if c != "_rl_k"], counts=counts, count_col=own)
+        return some.unionByName(df.where(F.col("_rl_k").isNull())).select(*keys[i], *map(qcol, rest if i == 0 else rest_r))
+
+    only_l, only_r = unmatched(l, "nl", "nr", 0), unmatched(r, "nr", "nl", 1)
+    empty = [matched.schema[c] for c in matched.columns]
+    return (matched.unionByName(only_l.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in empty if f.name not in only_l.columns]))
+            .unionByName(only_r.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in empty if f.name not in only_r.columns])))
+
+
+def _row_hash(df: DataFrame) -> Column:
+    from recordlink.operators.skew import _holds_map
+    return F.xxhash64(*[qcol(c) for c in df.columns if not _holds_map(df.schema[c].dataType)])
 
 
 def incremental_ids(df: DataFrame, existing: DataFrame, id_field: str = "taxpayer_id",

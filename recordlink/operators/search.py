@@ -79,6 +79,40 @@ def search_names(df: DataFrame, names: DataFrame, column: str, name_col: str = "
     return top_n(j, "query_name", per, _as_list(order_by))
 
 
+def search_names_contains(df: DataFrame, names: DataFrame, column: str, name_col: str = "name",
+                          per: int | None = 10, order_by="seq", q: int = 3) -> DataFrame:
+    """For each requested name, its first ``per`` rows (all with ``per=None``) whose ``column``
+    contains it, whatever the case (D7). Names are taken literally (``%`` and ``_`` too); a NULL or
+    empty name finds nothing, and names without a match are absent.
+
+    A q-gram index join: a name is filed under the rarest of its q-grams among the texts (a shorter
+    name under itself), a text meets the names filed under one of its own grams, and containment is
+    checked on what meets. Each row meets a name once at most, and only grams that file a name are
+    shuffled.
+    """
+    def grams(c, size):
+        """Distinct substrings of ``size`` characters."""
+        last = F.char_length(c) - size + 1
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), last)),
+                                            lambda i: F.when(last >= 1, F.substring(c, i, F.lit(size)))))
+
+    n = (names.select(qcol(name_col).alias("query_name"), F.upper(qcol(name_col)).alias("_rl_name")).distinct()
+         .where(F.char_length("_rl_name") > 0).withColumn("_rl_q", F.least(F.lit(q), F.char_length("_rl_name"))))
+    filed = n.withColumn("_rl_gram", F.explode(F.when(F.col("_rl_q") == q, grams(F.col("_rl_name"), q)).otherwise(F.array("_rl_name"))))
+    wanted = filed.select("_rl_gram").distinct()
+    d = df.withColumn("_rl_text", F.upper(qcol(column).cast("string")))
+    every = F.array_distinct(F.flatten(F.array(*[grams(F.col("_rl_text"), size) for size in range(1, q + 1)])))
+    text_grams = (d.where(F.char_length("_rl_text") > 0).withColumn("_rl_gram", F.explode(every)).join(wanted, "_rl_gram", "left_semi"))
+    common = text_grams.groupBy("_rl_gram").agg(F.count(F.lit(1)).alias("_rl_c"))
+    rarest = (filed.join(common, "_rl_gram").groupBy("query_name", "_rl_name", "_rl_q")
+              .agg(F.count(F.lit(1)).alias("_rl_met"), F.min_by("_rl_gram", F.struct("_rl_c", "_rl_gram")).alias("_rl_gram")))
+    # a name with a gram that no text holds is found nowhere
+    needed = F.when(F.col("_rl_q") == q, F.size(grams(F.col("_rl_name"), q))).otherwise(1)
+    rarest = rarest.where(F.col("_rl_met") == needed).select("query_name", "_rl_name", "_rl_gram")
+    hits = text_grams.join(rarest, "_rl_gram").where(F.contains("_rl_text", "_rl_name")).drop("_rl_gram", "_rl_text", "_rl_name")
+    return hits if per is None else top_n(hits, "query_name", per, _as_list(order_by))
+
+
 def sort_expr(text: str):
     """``"expr [ASC|DESC] [NULLS FIRST|LAST]"`` -> a sort Column."""
     words = text.strip().split()

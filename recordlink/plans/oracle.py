@@ -632,3 +632,33 @@ second AS (SELECT o_custkey, min(o_orderkey) AS seq FROM orders WHERE o_orderkey
   AND o_custkey NOT IN (SELECT o_custkey FROM first) GROUP BY 1)
 SELECT seq, CAST(o_custkey AS VARCHAR) AS taxpayer_id FROM first UNION ALL
 SELECT seq, CAST(o_custkey AS VARCHAR) FROM second"""
+
+ORACLE["stream_two_runs"] = ORACLE["stream_replay"]
+
+ORACLE["stream_run_report"] = f"""WITH w AS ({ORACLE["stream_replay"]}),
+t AS (SELECT (SELECT count(*) FROM orders) AS n, (SELECT count(*) FROM w) AS kept)
+SELECT CAST(2 AS BIGINT) AS batches, n AS completed, kept AS written, n - kept AS skipped, CAST(0 AS BIGINT) AS without_key,
+  n AS pending, 50.0::DOUBLE AS percent FROM t"""
+
+ORACLE["search_names_contains"] = """WITH texts AS (SELECT c_custkey AS seq, concat_ws(' ', c_name, c_mktsegment, c_mktsegment || '_100%') AS text FROM customer),
+names AS (SELECT lower(substr(n_name, 1, 4)) AS name FROM nation UNION SELECT substr(c_mktsegment, 2, 5) FROM customer
+  UNION SELECT '#' || right(c_name, 4) FROM customer UNION SELECT lower(substr(r_name, 2, 2)) FROM region UNION SELECT '_1' FROM region
+  UNION SELECT right(c_name, 5) FROM customer)
+SELECT name AS query_name, seq FROM texts JOIN names ON contains(upper(text), upper(name)) WHERE length(name) > 0
+  QUALIFY row_number() OVER (PARTITION BY name ORDER BY seq) <= 10"""
+
+ORACLE["merge_outer_split"] = """WITH l AS (SELECT CASE WHEN o_custkey % 7 <> 0 THEN o_custkey % 400 END AS k, o_orderkey, o_totalprice AS amount_x FROM orders),
+r AS (SELECT CASE WHEN c_custkey % 11 <> 0 THEN c_custkey % 431 END AS k, c_custkey, c_acctbal AS amount_y FROM customer)
+SELECT coalesce(l.k, r.k) AS k, o_orderkey, amount_x, c_custkey, amount_y FROM l FULL JOIN r ON l.k = r.k"""
+
+ORACLE["group_medians"] = """WITH g AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'third' ELSE 's' || CAST(l_suppkey % 97 AS VARCHAR) END AS grp, l_extendedprice FROM lineitem)
+SELECT grp, round(median(CAST(l_extendedprice AS DOUBLE)), 6) AS median_price FROM g GROUP BY grp"""
+
+ORACLE["lookup_windowed"] = """SELECT CAST(c_custkey AS VARCHAR) AS taxpayer_id,
+  CASE WHEN c_custkey % 10 IN (3, 7) THEN NULL WHEN c_custkey % 2 = 0 THEN 'ACTIVE' ELSE 'INACTIVE' END AS status,
+  CASE WHEN c_custkey % 10 = 7 THEN 'ValueError: lookup failed' END AS error FROM customer"""
+
+ORACLE["lookup_resumed"] = """SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS taxpayer_id,
+  CASE WHEN o_custkey % 100 = 77 THEN NULL WHEN o_custkey % 10 = 7 THEN 'RETRIED' ELSE 'S' || CAST(o_custkey % 4 AS VARCHAR) END AS status,
+  CASE WHEN o_custkey % 100 = 77 THEN 'ValueError: lookup failed again' END AS error,
+  CAST(CASE WHEN o_custkey % 10 = 7 THEN 1 ELSE 0 END AS INTEGER) AS attempt FROM orders"""

@@ -688,6 +688,39 @@ def stream_replay(spark, sf_dir):
     return read_ingested(spark, dst).select("seq", "taxpayer_id")
 
 
+def _two_runs(spark, sf_dir, name):
+    """Even orders by one run, odd ones by a run with a checkpoint of its own into the same target,
+    whose last batch is then replayed."""
+    from recordlink.streaming.incremental import stream_ingest as ingest
+    c = _cat(spark, sf_dir).orders.select(F.col("o_orderkey").alias("seq"), F.col("o_custkey").cast("string").alias("taxpayer_id"))
+    dst = _scratch(spark, f"{name}-dst")
+    for half in (0, 1):
+        src, ck = _scratch(spark, f"{name}-src"), _scratch(spark, f"{name}-ckpt")
+        c.where(F.col("seq") % 2 == half).write.json(f"{src}/drop=1")
+        ingest(spark, src, dst, ck, c.schema, key_fn=lambda d: F.col("taxpayer_id"))
+    commits = spark._jvm.org.apache.hadoop.fs.Path(f"{ck}/commits")
+    commits.getFileSystem(spark._jsc.hadoopConfiguration()).delete(commits, True)
+    ingest(spark, src, dst, ck, c.schema, key_fn=lambda d: F.col("taxpayer_id"))
+    return dst
+
+
+@query
+def stream_two_runs(spark, sf_dir):
+    """K1 / K4 / K5: a second run with a new checkpoint keeps the first one's rows and skips its
+    keys; a replay of its batch changes nothing."""
+    from recordlink.streaming.incremental import read_ingested
+    return read_ingested(spark, _two_runs(spark, sf_dir, "two-runs")).select("seq", "taxpayer_id")
+
+
+@query
+def stream_run_report(spark, sf_dir):
+    """K6: rows completed, written and skipped over all runs, counted by the writing plans themselves."""
+    from recordlink.streaming.incremental import ingest_report
+    n = _cat(spark, sf_dir).orders.count()
+    return (ingest_report(spark, _two_runs(spark, sf_dir, "report"), expected_rows=2 * n).where("run_id is null")
+            .select("batches", "completed", "written", "skipped", "without_key", "pending", F.round("percent", 6).alias("percent")))
+
+
 @query
 def stream_ingest(spark, sf_dir):
     """K1/K2/K4: two file drops ingested by a resumable stream; keys already
@@ -892,3 +925,87 @@ def search_names(spark, sf_dir):
         F.lower("n_name").alias("name"))
     r = sn(fx_registry(cat), names, "taxpayer_city", per=10)
     return r.select("query_name", "seq", "taxpayer_city")
+
+
+@query
+def search_names_contains(spark, sf_dir):
+    """Every order whose clerk and comment-like text contains a requested name; short names and
+    LIKE characters included."""
+    from recordlink.operators.search import search_names_contains as sn
+    cat = _cat(spark, sf_dir)
+    texts = cat.customer.select(F.col("c_custkey").alias("seq"),
+                                F.concat_ws(" ", "c_name", "c_mktsegment", F.concat("c_mktsegment", F.lit("_100%"))).alias("text"))
+    names = (cat.nation.select(F.lower(F.substring("n_name", 1, 4)).alias("name"))
+             .unionByName(cat.customer.select(F.substring("c_mktsegment", 2, 5).alias("name")))
+             .unionByName(cat.customer.select(F.concat(F.lit("#"), F.right("c_name", F.lit(4))).alias("name")))
+             .unionByName(cat.region.select(F.lower(F.substring("r_name", 2, 2)).alias("name")))
+             .unionByName(cat.region.select(F.concat(F.lit("_"), F.lit("1")).alias("name")))
+             .unionByName(cat.customer.select(F.right("c_name", F.lit(5)).alias("name"))))
+    return sn(texts, names, "text", per=10).select("query_name", "seq")
+
+
+@query
+def merge_outer_split(spark, sf_dir):
+    """Keys repeated on both sides, NULL keys, and keys of more rows than one task may take."""
+    cat = _cat(spark, sf_dir)
+    left = cat.orders.select(F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey") % 400).alias("k"), "o_orderkey",
+                             F.col("o_totalprice").alias("amount"))
+    right = cat.customer.select(F.when(F.col("c_custkey") % 11 != 0, F.col("c_custkey") % 431).alias("k"), "c_custkey",
+                                F.col("c_acctbal").alias("amount"))
+    return C.merge_outer(left, right, "k", hot_rows=10)
+
+
+@query
+def group_medians(spark, sf_dir):
+    """exact medians of even and odd groups, one of which has a third of the rows."""
+    from recordlink.operators.aggregate import group_medians as gm
+    li = _cat(spark, sf_dir).lineitem
+    g = F.when(F.col("l_orderkey") % 3 == 0, F.lit("third")).otherwise(F.concat(F.lit("s"), (F.col("l_suppkey") % 97).cast("string")))
+    return gm(li.select(g.alias("grp"), "l_extendedprice"), "grp", "l_extendedprice", "median_price").select(
+        "grp", F.round("median_price", 6).alias("median_price"))
+
+
+@query
+def lookup_windowed(spark, sf_dir):
+    """L2: every customer looked up with eight calls in flight per task; results come as they end."""
+    def _fetch(key):
+        import time
+        time.sleep((int(key) % 5) / 5000)
+        if key.endswith("7"):
+            raise ValueError("lookup failed")
+        return None if key.endswith("3") else {"status": "ACTIVE" if int(key) % 2 == 0 else "INACTIVE"}
+
+    from pyspark.sql import types as T
+    from recordlink.streaming.lookup import lookup_batch as lb
+    keys = _cat(spark, sf_dir).customer.select(F.col("c_custkey").cast("string").alias("taxpayer_id"))
+    schema = T.StructType([T.StructField("status", T.StringType())])
+    return lb(keys, "taxpayer_id", _fetch, schema, max_parallel=8, window=8, timeout_s=60).drop("from_cache")
+
+
+@query
+def lookup_resumed(spark, sf_dir):
+    """K3: the keys of all orders land in two drops; the run is stopped after the first, its last
+    batch replayed, and failed keys are asked once more."""
+    def _first(key):
+        if key.endswith("7"):
+            raise ValueError("lookup failed")
+        return {"status": f"S{int(key) % 4}"}
+
+    def _second(key):
+        if key.endswith("77"):
+            raise ValueError("lookup failed again")
+        return {"status": "RETRIED"}
+
+    from pyspark.sql import types as T
+    from recordlink.streaming.lookup import lookup_run, retry_failed
+    keys = _cat(spark, sf_dir).orders.select(F.col("o_custkey").cast("string").alias("taxpayer_id"), "o_orderkey")
+    src, dst, ck = (_scratch(spark, f"lookups-{x}") for x in ("src", "dst", "ckpt"))
+    schema = T.StructType([T.StructField("status", T.StringType())])
+    for half in (0, 1):
+        keys.where(F.col("o_orderkey") % 2 == half).select("taxpayer_id").write.parquet(f"{src}/drop={half}")
+        lookup_run(spark, src, dst, ck, "taxpayer_id", _first, schema, max_parallel=8, window=4)
+    commits = spark._jvm.org.apache.hadoop.fs.Path(f"{ck}/commits")
+    commits.getFileSystem(spark._jsc.hadoopConfiguration()).delete(commits, True)
+    lookup_run(spark, src, dst, ck, "taxpayer_id", _first, schema, max_parallel=8, window=4)
+    out = retry_failed(spark, dst, "taxpayer_id", _second, schema, max_parallel=8, window=4)
+    return out.select("taxpayer_id", "status", "error", F.col("attempt").cast("int").alias("attempt"))

@@ -191,3 +191,33 @@ def test_stream_batch_replay_writes_the_same_rows(spark, tmp_path):
     shutil.rmtree(f"{ck}/commits")          # as if the last batch had not been committed
     assert run() == list("123456")
     assert run() == list("123456")
+
+
+def test_stream_runs_share_their_history(spark, tmp_path):
+    """A run with a new checkpoint keeps earlier rows, skips their keys and opens few buckets."""
+    from pyspark.sql import functions as F
+    from recordlink.streaming import incremental as I
+    dst, schema = str(tmp_path / "dst"), "seq long, taxpayer_id string, note string"
+
+    def drop(name, lo, hi, ck, key=True, **kw):
+        (spark.range(lo, hi).select(F.col("id").alias("seq"), F.when(F.col("id") % 10 != 9, (F.col("id") % 50).cast("string")).alias("taxpayer_id"),
+                                    F.lit(name).alias("note")).write.json(str(tmp_path / name / "drop=1")))
+        from pyspark.sql.types import _parse_datatype_string
+        return I.stream_ingest(spark, str(tmp_path / name), dst, str(tmp_path / ck), _parse_datatype_string(schema),
+                               key_fn=(lambda d: F.col("taxpayer_id")) if key else None, **kw)
+
+    drop("a", 0, 20, "ck1")
+    drop("b", 15, 40, "ck2", buckets=16)            # another run, another number of buckets
+    rows = {(r.seq, r.note) for r in I.read_ingested(spark, dst).collect()}
+    assert rows == {(i, "a") for i in range(20)} | {(i, "b") for i in range(15, 40) if i % 10 == 9 or i >= 20}
+    known = spark.createDataFrame([("3",), ("21",), (None,), ("777",)], "taxpayer_id string")
+    seen = I.earlier_keys(known, dst, "taxpayer_id", "none", 0)
+    assert {"3", "21"} <= {r[0] for r in seen.collect()}
+    assert seen.count() < spark.read.parquet(I.keys_path(dst)).count() / 2
+    assert "PartitionFilters" in (plan := seen._jdf.queryExecution().executedPlan().toString()) and "bucket" in plan.split("PartitionFilters")[1][:300]
+    assert I.earlier_keys(known.where("taxpayer_id = '777'"), dst, "taxpayer_id", "none", 0) is None
+    total = I.ingest_report(spark, dst, expected_rows=90).where("run_id is null").first()
+    assert (total.batches, total.completed, total.written, total.skipped, total.without_key, total.pending, total.percent) == \
+        (2, 45, len(I.read_ingested(spark, dst).collect()), 45 - len(rows), 5, 45, 50.0)
+    drop("c", 0, 5, "ck3", key=False)               # plain append
+    assert I.read_ingested(spark, dst).count() == len(rows) + 5
