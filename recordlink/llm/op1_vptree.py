@@ -29,11 +29,14 @@ ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordlink.llm.common import keep, tasks_of
 
+LARGE, LARGEST = 2.0 ** 400, 1e300      # components whose squares, summed, may overflow; the largest slack
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -153,12 +156,16 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20, factor: float = 1.0,
     rows = (table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
             .filter(F.col("vec_id").isNotNull() & usable(F.col("v"))))
     squares = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    about = (rows.select(F.size("v").alias("dim"), squares.alias("sq")).groupBy("dim")
-             .agg(F.count("*").alias("n"), F.max("sq").alias("sq")).orderBy(F.desc("n"), "dim").first())
+    largest = F.array_max(F.transform("v", F.abs))
+    about = (rows.select(F.size("v").alias("dim"), squares.alias("sq"), largest.alias("big")).groupBy("dim")
+             .agg(F.count("*").alias("n"), F.max("sq").alias("sq"), F.max("big").alias("big")).orderBy(F.desc("n"), "dim").first())
     if about is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, top = int(about["dim"]), float(about["sq"])
+    dim, top, unit = int(about["dim"]), float(about["sq"]), 1.0
     rows = rows.filter(F.size("v") == dim)
+    if about["big"] > LARGE:            # squares would overflow: distances are taken in units of a power of two
+        unit = 2.0 ** math.frexp(about["big"])[1]
+        top = float(rows.agg(F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / F.lit(unit)) * (x / F.lit(unit))))).first()[0])
 
     # Equal vectors once, with their k + 1 smallest ids; salted first so that no task holds them all.
     salt = F.pmod(F.xxhash64("vec_id"), F.lit(64))
@@ -174,10 +181,16 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20, factor: float = 1.0,
                        .limit(sample_rows).collect()], float).reshape(-1, dim)
 
     def lift(x):
+        x = x / unit
         return np.hstack([x, np.sqrt(np.maximum(top - (x * x).sum(1), 0))[:, None]])
 
     def lift_query(x):
-        return np.hstack([x, np.zeros((len(x), 1))])
+        return np.hstack([x / unit, np.zeros((len(x), 1))])
+
+    def far(x, score):
+        """Distance of the query ``x`` to a vector of this score, a little more for rounding."""
+        x, score = x / unit, score / unit / unit
+        return np.sqrt(np.maximum((x * x).sum(1) + top - 2 * score, 0)) * (1 + 1e-9) + 1e-9
 
     pivots = lift(sample)
     tree = make_tree(pivots, max(1, -(-len(sample) // cells)), seed)
@@ -208,12 +221,12 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20, factor: float = 1.0,
         ids = shard_table.column("ids").to_pylist()
         pts, lifted = lift(x), lift_query(q)
         nodes = make_tree(pts, leaf, seed)
-        norm = (q * q).sum(1) + top
         kept_score = np.full((len(q), k + 1), -np.inf)
         kept_row = np.full((len(q), k + 1), -1)
         first = np.array([i[0] for i in ids])
         # Twice what a matrix product may differ from the scores below, by rounding.
-        slack = 4 * (dim + 1) * np.finfo(float).eps * np.sqrt((q * q).sum(1) * max(top, (x * x).sum(1).max()))
+        with np.errstate(over="ignore"):
+            slack = np.minimum(4 * (dim + 1) * np.finfo(float).eps * np.sqrt(((q / unit) ** 2).sum(1) * top) * unit * unit, LARGEST)
 
         def exact(at, rows):
             """Scores summed the same way for every pair, whatever the block, so that ties are ties."""
@@ -237,7 +250,7 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20, factor: float = 1.0,
                 kept_score[h] = np.take_along_axis(score, top_at, 1)
                 kept_row[h] = np.take_along_axis(row, top_at, 1)
             # the (k+1)-th vector bounds the k-th neighbour, the query's own vector counted out
-            return np.minimum(limits[r], np.sqrt(np.maximum(norm[r] - 2 * kept_score[r, k], 0)) * (1 + 1e-9) + 1e-9)
+            return np.minimum(limits[r], far(q[r], kept_score[r, k]))
 
         tau = limits.copy()
         search_tree(pts, nodes, lifted, tau, factor, visit)
@@ -299,7 +312,7 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20, factor: float = 1.0,
                 continue
             x = np.stack(b.column(1).to_numpy(zero_copy_only=False))
             low = b.column(2).to_numpy(zero_copy_only=False)
-            tau = np.where(np.isnan(low), np.inf, np.sqrt(np.maximum((x * x).sum(1) + top - 2 * np.nan_to_num(low), 0)) * (1 + 1e-9) + 1e-9)
+            tau = np.where(np.isnan(low), np.inf, far(x, np.nan_to_num(low)))
             own = route(pivots, tree, lift(x))
             for cell, bound in routing_bounds(pivots, tree, lift_query(x)).items():
                 pick = np.flatnonzero((factor * bound <= tau) & (own != cell)) if cell in live else []

@@ -12,8 +12,9 @@ last``. The last row's running digest is the payload's, and it is checked agains
 
 A revisit record has an empty block; its headers carry the payload's digest, its length and
 the id of the response. Edge cases: a null or empty payload is an empty response; a null id is
-written as an absent header and read back as null; rows repeating an id are separate records
-(all rows of the smallest id are responses); an empty table gives no file and no row;
+written as an absent header and read back as null, and is never the smallest: its record revisits
+the response if there is one; rows repeating an id are separate records (all rows of the smallest
+id are responses); an empty table gives no file and no row;
 other columns are ignored.
 """
 
@@ -39,8 +40,10 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     digest = F.sha2("payload", 256)
     # Only ids and digests are grouped. Rows without repeats need no answer: a response.
     keys = rows.select("page_id", digest.alias("digest"), F.length("payload").alias("n")).filter(F.col("n") >= min_bytes)
-    firsts = (per_key_to_rows(keys.select("page_id", "digest"), ["digest"], "page_id", [F.min], ["page_id"])
-              .filter(F.col("page_id") > F.col("_all_page_id"))
+    # A null id is never the smallest: its rows revisit the response where there is one.
+    known = per_key_to_rows(keys.select("page_id", "digest"), ["digest"], "page_id", [F.min], ["page_id"])
+    revisit = F.col("page_id").isNull() & F.col("_all_page_id").isNotNull() | (F.col("page_id") > F.col("_all_page_id"))
+    firsts = (known.filter(revisit)
               .select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"),
                       F.col("_all_page_id").alias("refers_to")).distinct())
     firsts = keep(firsts, "revisits")
@@ -48,7 +51,7 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     if firsts.count() <= broadcast_rows:
         firsts = F.broadcast(firsts)
     return (rows.withColumn("digest", digest)
-            .join(firsts, (F.col("page_id") == F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
+            .join(firsts, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
             .select("page_id", "url", "payload", "digest", "refers_to"))
 
 

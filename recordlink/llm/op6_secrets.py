@@ -7,7 +7,9 @@ The lexer then reads the text as source or configuration: around every ``=``, ``
 ``=>`` it takes the target name before it (plain, quoted, dotted or indexed) and the expression
 after it: quoted strings, bare words, names, joined by ``+`` or ``.`` . Literals are bound to
 names and constants are propagated: ``a = "..."; b = a; password = b`` reports the literal where
-it stands. A literal's make-up (length, mixture, entropy, placeholders) gives 0 to 1 in quarters;
+it stands; a name is bound to the pieces of its expression, not to a copy of what they hold. The
+text is read once: a run of characters without a blank is measured once, however many operators
+stand in it, and only literals bound to sensitive names are looked at. A literal's make-up (length, mixture, entropy, placeholders) gives 0 to 1 in quarters;
 a strong target name (``password``, ``token``, also inside a joined name such as ``dbpassword``)
 adds 0.25, a weak one (``key``, ``auth``, ``pass``, ``dsn``; whole name parts) adds nothing, other
 names are not scored. From ``threshold`` on, by default 1, the span is reported as ``literal``:
@@ -50,7 +52,8 @@ def secret_scanner(threshold: float = 1.0):
     name_end = re.compile(r"""(?:\[\s*)?(["']?)([A-Za-z_$][\w$.\-]*)\1(?:\s*\])?[\x20\t]*(?::\s*[A-Za-z_][\w\[\]]*[\x20\t]*)?$""")
     blank = re.compile(r"[\x20\t]*")
     string = re.compile(r'''"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`''')
-    bare = re.compile(r"[^\s\"'`,;(){}\[\]<>#+]+(?:[+/=][^\s\"'`,;(){}\[\]<>#]+)*=*")
+    run_end = re.compile(r"[\s\"'`,;(){}\[\]<>#]")       # a bare word ends before one of these
+    name_part = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_$.-\"'[]\x20\t:")
     plus = re.compile(r"[\x20\t]*(?:\+|\.\.?(?=[\x20\t]*[\"'A-Za-z_]))[\x20\t]*(?:\\?\n[\x20\t]*)?")
     ident = re.compile(r"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*")
     part = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
@@ -75,66 +78,117 @@ def secret_scanner(threshold: float = 1.0):
             return 0.25
         return 0.0 if weak.intersection(words) else None
 
-    def literal_score(value: str, spaces: bool) -> float:
+    def literal_score(value: str, spaces: bool, counts: Counter | None = None) -> float:
         """0 to 1; ``spaces``: the target holds a pass phrase, so the value may have spaces."""
         if len(value) < 6 or dummy.match(value):
             return 0.0
-        if any(c.isspace() for c in value) and (not spaces or prompt.search(value)):
+        counts = counts or Counter(value)
+        if any(c.isspace() for c, k in counts.items() if k) and (not spaces or prompt.search(value)):
             return 0.0
         n = len(value)
-        bits = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
-        kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9]"))
+        bits = -sum(k / n * math.log2(k / n) for k in counts.values() if k)
+        kinds = len({"a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if "0" <= c <= "9" else "-" for c, k in counts.items() if k})
         return 0.25 * (kinds >= 2) + 0.25 * (n >= 8) + 0.25 * (bits >= 2.5) + 0.25 * (bits >= 3.2 or n >= 20)
 
-    def expression(text: str, at: int, names: dict) -> tuple[list[tuple[str, int, int]], int]:
-        """Literals (value, start, end) reachable from the expression at ``at``, and its end."""
-        found: list[tuple[str, int, int]] = []
+    def counter_of(text: str):
+        """A function span -> character counts; of spans with one end, each is counted from the one before."""
+        last: list = [0, -1, None]
+
+        def counts(start, end):
+            if end == last[1] and start >= last[0]:
+                last[2].subtract(text[last[0]:start])
+                last[0] = start
+            else:
+                last[:] = start, end, Counter(text[start:end])
+            return last[2]
+
+        return counts
+
+    def bare_words(text: str):
+        """A function place -> (end of the bare word there, whether it has a digit). A run is measured once."""
+        known = [-1, -1, -1, -1]            # start and end of the last run, its last digit, its last plus but one at the end
+
+        def read(at):
+            if at >= len(text) or text[at] == "+" or run_end.match(text, at):
+                return at, False
+            if not known[0] <= at < known[1]:
+                m = run_end.search(text, at)
+                end = m.start() if m else len(text)
+                last = end - 1
+                while last >= at and not text[last].isdigit():
+                    last -= 1
+                known[:] = at, end, last, text.rfind("+", at, end - 1)
+            end = known[1]
+            if text[end - 1] == "+" and known[3] < at:         # a lone plus at the end joins what follows
+                end -= 1
+            return end, known[2] >= at
+
+        return read
+
+    def expression(text: str, at: int, names: dict, word) -> tuple[list, int]:
+        """Pieces of the expression at ``at``, literals (start, end) or what a name is bound to, and its end."""
+        found: list = []
         while True:
             at = blank.match(text, at).end()
             m = string.match(text, at)
             if m:
-                g = m.lastindex
-                found.append((m[g], m.start(g), m.end(g)))
+                found.append((m.start(m.lastindex), m.end(m.lastindex)))
                 at = m.end()
             else:
                 m = ident.match(text, at)
                 if m and m[0] in names:
-                    found += names[m[0]]
+                    found.append(names[m[0]])
                     at = m.end()
                 else:
-                    m = bare.match(text, at)
-                    if not m:
+                    stop, digit = word(at)
+                    if stop == at:
                         break
-                    end = m.end()
+                    end = stop
                     while end > at and text[end - 1] in ".,;:!?":
                         end -= 1
-                    if end > at and any(c.isdigit() for c in m[0]):   # a bare word without a digit is prose or a name
-                        found.append((text[at:end], at, end))
-                    at = m.end()
+                    if end > at and digit:          # a bare word without a digit is prose or a name
+                        found.append((at, end))
+                    at = stop
             m = plus.match(text, at)
             if not m:
                 break
             at = m.end()
         return found, at
 
+    def spans_of(found: list) -> list[tuple[int, int]]:
+        """The literals that pieces reach, each once, in order."""
+        seen, spans, stack = set(), {}, [found]
+        while stack:
+            piece = stack.pop()
+            if isinstance(piece, tuple):
+                spans.setdefault(piece)
+            elif id(piece) not in seen:
+                seen.add(id(piece))
+                stack += reversed(piece)
+        return list(spans)
+
     def named_literals(text: str):
-        """name-literal pairs in text order, constants propagated: (target name, value, start, end)."""
-        names: dict[str, list[tuple[str, int, int]]] = {}
+        """Sensitive targets in text order, constants propagated: (target name, what it adds, its literals)."""
+        names: dict[str, list] = {}
+        word = bare_words(text)
         for m in operator.finditer(text):
-            line = text.rfind("\n", 0, m.start()) + 1
-            low = m.start()
-            while low > line and m.start() - low < 512 and text[low - 1] not in ",;(){}=":
+            # back over what a target can be: a name, and one colon before its type
+            low, colons = m.start(), 0
+            while low and m.start() - low < 512 and (c := text[low - 1]) in name_part or low and c.isalnum():
+                colons += c == ":"
+                if colons > 1:
+                    break
                 low -= 1
             t = name_end.search(text, low, m.start())
             if not t:
                 continue
-            found, _ = expression(text, m.end(), names)
+            found, _ = expression(text, m.end(), names, word)
             if not found:
                 continue
-            whole = "".join(v for v, _, _ in found)
             names[t[2]] = found
-            for v, s, e in found:
-                yield t[2], whole, s, e
+            score = name_score(t[2])
+            if score is not None:
+                yield t[2], score, spans_of(found)
 
     def scan(text: str | None) -> list[tuple[str, int, int, float]]:
         if not text:
@@ -145,12 +199,15 @@ def secret_scanner(threshold: float = 1.0):
             if any(w in low for w in key_words):
                 out += [("assign", m.start(), m.end(), 1.0) for m in assign.finditer(text) if len(m[2]) >= 8]
             best: dict[tuple[int, int], float] = {}
-            for name, whole, s, e in named_literals(text):
-                score = name_score(name)
-                if score is not None:
-                    score += literal_score(whole, bool(phrase.search("_".join(part.findall(name)).lower())))
-                    if score >= threshold and e > s:
-                        best[s, e] = max(score, best.get((s, e), 0.0))
+            counts = counter_of(text)
+            for name, score, spans in named_literals(text):
+                phrases = bool(phrase.search("_".join(part.findall(name)).lower()))
+                one = counts(*spans[0]) if len(spans) == 1 else None
+                score += literal_score("".join(text[a:b] for a, b in spans), phrases, one)
+                if score >= threshold:
+                    for a, b in spans:
+                        if b > a:
+                            best[a, b] = max(score, best.get((a, b), 0.0))
             out += [("literal", s, e, x) for (s, e), x in best.items()]
         if "AKIA" in text:
             out += [("access", m.start(), m.end(), 1.0) for m in access.finditer(text) if len(m[0]) >= 16]

@@ -49,6 +49,26 @@ def test_recall_at_production_factor(spark):
     assert hit >= 0.9 * sum(map(len, want.values()))
 
 
+@pytest.mark.parametrize("factor", [1.0, 2.0])
+def test_huge_components_take_part(spark, factor):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(400)]
+    rows[37][1][2] = 1e160
+    rows[111][1][2] = -3e155
+    got = {}
+    for r in nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), factor=factor, cells=4, shard_rows=80, leaf=8).collect():
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    want = brute(rows, 20, 20)
+    assert got.keys() == want.keys()
+    for q, w in want.items():
+        top = dict(w)
+        assert len(got[q]) == 20 and (37 in got[q]) == (37 in top)
+        assert factor > 1 or got[q].keys() == top.keys()
+        x = np.array(rows[q][1])
+        for i, score in got[q].items():
+            assert score == pytest.approx(float(np.dot(x, np.array(rows[i][1]))), rel=1e-9, abs=1e-9)
+
+
 @pytest.mark.parametrize("scale", [1.0, 0.1])
 def test_different_vectors_with_equal_scores(spark, scale):
     """Ties go to the smallest ids, whichever leaf or shard holds them; 0.1: sums that round."""

@@ -114,3 +114,20 @@ def test_redact(spark):
     got = Counter((r.doc_id, r.text, r.kind) for r in out.collect())
     want = Counter((r.doc_id, "a [secret] z" if r.doc_id == 77 else r.text, r.kind) for r in docs.collect())
     assert got == want
+
+
+def test_time_grows_with_the_text():
+    import time
+    from recordlink.llm.op6_secrets import secret_scanner
+    scan = secret_scanner()
+    for piece in ("x=", "a-b.c:", "a = a + a\n", "password = password + 'q7W8e9R0'\n", "k:v ", "token='q7W8e9R0',"):
+        took = []
+        for n in (4_000, 16_000):
+            text = 'a = "Zz9x"\n' + piece * (n // len(piece))
+            t = time.perf_counter()
+            scan(text)
+            took.append(time.perf_counter() - t)
+        assert took[1] < 10 * took[0] + 0.5, piece
+    # a self-joining constant names its literal once
+    found = scan('k = "q7W8e9R0t1Y2"\n' + "k = k + k\n" * 1000 + "password = k\n")
+    assert [(kind, s, e) for kind, s, e, _ in found] == [("literal", 5, 17)]
