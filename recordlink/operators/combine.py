@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlink.functions.expr import as_string, percentage, qcol, strip, truthy_of
-from recordlink.operators.dedup import (FIRST, KEY, PLACE, _as_list, first_at_place, order_col,
+from recordlink.operators.dedup import (FIRST, KEY, PLACE, _as_list, first_at_place, order_col, place_order,
                                          pick_per_key)
 from recordlink.operators.schema import TAXPAYER_ID_FIELDS, normalize, prefix, rename_fields, resolve_key
 from recordlink.operators.skew import salted_join
@@ -303,23 +303,22 @@ def new_records(df: DataFrame, existing_keys: DataFrame, key: Column | None = No
     k = key if key is not None else resolve_key(df)
     if not dedup_when_empty and existing_keys.isEmpty():
         return df
-    # One narrow aggregate over the batch's and the history's keys: per key the
-    # smallest (is_batch, order). A key seen before gives (0, NULL): no new row;
-    # otherwise it names the first batch row, picked by a join on (key, order),
-    # NULLs matching (no join on the key alone, so a hot key is harmless).
-    d = df.withColumn("_rl_nk", k).withColumn("_rl_ord", order_col(order_by))
+    # One aggregate over the batch's and the history's keys: a key seen before has
+    # min(is_batch) 0 and gives no new row; any other names the place (order, content
+    # hash) of its first batch row, picked by a join on (key, place) (no join on the
+    # key alone, so a hot key is harmless).
+    d = df.withColumn("_rl_nk", k).withColumn("_rl_ord", place_order(df, order_by))
     ord_type = d.schema["_rl_ord"].dataType
     batch = d.select("_rl_nk", F.lit(1).alias("_rl_b"), "_rl_ord")
     seen = existing_keys.select(qcol(existing_key_col).alias("_rl_nk"), F.lit(0).alias("_rl_b"),
                                 F.lit(None).cast(ord_type).alias("_rl_ord"))
-    # min(is_batch) is 0 when the key was seen before; min(order) ignores the
-    # history's NULLs. Both are primitive, so the aggregate is a hash aggregate.
     firsts = (batch.unionByName(seen).where(F.col("_rl_nk").isNotNull())
               .groupBy("_rl_nk").agg(F.min("_rl_b").alias("_rl_b"), F.min("_rl_ord").alias("_rl_ord"))
               .where(F.col("_rl_b") == 1)
               .select(F.struct("_rl_nk", "_rl_ord").alias(PLACE), F.lit(True).alias(FIRST)))
-    keyed = d.where(F.col("_rl_nk").isNotNull()).withColumn(PLACE, F.struct("_rl_nk", "_rl_ord"))
-    out = (first_at_place(keyed.join(firsts, PLACE), df).where(F.col(FIRST))
+    place = F.struct("_rl_nk", "_rl_ord").cast(firsts.schema[PLACE].dataType)
+    keyed = d.where(F.col("_rl_nk").isNotNull()).withColumn(PLACE, place)
+    out = (first_at_place(keyed.join(firsts, PLACE)).where(F.col(FIRST))
            .drop("_rl_nk", "_rl_ord", PLACE, FIRST))
     if keep_null:
         out = out.unionByName(d.where(F.col("_rl_nk").isNull()).drop("_rl_nk", "_rl_ord"))

@@ -3,8 +3,8 @@
 Scale notes
 -----------
 * A key may hold a third of all rows. No operator here uses a window partitioned
-  by the key: "first row per key" is a ``min(order)`` aggregate (partial,
-  map-side combined) joined back on (key, order value). Per-key picks of whole rows use ``min_by`` /
+  by the key: "first row per key" is a ``min(order, content hash)`` aggregate (partial,
+  map-side combined) joined back on (key, order, hash). Per-key picks of whole rows use ``min_by`` /
   ``max_by`` aggregates, which also combine map-side.
 * Rows without a key never shuffle: they are split off and unioned back.
 * ``order_by`` should be unique; "first" / "last" are defined by it. Where order values
@@ -116,17 +116,16 @@ def flag_first(df: DataFrame, key: Column, order_by, null_keys: str = "keep",
     are removed), ``group`` / ``one`` (NULL is one more key: its first row
     survives). keep: ``first`` or ``last``.
 
-    Plan: ``min(order)`` per key is a partial aggregate over the key and order
-    columns only; the rows are then flagged by a join on (key, order), NULLs
-    matching, so a hot key is spread by its order values. A key whose rows all
-    lack an order value, or share it, keeps one row: the smallest content hash
-    among the rows at that place (normally one row, so the window is trivial).
+    Plan: the smallest (order, content hash) per key is a partial aggregate; the rows are then
+    flagged by a join on (key, order, hash), NULLs matching, so a hot key is spread by its
+    order values and, where those are NULL or repeat, by its contents. Only rows equal in
+    every value share a place; one of them is kept, counted in the join's own partitions.
     """
     if null_keys == "one":          # the accelerated path's name for it
         null_keys = "group"
     if null_keys not in ("keep", "drop", "group"):
         raise ValueError(f"null_keys must be keep, drop, group or one, not {null_keys!r}")
-    d = df.withColumn(KEY, key).withColumn(ORD, order_col(order_by))
+    d = df.withColumn(KEY, key).withColumn(ORD, place_order(df, order_by, keep))
     if null_keys == "drop":
         d = d.where(F.col(KEY).isNotNull())
     agg = F.min if keep == "first" else F.max
@@ -135,7 +134,9 @@ def flag_first(df: DataFrame, key: Column, order_by, null_keys: str = "keep",
         d = d.where(F.col(KEY).isNotNull())
     firsts = (d.groupBy(KEY).agg(agg(ORD).alias(ORD))
               .select(F.struct(KEY, ORD).alias(PLACE), F.lit(True).alias(FIRST)))
-    j = first_at_place(d.withColumn(PLACE, F.struct(KEY, ORD)).join(firsts, PLACE, "left"), df)
+    # one type on both sides, nullability included: else the join shuffles by a cast, the ties again
+    place = F.struct(KEY, ORD).cast(firsts.schema[PLACE].dataType)
+    j = first_at_place(d.withColumn(PLACE, place).join(firsts, PLACE, "left"))
     out = _drop(j.withColumn(flag, ~F.col(FIRST)), KEY, FIRST, ORD, PLACE)
     if loose is not None:
         out = out.unionByName(_drop(loose.withColumn(flag, F.lit(False)), KEY, ORD))
@@ -147,11 +148,20 @@ def content_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[_sorted_maps(qcol(f.name), f.dataType) for f in df.schema.fields])
 
 
-def first_at_place(joined: DataFrame, rows: DataFrame) -> DataFrame:
-    """``FIRST`` true for one row of each place that was joined, false elsewhere. A place is
-    a (key, order) pair; it holds several rows only where order values repeat."""
-    w = Window.partitionBy(PLACE).orderBy(content_hash(rows))
-    return joined.withColumn(FIRST, F.col(FIRST).isNotNull() & (F.row_number().over(w) == 1))
+def place_order(df: DataFrame, order_by, keep: str = "first") -> Column:
+    """(order, content hash) of a row. A NULL order value comes after all others."""
+    h = content_hash(df)
+    order = order_col(order_by)
+    late = order.isNull() if keep == "first" else order.isNotNull()
+    return F.struct(late.alias("late"), order.alias("at"), (h if keep == "first" else F.bitwise_not(h)).alias("hash"))
+
+
+def first_at_place(joined: DataFrame) -> DataFrame:
+    """``FIRST`` true for one row of each place that was joined, false elsewhere. A place is a
+    (key, order, hash) value, so the rows of one are equal; they are numbered as they come,
+    which needs neither a shuffle nor a sort beyond the join's."""
+    w = Window.partitionBy(PLACE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return joined.withColumn(FIRST, F.col(FIRST).isNotNull() & (F.count(F.lit(1)).over(w) == 1))
 
 
 def dedup(df: DataFrame, strategy: str = "key", key_fields: Sequence[str] | None = None,

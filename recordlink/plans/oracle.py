@@ -493,7 +493,13 @@ def _patterns():
 _EP, _NP, _UP = _patterns()
 ORACLE["extract_emails"] = _extract_sql(_EP)
 ORACLE["extract_numbers"] = _extract_sql(_NP, numbers=True)
-ORACLE["extract_urls"] = _extract_sql(_UP, table="pages", id_col="page_id", text_col="url")
+ORACLE["extract_urls"] = _extract_sql(
+    _UP, table="pages", id_col="page_id",
+    text_col="'see ' || url || ' or <' || url || '/a%20b?x=1> but not ftp://' || url || '#end'")
+
+ORACLE["json_bad_first_line"] = """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_orderkey NOT IN (SELECT min(o_orderkey) FROM orders GROUP BY o_orderkey % 4)"""
 
 ORACLE["json_roundtrip"] = _w("""
 SELECT seq, taxpayer_id, status, balance FROM fx_account""", "fx_account")
@@ -536,8 +542,9 @@ u AS (SELECT * FROM r WHERE k IS NULL
 
 ORACLE["places_match"] = _w(f"""WITH {_UREG},
 q AS (SELECT *, {_SQ} AS search_query FROM u),
-resp AS (SELECT search_query, CASE WHEN outlet_name = '' THEN NULL ELSE concat('P', CAST(seq AS VARCHAR)) END AS first_id,
-  outlet_name <> '' AS has_hits, seq FROM q WHERE taxpayer_city <> 'GERMANY'),
+resp AS (SELECT CASE WHEN taxpayer_city = 'GERMANY' THEN concat(search_query, ' (old)') ELSE search_query END AS search_query,
+  CASE WHEN outlet_name = '' THEN NULL ELSE concat('P', CAST(seq AS VARCHAR)) END AS first_id,
+  outlet_name <> '' AS has_hits, seq FROM q),
 resp1 AS (SELECT * FROM resp QUALIFY row_number() OVER (PARTITION BY search_query ORDER BY seq DESC) = 1)
 SELECT CASE WHEN {tr('q.taxpayer_number')} THEN q.taxpayer_number END AS taxpayer_id, q.search_query,
   CASE WHEN {strip('q.search_query')} <> '' THEN r.first_id END AS place_id,

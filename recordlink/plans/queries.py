@@ -573,10 +573,13 @@ def extract_numbers(spark, sf_dir):
 
 @query
 def extract_urls(spark, sf_dir):
-    """URLs in page addresses (the page bodies hold only relative links)."""
+    """URLs in a sentence that holds each page's address twice and its image (the page bodies
+    hold only relative links)."""
     from recordlink.functions.text import extract
-    pages = _cat(spark, sf_dir).pages
-    return extract(pages, "url", "urls", keep=["page_id"])
+    said = F.concat(F.lit("see "), F.col("url"), F.lit(" or <"), F.col("url"), F.lit("/a%20b?x=1> but not ftp://"),
+                    F.col("url"), F.lit("#end"))
+    pages = _cat(spark, sf_dir).pages.select("page_id", said.alias("said"))
+    return extract(pages, "said", "urls", keep=["page_id"])
 
 
 # ---------------------------------------------------------------------------
@@ -671,6 +674,22 @@ def dedup_null_order(spark, sf_dir):
     return D.unique(D.flag_first(o, F.col("o_custkey"), "seq")).select("o_custkey", "seq")
 
 
+@query
+def json_bad_first_line(spark, sf_dir):
+    """A1 / A5: JSON Lines files whose first line is cut short lose that line only."""
+    from recordlink.sources.readers import read_auto
+    path = _scratch(spark, "json-cut")
+    o = _cat(spark, sf_dir).orders.select("o_orderkey", "o_custkey", (F.col("o_orderkey") % 4).alias("part"))
+    firsts = o.groupBy("part").agg(F.min("o_orderkey").alias("first"))
+    line = F.to_json(F.struct("o_orderkey", "o_custkey"))
+    cut = F.when(F.col("o_orderkey") == F.col("first"), F.expr("substring(line, 1, length(line) - 5)")).otherwise(F.col("line"))
+    (o.withColumn("line", line).join(F.broadcast(firsts), "part").withColumn("value", cut)     # four rows
+     .repartition("part").sortWithinPartitions("part", "o_orderkey").select("part", "value")
+     .write.partitionBy("part").text(path))
+    back = read_auto(spark, path, fmt="json", schema="o_orderkey long, o_custkey long, _corrupt_record string")
+    return back.where(F.col("_corrupt_record").isNull()).select("o_orderkey", "o_custkey")
+
+
 @query
 def stream_replay(spark, sf_dir):
     """K1 / K5: the last batch of a stream is replayed (its commit is removed); the sink holds the
@@ -777,14 +796,14 @@ def _unique_registry(cat):
 
 @query
 def places_match(spark, sf_dir):
-    """Search text per record joined to landed search responses; responses
-    were landed for records outside one city, and list no hit for blank-named
-    outlets."""
+    """Search text per record joined to landed search responses; those of one
+    city were landed under another search text, and blank-named outlets have no hit."""
     from recordlink.operators.places import match_places, search_query as sq
     cat = _cat(spark, sf_dir)
     recs = _unique_registry(cat)
-    resp = recs.where(F.col("taxpayer_city") != "GERMANY").select(
-        F.col("seq"), sq(recs).alias("search_query"),
+    resp = recs.select(
+        F.col("seq"), F.when(F.col("taxpayer_city") == "GERMANY", F.concat(sq(recs), F.lit(" (old)"))).otherwise(sq(recs))
+        .alias("search_query"),
         F.when(F.col("outlet_name") == "", F.array().cast("array<struct<id:string>>"))
         .otherwise(F.array(F.struct(F.concat(F.lit("P"), F.col("seq").cast("string")).alias("id"))))
         .alias("places"))

@@ -51,16 +51,28 @@ def _reader(spark: SparkSession, fmt: str, schema=None, options: dict | None = N
     return r
 
 
+def _whole_value(line: Column) -> Column:
+    """A line that holds a whole JSON object or array. NaN and infinities are read as numbers,
+    as the JSON reader reads them."""
+    finite = F.regexp_replace(line, r"(?<=[:,\[\s])-?(NaN|Infinity|INF)(?=[,\]}\s])", "0")
+    return F.when(line.rlike(r"^(?s)(\{.*\}|\[.*\])\s*$"), F.get_json_object(finite, "$").isNotNull()).otherwise(False)
+
+
 def _json_files(spark: SparkSession, path: str, options: dict | None = None) -> tuple[list, list]:
-    """Paths of JSON Lines files and of one-document files. A file is JSON Lines when its
-    first non-blank line is a complete object or array; blank files are neither."""
+    """Paths of JSON Lines files and of one-document files; blank files are neither.
+
+    A file is JSON Lines when its first non-blank line is a whole object or array, or when
+    most of its lines are: inside one document two such lines never follow each other (a comma
+    or bracket stands between), so there they are never the majority. A cut first line costs
+    that line only.
+    """
     lines = (spark.read.options(**{k: str(v) for k, v in (options or {}).items()}).text(path)
              .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                      F.monotonically_increasing_id().alias("row"), F.trim(F.regexp_replace("value", "^\ufeff", "")).alias("value"))
-             .where(F.col("value") != ""))
-    first = lines.groupBy("file").agg(F.min_by(F.col("value").rlike(r"^(?s)(\{.*\}|\[.*\])\s*$"),
-                                               F.struct("block", "row")).alias("by_line"))
-    kinds = first.collect()         # one row per input file, like the file listing itself
+             .where(F.col("value") != "").withColumn("whole", _whole_value(F.col("value"))))
+    kinds = (lines.groupBy("file")
+             .agg((F.min_by("whole", F.struct("block", "row")) | (2 * F.count_if("whole") > F.count(F.lit(1)))).alias("by_line"))
+             .collect())            # one row per input file, like the file listing itself
     return [r["file"] for r in kinds if r["by_line"]], [r["file"] for r in kinds if not r["by_line"]]
 
 
@@ -194,12 +206,14 @@ def read_dir(spark: SparkSession, path: str, fmt: str, schema=None, key: Column
 def read_pages(spark: SparkSession, path: str, limit: int | None = None,
                page_pattern: str = r"page[_-]?(\d+)") -> DataFrame:
     """Landed result pages (one JSON file per page) in page order (A7): rows carry
-    ``page`` (from the file name) and ``pos``; ``limit`` clips like the paged read."""
+    ``page`` (from the file name) and ``pos``, written to the shared folder so that every later
+    use sees the same positions; ``limit`` clips like the paged read."""
+    from recordlink.session import cut_lineage
     df = _read_json(spark, path)
     name = F.regexp_extract(F.col("_rl_file"), r"([^/]*)$", 1)
     df = (df.withColumn("page", F.regexp_extract(name, page_pattern, 1).cast("bigint"))
           .withColumn("pos", F.monotonically_increasing_id()).drop("_rl_file", "_rl_block"))
-    df = df.orderBy("page", "pos")
+    df = cut_lineage(df).orderBy("page", "pos")
     return df.limit(limit) if limit is not None else df
 
 

@@ -168,6 +168,28 @@ def test_read_dir_malformed_records_are_returned(spark, tmp_path):
     assert rows.count() == 4 and sorted(r._corrupt_record for r in bad.collect()) == ['{"taxpayer_id": "2", "n": "bad"}', "{broken"]
 
 
+def test_json_layouts_and_cut_first_line(spark, tmp_path):
+    good = [f'{{"id": {i}, "v": {{"w": [{i}]}}}}' for i in range(100)]
+    texts = {"cut.json": "\n".join(['{"id": 100, "v": {"w"', *good]),
+             "lines.json": "\n".join([*good, '{"id": 7']),
+             "nan.json": '{"id": NaN}\n{"id": NaN}\n',
+             "array.json": "[\n" + ",\n".join(good) + "\n]",
+             "leading.json": "[\n" + "\n,".join(good) + "]",
+             "tight.json": '[\n{"id": 1}]',
+             "object.json": '{"a": {"id": 1},\n"b":\n{"id": 2}\n}',
+             "blank.json": "\n\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    lines, whole = ({f.rsplit("/", 1)[1] for f in x} for x in R._json_files(spark, str(tmp_path)))
+    assert lines == {"cut.json", "lines.json", "nan.json"}
+    assert whole == {"array.json", "leading.json", "tight.json", "object.json"}
+    cut = tmp_path / "only"
+    cut.mkdir()
+    (cut / "cut.json").write_text(texts["cut.json"])
+    rows, bad = R.read_dir_checked(spark, str(cut), "json")
+    assert (rows.count(), bad.count()) == (100, 1)
+
+
 def test_stream_batch_replay_writes_the_same_rows(spark, tmp_path):
     import shutil
     from pyspark.sql import functions as F

@@ -253,6 +253,30 @@ def test_flag_first_null_and_repeated_order(spark):
     assert sorted(str(r.k) for r in u) == sorted(["None", *"ABCDEF"])
 
 
+def test_hot_key_without_order_spreads(spark):
+    from recordlink.operators import dedup as D
+    df = spark.range(30_000).select((F.col("id") % 3).alias("k"), F.lit(None).cast("int").alias("seq"), "id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        flagged = D.flag_first(df, F.col("k"), "seq").withColumn("task", F.spark_partition_id())
+        sizes = [r["count"] for r in flagged.groupBy("task").count().collect()]
+        plan = flagged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert max(sizes) < 9_000
+    assert plan.count("Exchange") == 3          # keys, places, rows; none for the ties
+    assert D.unique(flagged).count() == 3
+
+
+def test_merge_maps_with_null(spark):
+    from recordlink.operators.schema import merge_maps
+    df = spark.sql("SELECT * FROM VALUES (map('a', 1), map('a', 2, 'b', 3)), (map('a', 1), null), (null, map('b', 2)), (null, null) AS t(x, y)")
+    got = [r[0] for r in df.select(merge_maps(F.col("x"), F.col("y"))).collect()]
+    assert got == [{"a": 2, "b": 3}, {"a": 1}, {"b": 2}, None]
+
+
 def test_new_records_null_order(spark):
     from recordlink.operators.combine import new_records
     df = spark.createDataFrame([("A", None), ("A", 2), ("B", None), ("C", 1), (None, None)], "taxpayer_id string, seq int")
