@@ -4,7 +4,8 @@ A list is a set of dated entries ``pattern, day, action`` (``add`` or ``remove``
 and day the last entry counts; each becomes a validity interval ``[day, next entry's day)``, the
 last one open. Every capture is evaluated against the intervals that hold on its fetch day, by
 an as-of join: its candidate patterns (exact page, first path segment, host and every parent
-domain of two labels or more) are merged with the interval starts and the last start is carried
+domain of two labels or more; userinfo, port and closing dots are no part of a host, and an IP
+address has no parents) are merged with the interval starts and the last start is carried
 forward. A capture is blocked when an ``add`` interval of any candidate holds; the rule reported
 is the most specific one.
 
@@ -30,13 +31,14 @@ def url_patterns(url: Column) -> Column:
     """Candidate patterns of a url, most specific first: ``u:`` page, ``p:`` first segment,
     ``d:`` host and parent domains. Null when the url has no host."""
     bare = F.regexp_replace(F.lower(url), "[?#].*$", "")
-    host = F.regexp_extract(bare, "^[a-z][a-z0-9+.-]*://([^/:@]+)", 1)
+    authority = F.regexp_extract(bare, "^[a-z][a-z0-9+.-]*://([^/]+)", 1)
+    host = F.regexp_replace(F.regexp_replace(authority, "^.*@", ""), r"\.*(:[0-9]*)?$", "")
     path = F.regexp_extract(bare, "^[a-z][a-z0-9+.-]*://[^/]+(/.*)$", 1)
     segment = F.regexp_extract(path, "^/([^/]+)", 1)
     labels = F.split(host, "\\.")
-    n = F.size(labels)
+    n = F.when(host.rlike(r"^([0-9.]+|\[.*)$"), 1).otherwise(F.size(labels))
     parents = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1)),
-                          lambda i: F.concat(F.lit("d:"), F.array_join(F.slice(labels, i, n - i + 1), ".")))
+                          lambda i: F.concat(F.lit("d:"), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
     return F.when(host != "", F.concat(F.array(F.concat(F.lit("u:"), host, path),
                                                F.concat(F.lit("p:"), host, F.lit("/"), segment)), parents))
 
@@ -108,13 +110,19 @@ def derived_captures(pages: DataFrame) -> DataFrame:
 SQL = f"""
 WITH parsed AS (
   SELECT page_id, url, regexp_replace(lower(url), '[?#].*$', '') AS bare FROM pages),
+authorities AS (
+  SELECT page_id, url, split_part(split_part(bare, '://', 2), '/', 1) AS authority,
+         CASE WHEN strpos(split_part(bare, '://', 2), '/') > 0
+              THEN substr(split_part(bare, '://', 2), strpos(split_part(bare, '://', 2), '/')) ELSE '' END AS path
+  FROM parsed WHERE regexp_matches(bare, '^[a-z][a-z0-9+.-]*://')
+  UNION ALL SELECT page_id, url, '', '' FROM parsed WHERE url IS NULL OR NOT regexp_matches(bare, '^[a-z][a-z0-9+.-]*://')),
 hosts AS (
-  SELECT page_id, url, regexp_extract(bare, '^[a-z][a-z0-9+.-]*://([^/:@]+)', 1) AS host,
-         regexp_extract(bare, '^[a-z][a-z0-9+.-]*://[^/]+(/.*)$', 1) AS path FROM parsed),
+  SELECT page_id, url, rtrim(split_part(list_last(string_split(authority, '@')), ':', 1), '.') AS host, path FROM authorities),
 candidates AS (
   SELECT page_id, url, CASE WHEN host <> '' THEN
     list_concat(['u:' || host || path, 'p:' || host || '/' || regexp_extract(path, '^/([^/]+)', 1)],
-      list_transform(range(1, greatest(1, len(string_split(host, '.')) - 1) + 1),
+      list_transform(range(1, CASE WHEN translate(host, '0123456789.', '') = '' THEN 2
+                            ELSE greatest(1, len(string_split(host, '.')) - 1) + 1 END),
         lambda i: 'd:' || array_to_string(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), '.'))) END AS pats
   FROM hosts),
 entries AS (

@@ -1,6 +1,7 @@
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from recordlink.llm import op4_url_lists as L
 from recordlink.llm.op1_vptree import make_tree, nearest, search_tree
@@ -139,6 +140,20 @@ def test_url_lists_edge(spark):
     assert L.evaluate(caps, ents.limit(0)).filter("blocked").count() == 0
 
 
+def test_hosts(spark):
+    cases = {"http://good.com@evil.com/x": ["u:evil.com/x", "p:evil.com/x", "d:evil.com"],
+             "http://a:b@c@evil.com:80": ["u:evil.com", "p:evil.com/", "d:evil.com"],
+             "HTTP://Evil.com./x/y": ["u:evil.com/x/y", "p:evil.com/x", "d:evil.com"],
+             "http://a.b.evil.com.:8080/x@y": ["u:a.b.evil.com/x@y", "p:a.b.evil.com/x@y", "d:a.b.evil.com", "d:b.evil.com", "d:evil.com"],
+             "http://10.0.0.1/": ["u:10.0.0.1/", "p:10.0.0.1/", "d:10.0.0.1"],
+             "http://[::1.2.3.4]:80/": ["u:[::1.2.3.4]/", "p:[::1.2.3.4]/", "d:[::1.2.3.4]"],
+             "http://user@/x": None, "http://": None, "no url": None, "http://./": None,
+             "http://localhost?u=a@b": ["u:localhost", "p:localhost/", "d:localhost"]}
+    df = spark.createDataFrame([(u,) for u in cases], "url string")
+    got = {r.url: r.p for r in df.select("url", L.url_patterns(F.col("url")).alias("p")).collect()}
+    assert got == cases
+
+
 def test_url_lists_equal_sql(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = sorted(tuple(r) for r in L.evaluate(L.derived_captures(pages), L.derived_entries(pages)).collect())
