@@ -501,6 +501,29 @@ ORACLE["json_bad_first_line"] = """
 SELECT o_orderkey, o_custkey FROM orders
 WHERE o_orderkey NOT IN (SELECT min(o_orderkey) FROM orders GROUP BY o_orderkey % 4)"""
 
+ORACLE["ragged_records"] = """
+SELECT o_orderkey AS id, CASE o_orderkey % 3 WHEN 0 THEN 'object' WHEN 1 THEN 'integer' ELSE 'string' END AS kind,
+  CASE WHEN o_orderkey % 3 = 2 THEN -1 ELSE o_custkey END AS amount,
+  CASE WHEN o_orderkey % 3 = 2 THEN 'x' ELSE 'none' END AS tag FROM orders"""
+
+ORACLE["ragged_paths"] = """
+WITH f AS (
+  SELECT '$.id' AS path, 'integer' AS kind FROM orders
+  UNION ALL SELECT '$.amount', CASE o_orderkey % 3 WHEN 0 THEN 'object' WHEN 1 THEN 'integer' ELSE 'string' END FROM orders
+  UNION ALL SELECT '$.amount.value', 'integer' FROM orders WHERE o_orderkey % 3 = 0
+  UNION ALL SELECT '$.amount.unit', 'string' FROM orders WHERE o_orderkey % 3 = 0
+  UNION ALL SELECT '$.tags', 'array' FROM orders WHERE o_orderkey % 3 = 2)
+SELECT path, count(*) FILTER (kind = 'integer') AS n_integer, count(*) FILTER (kind = 'number') AS n_number,
+  count(*) FILTER (kind = 'string') AS n_string, count(*) FILTER (kind = 'boolean') AS n_boolean,
+  count(*) FILTER (kind = 'object') AS n_object, count(*) FILTER (kind = 'array') AS n_array,
+  count(*) FILTER (kind = 'null') AS n_null FROM f GROUP BY path"""
+
+ORACLE["ragged_shredded"] = """
+SELECT o_orderkey AS id_integer, CASE WHEN o_orderkey % 3 = 1 THEN o_custkey END AS amount_integer,
+  CASE WHEN o_orderkey % 3 = 2 THEN 'n/a' END AS amount_string,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END AS amount_value_integer,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'USD' END AS amount_unit_string FROM orders"""
+
 ORACLE["json_roundtrip"] = _w("""
 SELECT seq, taxpayer_id, status, balance FROM fx_account""", "fx_account")
 

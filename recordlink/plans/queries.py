@@ -690,6 +690,43 @@ def json_bad_first_line(spark, sf_dir):
     return back.where(F.col("_corrupt_record").isNull()).select("o_orderkey", "o_custkey")
 
 
+def _ragged(spark, sf_dir):
+    """Orders as JSON records whose ``amount`` is an object, a number or a text; read back as VARIANT."""
+    from recordlink.sources.ragged import read_records
+    path = _scratch(spark, "ragged")
+    k, c = F.col("o_orderkey").alias("id"), F.col("o_custkey")
+    shapes = [F.to_json(F.struct(k, F.struct(c.alias("value"), F.lit("USD").alias("unit")).alias("amount"))),
+              F.to_json(F.struct(k, c.alias("amount"))),
+              F.to_json(F.struct(k, F.lit("n/a").alias("amount"), F.array(F.lit("x")).alias("tags")))]
+    shape = F.when(F.col("o_orderkey") % 3 == 0, shapes[0]).when(F.col("o_orderkey") % 3 == 1, shapes[1]).otherwise(shapes[2])
+    _cat(spark, sf_dir).orders.select(shape.alias("value")).write.text(path)
+    return read_records(spark, path)
+
+
+@query
+def ragged_records(spark, sf_dir):
+    """Fields of records whose shapes differ, kept whole as VARIANT."""
+    from recordlink.sources.ragged import get_path, kind_of
+    return _ragged(spark, sf_dir).select(
+        get_path("record", "$.id", "bigint").alias("id"), kind_of(F.try_variant_get("record", "$.amount", "variant")).alias("kind"),
+        F.coalesce(get_path("record", "$.amount.value", "bigint"), get_path("record", "$.amount", "bigint", -1)).alias("amount"),
+        get_path("record", "$.tags[0]", "string", "none").alias("tag"))
+
+
+@query
+def ragged_paths(spark, sf_dir):
+    """A15 on ragged records: kinds per path."""
+    from recordlink.sources.ragged import path_types
+    return path_types(_ragged(spark, sf_dir))
+
+
+@query
+def ragged_shredded(spark, sf_dir):
+    """A1: typed columns for every path and kind that a fifth of the records have."""
+    from recordlink.sources.ragged import shred
+    return shred(_ragged(spark, sf_dir), min_share=0.2).drop("record", "_corrupt_record")
+
+
 @query
 def stream_replay(spark, sf_dir):
     """K1 / K5: the last batch of a stream is replayed (its commit is removed); the sink holds the
