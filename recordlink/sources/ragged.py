@@ -47,7 +47,7 @@ def read_records(spark: SparkSession, path: str, wrapper: str | None = "data") -
     if not frames:
         return spark.sql(f"SELECT parse_json('0') AS record, '' AS {CORRUPT}").limit(0)
     text = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
-    text = text.select(F.trim(F.regexp_replace("value", "^﻿", "")).alias("value")).where(F.col("value") != "")
+    text = text.select(F.trim(F.regexp_replace("value", "^\ufeff", "")).alias("value")).where(F.col("value") != "")
     v = text.withColumn("v", F.try_parse_json("value"))
     if wrapper is not None:
         inner = F.map_values(F.try_variant_get("v", "$", _MAP))
