@@ -5,7 +5,7 @@ A text's lattice has every piece of the model that matches at every position. A
 weighs the sum of its pieces' log weights: the model's own scores when they are log
 probabilities, or, for merge-ranked (BPE) models, Zipf's law over the rank. No piece spans a word
 start (the mark that stands for a blank) or a newline, so the lattice is a chain of word
-lattices; each distinct word's lattice is built once per batch, with backward sums that make every
+lattices; a distinct word's lattice is built once and kept for the batches that follow, with backward sums that make every
 node a normalised choice among its edges.
 
 The search is perturbed A-star from the top down. The root holds the largest Gumbel-perturbed
@@ -36,7 +36,7 @@ DECODED = SAMPLES.replace("ids array<int>", "text_crc32 long, round_trip boolean
 
 
 def make_decoder(model: str):
-    """Functions ids -> text and text -> the normalised text that its ids decode to."""
+    """Functions ids -> text; text -> its normalised text, blanks as marks; that -> the text its ids decode to."""
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
     lead = sp.normalize("a").startswith("▁")       # the model puts a blank before every text
@@ -45,18 +45,36 @@ def make_decoder(model: str):
         return None if ids is None else sp.decode(ids) if ids else ""
 
     def normal(text):
-        return sp.normalize(text).replace("▁", " ")[lead:] if text else ""
+        return sp.normalize(text) if text else ""
 
-    return back, normal
+    def shown(marked):
+        return marked.replace("▁", " ")[lead:]
 
+    return back, normal, shown
 
-def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0):
-    """A function (texts, keys) -> per text a list of (ids, log probability, log inclusion)."""
+
+def _buckets(table):
+    """For sorted 64-bit hashes: a shift, the first place per value of the bits above it (the
+    place 0 for none), and the most hashes that share those bits."""
+    import numpy as np
+    bits = max(4, int(len(table)).bit_length() + 2)
+    top = (table >> np.uint64(64 - bits)).astype(np.int64)
+    head = np.zeros(1 << bits, np.int64)
+    head[top[::-1]] = np.arange(len(table))[::-1]
+    return np.uint64(64 - bits), head, int(np.bincount(top).max())
+
+
+def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0, lattice_points: int = 3_000_000):
+    """A function (texts, keys) -> per text a list of (ids, log probability, log inclusion);
+    ``normalised`` says that ``make_decoder`` has normalised them. It keeps the lattices of the words that it met, up to
+    ``lattice_points`` code points (about 100 bytes each); then, and for larger calls, it starts anew."""
     import heapq
     import math
     import re
 
     import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
@@ -88,18 +106,42 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0):
             ids, cost = np.full(len(table), -1), np.zeros(len(table))
             whole = width == n
             ids[np.searchsorted(table, h[whole])], cost[np.searchsorted(table, h[whole])] = np.array(plain)[whole], weight[whole]
-            by_length[n] = (table, ids, cost)
+            by_length[n] = (table, ids, cost, *_buckets(table))
     longest = max(by_length)
+    known, held, used = {}, None, [0] * 7           # words and their lattices, with room for more
     units = re.compile("▁+[^▁\n]*|[^▁\n]+|\n")
     mix1, mix2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
-    def uniform(key, draw: int, at):
-        """Numbers in (0, 1) from hashes of (seed, key, draw, at)."""
-        h = (key + np.uint64((seed * 1_000_003 + draw * 7919 + 1) & (2 ** 64 - 1))) * odd + at.astype(np.uint64)
-        h = (h ^ (h >> np.uint64(30))) * mix1
-        h = (h ^ (h >> np.uint64(27))) * mix2
+    def stream(key, draw: int):
+        """Where the numbers of (seed, key, draw) begin."""
+        return (key + np.uint64((seed * 1_000_003 + draw * 7919 + 1) & (2 ** 64 - 1))) * odd
+
+    def uniform(h):
+        """Numbers in (0, 1) from hashes of ``stream`` + position; ``h`` is overwritten."""
+        h ^= h >> np.uint64(30)
+        h *= mix1
+        h ^= h >> np.uint64(27)
+        h *= mix2
         h ^= h >> np.uint64(31)
-        return ((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53
+        h >>= np.uint64(11)
+        u = h.astype(np.float64)
+        u += 0.5
+        u *= 2.0 ** -53
+        return u
+
+    def one(key, draw: int, at: int = 0) -> float:
+        return float(uniform(np.array([stream(key, draw) + np.uint64(at)]))[0])
+
+    def find(length: int, g):
+        """Places of the hashes that are prefixes of this length, and the places among ``g`` that are."""
+        table, _, _, shift, head, deepest = by_length[length]
+        at = head[g >> shift]
+        known = table[at] == g
+        for _ in range(deepest - 1):                # further entries of the same bucket
+            rest = np.flatnonzero(~known)
+            at[rest] += 1
+            known[rest] = table[np.minimum(at[rest], len(table) - 1)] == g[rest]
+        return at[known], known
 
     def lattices(words: list[str]):
         """Edges of all words' lattices: (root per word, first edge and end per node, per edge
@@ -118,10 +160,9 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0):
             g = (h[at] ^ text[at + length - 1]) * odd
             g ^= g >> np.uint64(29)
             h[at] = g
-            table, ids, costs = by_length[length]
-            place = np.minimum(np.searchsorted(table, g), len(table) - 1)
-            known = table[place] == g               # else no piece goes on from here
-            at, place = at[known], place[known]
+            ids, costs = by_length[length][1:3]
+            place, known = find(length, g)          # where not known no piece goes on
+            at = at[known]
             hit = ids[place] >= 0
             s = at[hit]
             start.append(s)
@@ -167,8 +208,9 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0):
         """Sample from each start node to its word's end: edges in order, and their word's place."""
         _, first, _, nxt, _, _, cum = lat
         who, step, got_who, got_step, got_edge = np.arange(len(nodes)), 0, [], [], []
+        at = stream(keys, draw) + order.astype(np.uint64) * np.uint64(65_536)
         while len(who):
-            u = uniform(keys[who], draw, order[who] * 65_536 + step)
+            u = uniform(at + np.uint64(step))
             e = first[nodes]
             todo = np.flatnonzero(u > cum[e])
             while len(todo):
@@ -179,7 +221,7 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0):
             got_edge.append(e)
             nodes = nxt[e]
             more = nodes >= 0
-            who, nodes, step = who[more], nodes[more], step + 1
+            who, nodes, at, step = who[more], nodes[more], at[more], step + 1
         who, step, edge = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (got_who, got_step, got_edge))
         n = np.bincount(who, minlength=0) if len(who) else np.zeros(0, np.int64)
         place = (np.cumsum(n) - n)[who] + step if len(who) else who
@@ -197,29 +239,62 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0):
 
     def groups(lat, edges, before, bound, key, draw, skip):
         """Largest perturbed values of the groups left behind along a path, from step ``skip``."""
-        p = lat[5][edges[skip:]]
-        rest = np.maximum(1.0 - p, 0.0)
-        phi = np.full(len(p), -np.inf)
-        some = rest > 1e-15
-        phi[some] = before[skip:][some] + np.log(rest[some])
-        noise = -np.log(uniform(key, draw, np.arange(skip, len(edges))))
-        value = np.full(len(p), -np.inf)
-        value[some] = phi[some] - np.log(np.exp(phi[some] - bound) + noise[some])
-        return value
-
-    def sample(texts, keys):
-        texts = [sp.normalize(t) if t else "" for t in texts]
-        words = [units.findall(t) for t in texts]
-        known: dict[str, int] = {}
-        codes = [np.array([known.setdefault(w, len(known)) for w in ws], np.int64) for ws in words]
-        lat = lattices(list(known)) if known else None
+        rest = 1.0 - lat[5][edges[skip:]]
+        rest[rest <= 1e-15] = 0.0                   # no other edge: minus infinity below
+        phi = before[skip:] + np.log(rest)
+        noise = np.log(uniform(stream(key, draw) + np.arange(skip, len(edges), dtype=np.uint64)))
+        return phi - np.log(np.exp(phi - bound) - noise)
+
+    def cut(texts):
+        """Distinct words of normalised texts (marks with what follows them, and newlines), each
+        word's place among them in text order, and the number of words per text."""
+        parts = ["\0".join(units.findall(t)) if "▁▁" in t else
+                 t.replace("▁", "\0▁").replace("\n", "\0\n\0") if "\0" not in t else "" for t in texts]
+        lists = pc.split_pattern(pa.array(parts, pa.large_string()), "\0")
+        if any("\0" in t for t in texts):           # texts that hold the separator itself
+            lists = pa.array([units.findall(t) if "\0" in t else x for t, x in zip(texts, lists.to_pylist())],
+                             pa.large_list(pa.large_string()))
+        coded = lists.values.dictionary_encode()
+        words, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        real = code != words.index("") if "" in words else np.ones(len(code), bool)
+        n = np.concatenate([[0], np.cumsum(real)])[lists.offsets.to_numpy()]
+        return words, code[real], np.diff(n)
+
+    def look_up(words):
+        """Numbers of the words in the lattices kept; those of new words are added."""
+        nonlocal known, held, used
+        new = [w for w in words if w not in known]
+        if held is not None and used[1] + sum(map(len, new)) > lattice_points:
+            known, held, used, new = {}, None, [0] * 7, words
+        known.update(zip(new, range(len(known), len(known) + len(new))))
+        if new:
+            root, first, last, follow, *rest = lattices(new)
+            nodes, edges = used[1], used[3]
+            more = (root + nodes, first + edges, last + edges, np.where(follow < 0, -1, follow + nodes), *rest)
+            held = held or [x[:0] for x in more]
+            for i, x in enumerate(more):
+                if used[i] + len(x) > len(held[i]):     # room for half as much again
+                    room = np.empty((used[i] + len(x)) * 3 // 2, x.dtype)
+                    room[:used[i]] = held[i][:used[i]]
+                    held[i] = room
+                held[i][used[i]:used[i] + len(x)] = x
+                used[i] += len(x)
+        return np.array([known[w] for w in words], np.int64), held and tuple(x[:n] for x, n in zip(held, used))
+
+    def sample(texts, keys, normalised=False):
+        if not normalised:
+            texts = [sp.normalize(t) if t else "" for t in texts]
+        words, flat, sizes = cut(texts)
+        numbers, lat = look_up([w for w in words if w])
+        if len(flat):
+            place = np.cumsum([w != "" for w in words]) - 1
+            flat = numbers[place[flat]]
+        after = np.cumsum(sizes)
+        codes = np.split(flat, after[:-1])
         out = []
-        with np.errstate(over="ignore"):
+        with np.errstate(over="ignore", divide="ignore"):
             all_keys = np.array([(x or 0) & (2 ** 64 - 1) for x in keys], np.uint64)
             # The paths of the maximum of all texts of the block go down together.
-            sizes = np.array([len(c) for c in codes])
-            after = np.cumsum(sizes)
-            flat = np.concatenate(codes) if len(codes) else np.zeros(0, np.int64)
             in_text = np.arange(len(flat)) - np.repeat(after - sizes, sizes)
             all_edges, all_who = (descend(lat, lat[0][flat], np.repeat(all_keys, sizes), 0, in_text) if len(flat)
                                   else (flat, flat))
@@ -230,7 +305,7 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0):
                     continue
                 roots, word_at = lat[0][code], np.arange(len(code))
                 edges, place = all_edges[cuts[t]:cuts[t + 1]], in_text[all_who[cuts[t]:cuts[t + 1]]]
-                top = -math.log(-math.log(float(uniform(key, 1, np.array([0]))[0])))
+                top = -math.log(-math.log(one(key, 1)))
                 done, heap = [], []
 
                 def left_behind(number, value, skip):
@@ -252,16 +327,16 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0):
                         threshold = value
                         break
                     edges, place, before = done[number][:3]
-                    node_edges = np.arange(lat[1][_node(lat, edges[at])], lat[2][_node(lat, edges[at])])
-                    free = node_edges[~np.isin(node_edges, taken)]
+                    node = int(np.searchsorted(lat[1], edges[at], "right") - 1)     # nodes' edge ranges are in order
+                    free = [e for e in range(int(lat[1][node]), int(lat[2][node])) if e not in taken]
                     p = lat[5][free]
                     draw = 10 * len(done) + 3
-                    u = float(uniform(key, draw, np.array([at]))[0]) * p.sum()
-                    chosen = int(free[min(int(np.searchsorted(np.cumsum(p), u)), len(free) - 1)])
+                    u = one(key, draw, at) * p.sum()
+                    chosen = free[min(int(np.searchsorted(np.cumsum(p), u)), len(free) - 1)]
                     rest = 1.0 - float(lat[5][list(taken)].sum()) - float(lat[5][chosen])
                     if len(free) > 1 and rest > 1e-15:
                         phi = float(before[at]) + math.log(rest)
-                        noise = -math.log(float(uniform(key, draw + 1, np.array([at]))[0]))
+                        noise = -math.log(one(key, draw + 1, at))
                         heapq.heappush(heap, (-(phi - math.log(math.exp(min(700.0, phi - value)) + noise)), number, at,
                                               (*taken, chosen)))
                     word = int(place[at])
@@ -284,10 +359,6 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0):
                 out.append(found)
         return out
 
-    def _node(lat, edge: int) -> int:
-        """The node an edge leaves: nodes' edge ranges are in order."""
-        return int(np.searchsorted(lat[1], edge, "right") - 1)
-
     return sample
 
 
@@ -305,7 +376,7 @@ def sample_encodings(docs: DataFrame, k: int = 2, seed: int = 0, model: str | No
         import numpy as np
         import pyarrow as pa
         draw = make_sampler(model, k, seed, temperature)
-        back, normal = make_decoder(model)
+        back, normal, shown = make_decoder(model)
         names = [f.rsplit(" ", 1)[0] for f in schema.split(", ")]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
                  *([pa.list_(pa.int32())] if with_ids else [pa.int64(), pa.bool_()])]
@@ -317,11 +388,11 @@ def sample_encodings(docs: DataFrame, k: int = 2, seed: int = 0, model: str | No
             return zlib.crc32(decoded.encode()), decoded == text
 
         def blocks(texts):
-            """Row ranges of about three million characters, one row at least."""
+            """Row ranges of about a million characters, one row at least."""
             at, held = 0, 0
             for i, t in enumerate(texts):
                 held += len(t or "")
-                if held > 3_000_000 or i == len(texts) - 1:
+                if held > 1_000_000 or i == len(texts) - 1:
                     yield at, i + 1
                     at, held = i + 1, 0
 
@@ -329,8 +400,9 @@ def sample_encodings(docs: DataFrame, k: int = 2, seed: int = 0, model: str | No
             ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             for lo, hi in blocks(texts):
                 rows = []
-                for doc, text, found in zip(ids[lo:hi], texts[lo:hi], draw(texts[lo:hi], ids[lo:hi])):
-                    text = None if with_ids else normal(text)
+                marked = [normal(t) for t in texts[lo:hi]]
+                for doc, text, found in zip(ids[lo:hi], marked, draw(marked, ids[lo:hi], normalised=True)):
+                    text = None if with_ids else shown(text)
                     for j, (got, log_p, log_q) in enumerate(found):
                         rows.append((doc, j + 1, len(got), zlib.crc32(got.astype("<u4").tobytes()), round(log_p, 6),
                                      round(log_q, 6), *last(got, text)))
