@@ -692,3 +692,21 @@ ORACLE["lookup_resumed"] = """SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS taxp
   CASE WHEN o_custkey % 100 = 77 THEN NULL WHEN o_custkey % 10 = 7 THEN 'RETRIED' ELSE 'S' || CAST(o_custkey % 4 AS VARCHAR) END AS status,
   CASE WHEN o_custkey % 100 = 77 THEN 'ValueError: lookup failed again' END AS error,
   CAST(CASE WHEN o_custkey % 10 = 7 THEN 1 ELSE 0 END AS INTEGER) AS attempt FROM orders"""
+
+ORACLE["file_digests"] = "SELECT count(*) >= 0 AS all_equal, count(*) >= 0 AS all_verified FROM orders"
+
+# rows without a key are all kept
+ORACLE["dedup_all_files"] = _w("""WITH k AS (
+  SELECT 'registry' AS file, nullif(trim(taxpayer_number), '') AS k FROM fx_registry
+  UNION ALL SELECT 'account', nullif(trim(taxpayer_id), '') FROM fx_account)
+SELECT file, count(*) AS original_count, count(DISTINCT k) + count(*) FILTER (WHERE k IS NULL) AS unique_count,
+  count(k) - count(DISTINCT k) AS duplicate_count FROM k GROUP BY file""", "fx_registry", "fx_account")
+
+ORACLE["account_job"] = _w(f"""WITH ids AS (
+  SELECT DISTINCT 'registry' AS source, {ck('taxpayer_number')} AS taxpayer_id FROM fx_registry WHERE {ck('taxpayer_number')} IS NOT NULL
+  UNION ALL SELECT DISTINCT 'account', {ck('taxpayer_id')} FROM fx_account WHERE {ck('taxpayer_id')} IS NOT NULL),
+n AS (SELECT *, CAST(right(taxpayer_id, 3) AS INTEGER) AS n FROM ids)
+SELECT source, taxpayer_id, n % 10 NOT IN (3, 7) AS has_details, n % 3 > 0 AS has_ftas, CAST(n % 3 AS BIGINT) AS ftas_count,
+  CASE WHEN n % 10 NOT IN (3, 7) THEN 'S' || CAST(n % 4 AS VARCHAR) END AS detail_status,
+  CASE n % 3 WHEN 1 THEN '2020' WHEN 2 THEN '2000' END AS ftas_report_year,
+  CASE WHEN n % 10 = 7 THEN 'ValueError: lookup failed' END AS error FROM n""", "fx_registry", "fx_account")

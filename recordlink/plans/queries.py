@@ -1065,3 +1065,55 @@ def lookup_resumed(spark, sf_dir):
     lookup_run(spark, src, dst, ck, "taxpayer_id", _first, schema, max_parallel=8, window=4)
     out = retry_failed(spark, dst, "taxpayer_id", _second, schema, max_parallel=8, window=4)
     return out.select("taxpayer_id", "status", "error", F.col("attempt").cast("int").alias("attempt"))
+
+
+@query
+def file_digests(spark, sf_dir):
+    """The files of the written orders, read in blocks, have the digests of their whole contents,
+    and a manifest checked in blocks verifies."""
+    from recordlink.sources.sinks import file_checksums, verify_manifest, write_manifest
+    path = _scratch(spark, "digests")
+    _cat(spark, sf_dir).orders.write.parquet(path)
+    whole, blocks = (file_checksums(spark, path, glob="*.parquet", whole_up_to=n).select("path", "checksum") for n in (1 << 30, 0))
+    write_manifest(spark, path, glob="*.parquet")
+    checked = verify_manifest(spark, path, glob="*.parquet", whole_up_to=0, block_bytes=1 << 16)
+    both = whole.join(blocks.withColumnRenamed("checksum", "by_blocks"), "path", "full_outer").join(checked, "path", "full_outer")
+    return both.agg(F.bool_and(F.col("checksum").eqNullSafe(F.col("by_blocks"))).alias("all_equal"),
+                    F.bool_and(F.col("status").eqNullSafe(F.lit("verified"))).alias("all_verified"))
+
+
+@query
+def dedup_all_files(spark, sf_dir):
+    """M7: registry and contacts written as files of two formats, each de-duplicated on its own."""
+    from recordlink.plans.pipelines import dedup_files
+    from recordlink.sources.sinks import write_csv, write_json
+    cat, base = _cat(spark, sf_dir), _scratch(spark, "dedup-files")
+    write_json(fx_registry(cat).select("seq", "taxpayer_number", "taxpayer_name"), f"{base}/registry.json")
+    write_csv(fx_account(cat).select("seq", "taxpayer_id", "status"), f"{base}/account.csv")
+    return dedup_files(spark, {"registry": f"{base}/registry.json", "account": f"{base}/account.csv"}, f"{base}/out",
+                       key_fields=["taxpayer_id", "taxpayer_number"])
+
+
+@query
+def account_job(spark, sf_dir):
+    """The keys of two sources looked up once each, flattened and exported by source."""
+    from pyspark.sql import types as T
+
+    from recordlink.plans.pipelines import account_job as job
+
+    def _detail(key):
+        n = int(key) % 1000
+        if n % 10 == 7:
+            raise ValueError("lookup failed")
+        return None if n % 10 == 3 else {"status": f"S{n % 4}"}
+
+    def _status(key):
+        n = int(key) % 1000
+        return {"report_year": "2020"} if n % 3 == 1 else [{"report_year": str(2000 + i)} for i in range(n % 3)]
+
+    out, cat = _scratch(spark, "account-job"), _cat(spark, sf_dir)
+    job(spark, {"registry": fx_registry(cat), "account": fx_account(cat)}, out, _detail,
+        T.StructType([T.StructField("status", T.StringType())]), _status,
+        T.StructType([T.StructField("report_year", T.StringType())]), window=4)
+    return spark.read.parquet(f"{out}/accounts").select("source", "taxpayer_id", "has_details", "has_ftas", "ftas_count",
+                                                        "detail_status", "ftas_report_year", "error")

@@ -29,6 +29,28 @@ def parse_status_body(df: DataFrame, body_col: str, schema: str | T.DataType,
     return parsed.select(key, "pos", "rec.*")
 
 
+def status_list(status: DataFrame, taxpayer_id=None, name=None, file_number=None, key: str = "taxpayer_id",
+                name_col: str = "name", file_col: str = "file_number") -> DataFrame:
+    """Status records of an id, a name or a file number (A10); several parameters must all hold.
+
+    Ids are compared as cleaned keys, names without case and outer blanks, file numbers stripped.
+    No parameter at all is an error; a value that nothing matches gives no rows.
+    """
+    from recordlink.functions.expr import clean_key, strip
+    tests = []
+    if taxpayer_id:
+        tests.append(clean_key(key) == clean_key(F.lit(str(taxpayer_id))))
+    if name:
+        tests.append(F.lower(strip(qcol(name_col))) == F.lower(strip(F.lit(name))))
+    if file_number:
+        tests.append(strip(qcol(file_col).cast("string")) == strip(F.lit(str(file_number))))
+    if not tests:
+        raise ValueError("give a taxpayer_id, a name or a file_number")
+    for t in tests:
+        status = status.where(t)
+    return status
+
+
 def parse_detail_body(df: DataFrame, body_col: str, schema: str | T.DataType,
                       key: str = "taxpayer_id") -> DataFrame:
     """Raw JSON detail bodies -> one row per key with the detail fields (A10)."""

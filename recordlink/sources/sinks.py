@@ -2,7 +2,8 @@
 fingerprints (B1-B10).
 
 Writes are distributed (one file per task); the manifest job hashes files on
-the executors (``binaryFile`` + ``sha2``) and verification is a full outer join
+the executors (``binaryFile`` + ``sha2``; files above ``WHOLE_UP_TO`` bytes as a running digest
+over blocks, so that no file becomes one value whatever its size) and verification is a full outer join
 of two listings, so no file content passes through the driver.
 """
 
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 from recordlink.functions.expr import qcol
 
 MANIFEST_NAME = "_manifest"
+WHOLE_UP_TO = 64 << 20      # larger files are read in blocks
 
 
 def _flat_for_text(df: DataFrame, sort_columns: bool = True) -> DataFrame:
@@ -94,15 +96,55 @@ def write_by_source(df: DataFrame, path: str, source_col: str = "source",
     df.write.mode(mode).partitionBy(source_col).format(fmt).save(path)
 
 
-def file_checksums(spark: SparkSession, path: str, algorithm: str = "sha256",
-                   glob: str = "*") -> DataFrame:
-    """``path, length, modified, checksum`` per file, hashed on the executors."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", True).load(path))
+def _listing(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", True).load(path))
+
+
+def _block_digests(files: DataFrame, algorithm: str, block_bytes: int) -> DataFrame:
+    """``path, checksum`` of listed files, each read by one task in blocks of ``block_bytes``. The
+    files must lie where Arrow's file systems reach them (local, hdfs, s3, gs and abfs paths)."""
+    def run(batches):
+        import hashlib
+        from urllib.parse import quote
+
+        import pandas as pd
+        import pyarrow.fs as fs
+        for pdf in batches:
+            for path in pdf["path"]:
+                scheme, _, rest = path.partition(":")
+                if scheme == "file":
+                    store, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+                else:
+                    store, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+                digest = hashlib.new(algorithm)
+                with store.open_input_stream(name) as stream:
+                    while block := stream.read(block_bytes):
+                        digest.update(block)
+                yield pd.DataFrame({"path": [path], "checksum": [digest.hexdigest()]})
+
+    # no contents are read for the listing, so files are dealt out anew, a few per task
+    return files.select("path").repartition("path").mapInPandas(run, "path string, checksum string")
+
+
+def _digests(files: DataFrame, algorithm: str, whole_up_to: int, block_bytes: int) -> DataFrame:
+    """``path, checksum`` per file of a listing. The scan drops files above ``whole_up_to`` by
+    their length before it opens them."""
     h = F.md5("content") if algorithm == "md5" else F.sha2("content", 256)
-    algo = "md5" if algorithm == "md5" else "sha256"
-    return files.select("path", "length", F.col("modificationTime").alias("modified"),
-                        F.lit(algo).alias("algorithm"), h.alias("checksum"))
+    small = files.where(F.col("length") <= whole_up_to).select("path", h.alias("checksum"))
+    large = files.where(F.col("length") > whole_up_to)
+    return small.unionByName(_block_digests(large, "md5" if algorithm == "md5" else "sha256", block_bytes))
+
+
+def file_checksums(spark: SparkSession, path: str, algorithm: str = "sha256", glob: str = "*",
+                   whole_up_to: int = WHOLE_UP_TO, block_bytes: int = 1 << 20) -> DataFrame:
+    """``path, length, modified, algorithm, checksum`` per file, hashed on the executors.
+    Spark's file scans leave out files without bytes, so such files have no row."""
+    files = _listing(spark, path, glob)
+    digests = _digests(files, algorithm, whole_up_to, block_bytes)
+    return (files.select("path", "length", F.col("modificationTime").alias("modified"),
+                         F.lit("md5" if algorithm == "md5" else "sha256").alias("algorithm"))
+            .join(digests, "path"))
 
 
 def write_manifest(spark: SparkSession, path: str, manifest_path: str | None = None,
@@ -115,7 +157,7 @@ def write_manifest(spark: SparkSession, path: str, manifest_path: str | None = N
 
 
 def verify_manifest(spark: SparkSession, path: str, manifest_path: str | None = None,
-                    glob: str = "*") -> DataFrame:
+                    glob: str = "*", whole_up_to: int = WHOLE_UP_TO, block_bytes: int = 1 << 20) -> DataFrame:
     """Status per file (B6): ``verified``, ``size_mismatch``, ``checksum_mismatch``,
     ``missing`` (listed, not found) or ``untracked`` (found, not listed).
     Sizes are compared first; only files of equal size are hashed."""
@@ -126,14 +168,13 @@ def verify_manifest(spark: SparkSession, path: str, manifest_path: str | None =
     algorithm = algo_row[0][0] if algo_row else "sha256"
     # files may have changed since they were last listed in this session
     spark.catalog.refreshByPath(path)
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", True).load(path))
+    files = _listing(spark, path, glob)
     listing = files.select("path", F.col("length").alias("f_length"))
     j = listing.join(m, "path", "full_outer")
     same_size = F.col("f_length") == F.col("m_length")
     need_hash = j.where(same_size).select("path")
-    h = F.md5("content") if algorithm == "md5" else F.sha2("content", 256)
-    hashed = files.join(need_hash, "path", "left_semi").select("path", h.alias("f_checksum"))
+    hashed = (_digests(files.join(need_hash, "path", "left_semi"), algorithm, whole_up_to, block_bytes)
+              .withColumnRenamed("checksum", "f_checksum"))
     r = j.join(hashed, "path", "left")
     status = (F.when(F.col("m_length").isNull(), F.lit("untracked"))
               .when(F.col("f_length").isNull(), F.lit("missing"))
@@ -176,7 +217,6 @@ def verify_and_load(spark: SparkSession, path: str, fmt: str | None = None,
 
 def folder_stats(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Item count and bytes of a cache or work folder (F15); contents not read."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", True).load(path).select("length", "modificationTime"))
+    files = _listing(spark, path, glob).select("length", "modificationTime")
     return files.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"),
                      F.max("modificationTime").alias("newest"))
