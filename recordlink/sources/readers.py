@@ -274,6 +274,17 @@ def read_datasets(spark: SparkSession, paths: dict, fmt: str | None = None,
     return u
 
 
+def datasets_report(spark: SparkSession, paths: dict, loaded: DataFrame, tag: str = "dataset_id") -> DataFrame:
+    """A row of the run report per dataset asked for (A9): its name, ``status`` (``loaded``, ``empty``
+    or ``missing``) and the ``rows`` that ``read_datasets`` gave."""
+    there = spark.createDataFrame([(n, path_exists(spark, p)) for n, p in paths.items()], f"{tag} string, _rl_there boolean")
+    counts = loaded.groupBy(tag).agg(F.count(F.lit(1)).alias("rows"))
+    rows = F.coalesce(F.col("rows"), F.lit(0))
+    return there.join(counts, tag, "left").select(
+        tag, F.when(~F.col("_rl_there"), F.lit("missing")).when(rows == 0, F.lit("empty")).otherwise(F.lit("loaded")).alias("status"),
+        rows.alias("rows"))
+
+
 def ingest_to_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                       partition_by: Sequence[str] = ()) -> None:
     """Write once as Parquet so later reads split and prune."""

@@ -140,3 +140,13 @@ def test_batch_pipeline(spark):
     assert out["32000000001"].account_balance == 1.0 and not out["32000000009"].has_account_data
     assert spark.read.parquet(os.path.join(d, "out", "registry", "parquet")).count() == 4
     assert spark.read.parquet(os.path.join(d, "out", "account", "parquet")).count() == 2
+
+
+def test_datasets_report(spark):
+    from recordlink.sources.readers import datasets_report, read_datasets
+    d = _tmp()
+    spark.range(7).select(F.col("id").cast("string").alias("taxpayer_id")).write.parquet(os.path.join(d, "a.parquet"))
+    spark.range(0).select(F.col("id").cast("string").alias("taxpayer_id")).write.parquet(os.path.join(d, "b.parquet"))
+    paths = {n: os.path.join(d, f"{n}.parquet") for n in "abc"}
+    rows = datasets_report(spark, paths, read_datasets(spark, paths, limit_per_dataset=5)).collect()
+    assert {r.dataset_id: (r.status, r["rows"]) for r in rows} == {"a": ("loaded", 5), "b": ("empty", 0), "c": ("missing", 0)}
