@@ -54,6 +54,16 @@ def test_samples_are_distinct_ordered_and_fair():
     assert sum(weight.values()) == pytest.approx(1.0, abs=0.05)             # inclusion weights are unbiased
 
 
+def test_samples_do_not_depend_on_the_lattices_kept():
+    texts = ["", None, "the cat", "a\0b c\0", "two  blanks   and\n\nlines\n", "▁▁x ▁", "\n", " ", "é漢字🙂 ok", "\0", "x" * 70_000]
+    kept, small = make_sampler(MODEL, 2, 0), make_sampler(MODEL, 2, 0, lattice_points=10)
+    want = kept(texts, list(range(len(texts))))
+    for again in (kept(texts, list(range(len(texts)))), [small([t], [i])[0] for i, t in enumerate(texts)]):
+        for x, y in zip(want, again):
+            assert [f[0].tolist() for f in x] == [f[0].tolist() for f in y]
+            assert [f[1] for f in x] == pytest.approx([f[1] for f in y])
+
+
 def test_all_segmentations_when_few():
     found = make_sampler(MODEL, 50, 1)(["a"], [3])[0]
     want = _all_segmentations("a")
