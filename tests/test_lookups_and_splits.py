@@ -148,3 +148,18 @@ def test_names_are_found_by_containment(spark):
     assert got == Counter((n, i) for n in {n for n in names if n} for i, t in texts if t is not None and n.upper() in t.upper())
     top = search_names_contains(df, ndf, "t", per=2).groupBy("query_name").count().collect()
     assert all(r["count"] <= 2 for r in top)
+
+
+def _first_join(df):
+    """The topmost join of the planned query."""
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    return next(line for line in plan.splitlines() if "Join [" in line)
+
+
+def test_copies_of_hot_rows_are_never_broadcast(spark):
+    """The copies of a hot key's rows are many times what Spark estimates from the side's size."""
+    left = spark.range(3000).select(F.lit(1).alias("k"), F.col("id").alias("x"))
+    right = spark.range(40).select(F.lit(1).alias("k"), F.col("id").alias("y"))
+    merged = merge_outer(left, right, "k", hot_rows=10)
+    assert "SortMergeJoin [_rl_k" in _first_join(merged) and "_rl_snl" in _first_join(merged)
+    assert merged.count() == 120_000
