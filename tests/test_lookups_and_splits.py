@@ -163,3 +163,12 @@ def test_copies_of_hot_rows_are_never_broadcast(spark):
     merged = merge_outer(left, right, "k", hot_rows=10)
     assert "SortMergeJoin [_rl_k" in _first_join(merged) and "_rl_snl" in _first_join(merged)
     assert merged.count() == 120_000
+
+
+def test_grams_of_texts_are_never_broadcast(spark):
+    """All grams of the texts are many times what Spark estimates from the texts' size."""
+    texts = spark.range(50).select(F.col("id").alias("seq"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("t"))
+    names = spark.range(50).select(F.concat(F.lit("ext "), F.col("id").cast("string")).alias("name"))
+    found = search_names_contains(texts, names, "t", per=None)
+    assert "SortMergeJoin [_rl_gram" in _first_join(found)
+    assert found.count() == sum(f"ext {i}" in f"text {j}" for i in range(50) for j in range(50))
