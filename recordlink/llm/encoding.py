@@ -17,13 +17,14 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def text_encoder(path: str, cache_words: int = 1_000_000):
+def text_encoder(path: str, cache_words: int = 600_000):
     """``encode(texts) -> list of bytes``: each text's ids, little-endian unsigned 16-bit; null
     texts are empty. ``texts`` is an Arrow array or a list.
 
     ``path`` names a ``tokenizers`` file: byte-level BPE, with or without the lower-casing,
-    blank-dropping front end. The cache is emptied when it holds ``cache_words`` chunks, so
-    memory is bounded; it lives as long as the Python worker.
+    blank-dropping front end. The cache holds the words met last, in two halves of ``cache_words / 2``:
+    when the newer is full it becomes the older one, whose words move up as they are met again. So
+    memory is bounded (about 200 bytes a word); the cache lives as long as the Python worker.
     """
     import os
     import sys
@@ -70,6 +71,7 @@ def _make_encoder(path: str, cache_words: int):
     # A letter, a comma or full stop, then white space: always three words, so cut there at once.
     stop, stopped = r"([A-Za-zÀ-ÖØ-öø-ÿ])([,.])([\x20\n])", r"\1 \2\3" if words_only else "\\1\x1f\\2\\3"
     cache: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
 
     def words_of(chunk: str) -> list[str]:
         start = 1 if not words_only and chunk[:1] == " " else 0
@@ -77,18 +79,21 @@ def _make_encoder(path: str, cache_words: int):
 
     def ids_for(chunks: list[str]) -> list[bytes]:
         """Ids of distinct chunks, from the cache or the library."""
+        nonlocal cache, older
         got = list(map(cache.get, chunks))
         at = [i for i, v in enumerate(got) if v is None]
         if at:
             parts = [words_of(chunks[i]) for i in at]
             known = dict.fromkeys([w for p in parts for w in p])
-            todo = [w for w in known if w not in cache]
-            for w in known.keys() - set(todo):
-                known[w] = cache[w]
-            made = one.encode_batch_fast(todo, add_special_tokens=False)
-            known.update(zip(todo, (array("H", e.ids).tobytes() for e in made)))
-            if len(cache) + len(known) > cache_words:
-                cache.clear()
+            for w in known:
+                known[w] = cache.get(w) or older.get(w)
+            todo = [w for w, v in known.items() if v is None]
+            for i in range(0, len(todo), 4096):     # the library's results are large
+                some = todo[i:i + 4096]
+                made = one.encode_batch_fast(some, add_special_tokens=False)
+                known.update(zip(some, (array("H", e.ids).tobytes() for e in made)))
+            if len(cache) + len(known) > cache_words // 2:
+                cache, older = {}, cache
             cache.update(known)
             for i, p in zip(at, parts):
                 got[i] = known[p[0]] if len(p) == 1 else b"".join([known[w] for w in p])
@@ -144,9 +149,9 @@ def _make_encoder(path: str, cache_words: int):
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         out, at = [], 0
         while at < len(texts):
-            # about 8 MB of text at a time, one text at least
+            # about 4 MB of text at a time, one text at least: the block takes some ten times its size
             size = np.cumsum(pc.fill_null(pc.binary_length(texts.slice(at, 4096)), 0).to_numpy(zero_copy_only=False))
-            k = max(1, int(np.searchsorted(size, 1 << 23)))
+            k = max(1, int(np.searchsorted(size, 1 << 22)))
             out += encode_block(texts.slice(at, k))
             at += k
         return out

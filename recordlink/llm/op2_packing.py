@@ -46,6 +46,7 @@ def encode_partitions(docs: DataFrame, tokenizer: str, end_id: int | None, id_co
                      pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()),
                      pa.array(ids, pa.binary())],
                     names=["doc_id", "part", "local_start", "n_tokens", "ids"])
+        pa.default_memory_pool().release_unused()       # the worker lives on
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text_col).cast("string").alias("text"))

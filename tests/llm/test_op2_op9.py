@@ -140,3 +140,34 @@ def test_record_format_and_damage(spark):
 
 def test_records_empty(spark):
     assert read_records(write_records(empty_documents(spark))).count() == 0
+
+
+def test_worker_memory_stays_bounded():
+    """Python workers live through all stages: what they hold of words, and take for a block of texts, is bounded."""
+    import os
+    import subprocess
+    import sys
+    code = """
+import pyarrow as pa
+from recordlink.llm.encoding import text_encoder, vocabulary_path
+from recordlink.llm.op8_jaccard import _shingler
+import numpy as np
+words = [f"w{i}x" for i in range(40_000)]
+text = " ".join(words[:4000])
+encode = text_encoder(vocabulary_path("word_bpe_49k.json"))
+texts = pa.array([text] * 800)                  # 20 MB
+before = pa.total_allocated_bytes()
+ids = encode(texts)
+assert len(set(ids)) == 1 and ids[0] == encode([text])[0]
+print(len(text) * 800, pa.default_memory_pool().max_memory() - before)
+with np.errstate(over="ignore"):
+    shingles = _shingler(3)
+    for i in range(10):
+        shingles(" ".join(f"{w}{i}" for w in words))
+import _llm_worker_store
+print(len(_llm_worker_store.word_hashes))
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    size, arrow, held = map(int, out)
+    assert size > 18_000_000 and arrow < 50_000_000 and held <= 150_000
