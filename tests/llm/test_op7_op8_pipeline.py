@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from recordlink.llm.encoding import vocabulary_path
+from recordlink.llm import op8_jaccard as op8
 from recordlink.llm.op3_quality import quality_report
 from recordlink.llm.op6_secrets import secret_scanner
 from recordlink.llm.op7_sampling import decode, make_sampler, sample_encodings
@@ -176,6 +177,40 @@ def test_long_chain_settles(spark):
     assert got == {f"{i:05d}".encode(): b"00000" for i in range(n)} | {b"y": b"y", b"z": b"y"}
 
 
+def plans_kept(monkeypatch):
+    """A list that gets (name, exchanges in the plan, rows) of each table that op8 writes from now on."""
+    seen, keep = [], op8.keep
+
+    def watched(df, name):
+        kept = keep(df, name)
+        seen.append((name, df._jdf.queryExecution().executedPlan().toString().count("Exchange"), kept.count()))
+        return kept
+
+    monkeypatch.setattr(op8, "keep", watched)
+    return seen
+
+
+def test_rounds_of_components_have_small_plans(spark, monkeypatch):
+    """The driver keeps the plans of all rounds: one star to a plan."""
+    seen = plans_kept(monkeypatch)
+    edges = spark.createDataFrame([(f"{i}".encode(), f"{i + 1}".encode()) for i in range(10)], "a binary, b binary")
+    assert components(edges).count() == 11
+    assert max(n for _, n, _ in seen) < 20
+
+
+def test_only_sets_short_of_cold_tokens_are_read_again(spark, monkeypatch):
+    seen, rng = plans_kept(monkeypatch), random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(30))
+    plain = [" ".join(f"d{i}w{rng.randrange(10 ** 6)}" for _ in range(40)) for i in range(60)]
+    shared = [f"{passage} e{i} f{i} g{i}" for i in range(12)]
+    data = list(enumerate(plain + shared + shared))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = Counter(tuple(r) for r in jaccard_components(docs, 3, 90, group_rows=2, hot_groups=1).collect())
+    assert got == Counter(brute_components(data, 3, 90))
+    rows = {name: n for name, _, n in seen}
+    assert 0 < rows["late-wanted"] <= 12 and rows["late"] == rows["late-wanted"]
+
+
 def test_one_per_component(spark):
     docs = edge_documents(spark)
     kept = one_per_component(docs, 5, 80)
