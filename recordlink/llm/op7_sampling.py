@@ -69,12 +69,11 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0, lattic
     ``normalised`` says that ``make_decoder`` has normalised them. It keeps the lattices of the words that it met, up to
     ``lattice_points`` code points (about 100 bytes each); then, and for larger calls, it starts anew."""
     import heapq
+    import itertools
     import math
     import re
 
     import numpy as np
-    import pyarrow as pa
-    import pyarrow.compute as pc
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
@@ -129,8 +128,12 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0, lattic
         u *= 2.0 ** -53
         return u
 
-    def one(key, draw: int, at: int = 0) -> float:
-        return float(uniform(np.array([stream(key, draw) + np.uint64(at)]))[0])
+    def one(key: int, draw: int, at: int = 0) -> float:
+        """The number that ``uniform`` makes of ``stream(key, draw) + at``, in plain integers."""
+        h = ((key + seed * 1_000_003 + draw * 7919 + 1) * int(odd) + at) & (2 ** 64 - 1)
+        h = (h ^ h >> 30) * int(mix1) & (2 ** 64 - 1)
+        h = (h ^ h >> 27) * int(mix2) & (2 ** 64 - 1)
+        return (float((h ^ h >> 31) >> 11) + 0.5) * 2.0 ** -53
 
     def find(length: int, g):
         """Places of the hashes that are prefixes of this length, and the places among ``g`` that are."""
@@ -237,35 +240,19 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0, lattic
             out += [i] if i >= 0 else [byte_id[b] for b in chr(-1 - i).encode("utf-8", "surrogatepass")]
         return np.array(out, np.int64)
 
-    def groups(lat, edges, before, bound, key, draw, skip):
-        """Largest perturbed values of the groups left behind along a path, from step ``skip``."""
-        rest = 1.0 - lat[5][edges[skip:]]
-        rest[rest <= 1e-15] = 0.0                   # no other edge: minus infinity below
-        phi = before[skip:] + np.log(rest)
-        noise = np.log(uniform(stream(key, draw) + np.arange(skip, len(edges), dtype=np.uint64)))
-        return phi - np.log(np.exp(phi - bound) - noise)
-
     def cut(texts):
-        """Distinct words of normalised texts (marks with what follows them, and newlines), each
-        word's place among them in text order, and the number of words per text."""
-        parts = ["\0".join(units.findall(t)) if "▁▁" in t else
-                 t.replace("▁", "\0▁").replace("\n", "\0\n\0") if "\0" not in t else "" for t in texts]
-        lists = pc.split_pattern(pa.array(parts, pa.large_string()), "\0")
-        if any("\0" in t for t in texts):           # texts that hold the separator itself
-            lists = pa.array([units.findall(t) if "\0" in t else x for t, x in zip(texts, lists.to_pylist())],
-                             pa.large_list(pa.large_string()))
-        coded = lists.values.dictionary_encode()
-        words, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        real = code != words.index("") if "" in words else np.ones(len(code), bool)
-        n = np.concatenate([[0], np.cumsum(real)])[lists.offsets.to_numpy()]
-        return words, code[real], np.diff(n)
+        """Words of normalised texts (marks with what follows them, and newlines) and the number of words per text."""
+        lists = [units.findall(t) if "▁▁" in t or "\0" in t else
+                 list(filter(None, t.replace("▁", "\0▁").replace("\n", "\0\n\0").split("\0"))) for t in texts]
+        return list(itertools.chain.from_iterable(lists)), np.fromiter(map(len, lists), np.int64, len(lists))
 
     def look_up(words):
         """Numbers of the words in the lattices kept; those of new words are added."""
         nonlocal known, held, used
-        new = [w for w in words if w not in known]
+        distinct = dict.fromkeys(words)
+        new = [w for w in distinct if w not in known]
         if held is not None and used[1] + sum(map(len, new)) > lattice_points:
-            known, held, used, new = {}, None, [0] * 7, words
+            known, held, used, new = {}, None, [0] * 7, list(distinct)
         known.update(zip(new, range(len(known), len(known) + len(new))))
         if new:
             root, first, last, follow, *rest = lattices(new)
@@ -279,84 +266,112 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0, lattic
                     held[i] = room
                 held[i][used[i]:used[i] + len(x)] = x
                 used[i] += len(x)
-        return np.array([known[w] for w in words], np.int64), held and tuple(x[:n] for x, n in zip(held, used))
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words)), held and tuple(x[:n] for x, n in zip(held, used))
 
     def sample(texts, keys, normalised=False):
         if not normalised:
             texts = [sp.normalize(t) if t else "" for t in texts]
-        words, flat, sizes = cut(texts)
-        numbers, lat = look_up([w for w in words if w])
-        if len(flat):
-            place = np.cumsum([w != "" for w in words]) - 1
-            flat = numbers[place[flat]]
+        words, sizes = cut(texts)
+        flat, lat = look_up(words)
         after = np.cumsum(sizes)
-        codes = np.split(flat, after[:-1])
-        out = []
+        before_of = after - sizes
+        empty = [(np.zeros(0, np.int64), 0.0, 0.0)]
+        if not len(flat):
+            return [list(empty) for _ in texts]
+        all_keys = [(x or 0) & (2 ** 64 - 1) for x in keys]
+        key_of = np.array(all_keys, np.uint64)
+        roots, in_text = lat[0][flat], np.arange(len(flat)) - np.repeat(before_of, sizes)
+        # All texts of the block are searched in step: each round pops every text's best group,
+        # and the new paths of all texts go down together.
+        done, heaps = [[] for _ in texts], [[] for _ in texts]
+        threshold = [-math.inf] * len(texts)
+
+        def add(some, paths, values, skips):
+            """Paths of the texts ``some``: (edges, their words' places, their logs); and the largest
+            perturbed values of the groups left behind along each, from its step in ``skips``."""
+            number, counts = len(done[some[0]]), []
+            for t, (edges, place, logs), value, skip in zip(some, paths, values, skips):
+                done[t].append((edges, place, np.cumsum(logs) - logs, logs))
+                counts.append(len(edges) - skip)
+            rest = 1.0 - lat[5][np.concatenate([x[0][skip:] for x, skip in zip(paths, skips)])]
+            rest[rest <= 1e-15] = 0.0               # no other edge: minus infinity below
+            phi = np.concatenate([done[t][-1][2][skip:] for t, skip in zip(some, skips)]) + np.log(rest)
+            ends = np.cumsum(counts)
+            step = np.arange(len(phi)) + np.repeat(np.array(skips) - (ends - counts), counts)
+            noise = np.log(uniform(np.repeat(stream(key_of[some], 10 * number + 2), counts) + step.astype(np.uint64)))
+            v = phi - np.log(np.exp(phi - np.repeat(np.array(values), counts)) - noise)
+            for t, n, end, skip in zip(some, counts, ends.tolist(), skips):
+                x = v[end - n:end]
+                keep = min(n, k + 1)
+                for i in np.argpartition(-x, keep - 1)[:keep].tolist() if n else []:
+                    if x[i] > -np.inf:
+                        heapq.heappush(heaps[t], (-float(x[i]), number, skip + i, (int(done[t][-1][0][skip + i]),)))
+
         with np.errstate(over="ignore", divide="ignore"):
-            all_keys = np.array([(x or 0) & (2 ** 64 - 1) for x in keys], np.uint64)
-            # The paths of the maximum of all texts of the block go down together.
-            in_text = np.arange(len(flat)) - np.repeat(after - sizes, sizes)
-            all_edges, all_who = (descend(lat, lat[0][flat], np.repeat(all_keys, sizes), 0, in_text) if len(flat)
-                                  else (flat, flat))
-            cuts = np.searchsorted(all_who, np.concatenate([[0], after]))
-            for t, (code, key) in enumerate(zip(codes, all_keys)):
-                if not len(code):
-                    out.append([(np.zeros(0, np.int64), 0.0, 0.0)])
-                    continue
-                roots, word_at = lat[0][code], np.arange(len(code))
-                edges, place = all_edges[cuts[t]:cuts[t + 1]], in_text[all_who[cuts[t]:cuts[t + 1]]]
-                top = -math.log(-math.log(one(key, 1)))
-                done, heap = [], []
-
-                def left_behind(number, value, skip):
-                    edges, _, before = done[number][:3]
-                    v = groups(lat, edges, before, value, key, 10 * number + 2, skip)
-                    keep = min(len(v), k + 1)
-                    for i in np.argpartition(-v, keep - 1)[:keep] if len(v) else []:
-                        if v[i] > -np.inf:
-                            heapq.heappush(heap, (-float(v[i]), number, skip + int(i), (int(edges[skip + i]),)))
-
-                logs = np.log(lat[5][edges])
-                done.append((edges, place, np.cumsum(logs) - logs, top))
-                left_behind(0, top, 0)
-                threshold = -math.inf
-                while heap:
-                    value, number, at, taken = heapq.heappop(heap)
-                    value = -value
-                    if len(done) == k:
-                        threshold = value
-                        break
-                    edges, place, before = done[number][:3]
+            some = np.flatnonzero(sizes).tolist()
+            edges, who = descend(lat, roots, np.repeat(key_of, sizes), 0, in_text)
+            cuts = np.searchsorted(who, np.concatenate([[0], after])).tolist()
+            logs, place = np.log(lat[5][edges]), in_text[who]
+            add(some, [tuple(x[cuts[t]:cuts[t + 1]] for x in (edges, place, logs)) for t in some],
+                [-math.log(-math.log(one(all_keys[t], 1))) for t in some], [0] * len(some))
+            while some:
+                picked, starts, orders = [], [], []
+                for t in some:
+                    if not heaps[t]:
+                        continue
+                    value, number, at, taken = heapq.heappop(heaps[t])
+                    value, key = -value, all_keys[t]
+                    if len(done[t]) == k:
+                        threshold[t] = value
+                        continue
+                    edges, place, before, _ = done[t][number]
                     node = int(np.searchsorted(lat[1], edges[at], "right") - 1)     # nodes' edge ranges are in order
                     free = [e for e in range(int(lat[1][node]), int(lat[2][node])) if e not in taken]
                     p = lat[5][free]
-                    draw = 10 * len(done) + 3
+                    draw = 10 * len(done[t]) + 3
                     u = one(key, draw, at) * p.sum()
                     chosen = free[min(int(np.searchsorted(np.cumsum(p), u)), len(free) - 1)]
                     rest = 1.0 - float(lat[5][list(taken)].sum()) - float(lat[5][chosen])
                     if len(free) > 1 and rest > 1e-15:
                         phi = float(before[at]) + math.log(rest)
                         noise = -math.log(one(key, draw + 1, at))
-                        heapq.heappush(heap, (-(phi - math.log(math.exp(min(700.0, phi - value)) + noise)), number, at,
-                                              (*taken, chosen)))
+                        heapq.heappush(heaps[t], (-(phi - math.log(math.exp(min(700.0, phi - value)) + noise)), number, at,
+                                                  (*taken, chosen)))
                     word = int(place[at])
                     follow = int(lat[3][chosen])
-                    starts, order = roots[word + 1:], word_at[word + 1:]
+                    lo, hi = int(before_of[t]) + word + 1, int(after[t])
                     if follow >= 0:
-                        starts, order = np.concatenate([[follow], starts]), np.concatenate([[word], order])
-                    tail, who = descend(lat, starts, np.full(len(starts), key), draw + 2, order)
-                    new = np.concatenate([edges[:at], [chosen], tail])
-                    where = np.concatenate([place[:at], [word], order[who] if len(who) else who])
-                    logs = np.log(lat[5][new])
-                    done.append((new, where, np.cumsum(logs) - logs, value))
-                    left_behind(len(done) - 1, value, at + 1)
-                found = []
-                for edges, _, before, _ in done:
-                    log_p = float(before[-1] + np.log(lat[5][edges[-1]]))
-                    x = log_p - threshold
-                    log_q = x if x < -30 else 0.0 if x > 30 else math.log(-math.expm1(-math.exp(x)))
-                    found.append((spell(lat[4][edges]), log_p, log_q))
-                out.append(found)
+                        starts.append([follow])
+                        orders.append([word])
+                    starts.append(roots[lo:hi])
+                    orders.append(in_text[lo:hi])
+                    picked.append((t, number, at, chosen, word, value, hi - lo + (follow >= 0)))
+                some = [x[0] for x in picked]
+                if not some:
+                    break
+                counts = np.array([x[-1] for x in picked])
+                begin, order = (np.concatenate(x).astype(np.int64) for x in (starts, orders))
+                draw = 10 * len(done[some[0]]) + 5      # every text has as many paths by now
+                tails, who = descend(lat, begin, np.repeat(key_of[some], counts), draw, order)
+                cuts = np.searchsorted(who, np.concatenate([[0], np.cumsum(counts)])).tolist()
+                firsts = np.log(lat[5][[x[3] for x in picked]])
+                tail_logs, where = np.log(lat[5][tails]), order[who]
+                paths = []
+                for i, (t, number, at, chosen, word, _, _) in enumerate(picked):
+                    a, b = cuts[i], cuts[i + 1]
+                    edges, place, _, logs = done[t][number]
+                    paths.append((np.concatenate([edges[:at], [chosen], tails[a:b]]), np.concatenate([place[:at], [word], where[a:b]]),
+                                  np.concatenate([logs[:at], firsts[i:i + 1], tail_logs[a:b]])))
+                add(some, paths, [x[5] for x in picked], [x[2] + 1 for x in picked])
+        out = []
+        for t, paths in enumerate(done):
+            found = [] if paths else list(empty)
+            for edges, _, before, logs in paths:
+                log_p = float(before[-1] + logs[-1])
+                x = log_p - threshold[t]
+                log_q = x if x < -30 else 0.0 if x > 30 else math.log(-math.expm1(-math.exp(x)))
+                found.append((spell(lat[4][edges]), log_p, log_q))
+            out.append(found)
         return out
 
     return sample

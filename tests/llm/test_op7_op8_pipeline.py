@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -65,6 +66,22 @@ def test_samples_do_not_depend_on_the_lattices_kept():
             assert [f[1] for f in x] == pytest.approx([f[1] for f in y])
 
 
+def test_texts_of_a_block_go_down_together():
+    """One descent a path for all texts, and the samples that each text has alone."""
+    rng, calls = random.Random(3), []
+    texts = [" ".join(rng.choice(("encoding", "sampled", "lattices\n", "é☃", "  twice", "nul\0l")) for _ in range(rng.randrange(9))) for _ in range(40)]
+    draw = make_sampler(MODEL, 3, 5)
+    sys.setprofile(lambda frame, event, _: event == "call" and frame.f_code.co_name == "descend" and calls.append(1))
+    try:
+        got = draw(texts, list(range(40)))
+    finally:
+        sys.setprofile(None)
+    assert 1 <= len(calls) <= 3
+    for i, t in enumerate(texts):
+        alone = make_sampler(MODEL, 3, 5)([t], [i])[0]
+        assert [(x.tolist(), p, q) for x, p, q in alone] == [(x.tolist(), p, q) for x, p, q in got[i]]
+
+
 def test_all_segmentations_when_few():
     found = make_sampler(MODEL, 50, 1)(["a"], [3])[0]
     want = _all_segmentations("a")
