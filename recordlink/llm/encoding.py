@@ -38,6 +38,7 @@ def text_encoder(path: str, cache_words: int = 600_000):
 
 
 def _make_encoder(path: str, cache_words: int):
+    import itertools
     import re
     from array import array
 
@@ -73,30 +74,34 @@ def _make_encoder(path: str, cache_words: int):
     cache: dict[str, bytes] = {}
     older: dict[str, bytes] = {}
 
-    def words_of(chunk: str) -> list[str]:
-        start = 1 if not words_only and chunk[:1] == " " else 0
-        return [chunk] if chunk[start:].isalpha() else cut.findall(chunk)
-
     def ids_for(chunks: list[str]) -> list[bytes]:
         """Ids of distinct chunks, from the cache or the library."""
         nonlocal cache, older
         got = list(map(cache.get, chunks))
         at = [i for i, v in enumerate(got) if v is None]
         if at:
-            parts = [words_of(chunks[i]) for i in at]
-            known = dict.fromkeys([w for p in parts for w in p])
-            for w in known:
-                known[w] = cache.get(w) or older.get(w)
+            known, several = {}, {}         # words; the words of chunks that may hold more than one
+            for i in at:
+                c = chunks[i]
+                if c[1:].isalpha() if not words_only and c[:1] == " " else c.isalpha():
+                    known[c] = None
+                else:
+                    several[i] = cut.findall(c)
+            if older:
+                known.update(zip(known, list(map(older.get, known))))
+            for w in itertools.chain.from_iterable(several.values()):
+                if w not in known:
+                    known[w] = cache.get(w) or older.get(w)
             todo = [w for w, v in known.items() if v is None]
             for i in range(0, len(todo), 4096):     # the library's results are large
                 some = todo[i:i + 4096]
                 made = one.encode_batch_fast(some, add_special_tokens=False)
-                known.update(zip(some, (array("H", e.ids).tobytes() for e in made)))
+                known.update(zip(some, [array("H", e.ids).tobytes() for e in made]))
             if len(cache) + len(known) > cache_words // 2:
                 cache, older = {}, cache
             cache.update(known)
-            for i, p in zip(at, parts):
-                got[i] = known[p[0]] if len(p) == 1 else b"".join([known[w] for w in p])
+            for i in at:
+                got[i] = b"".join([known[w] for w in several[i]]) if i in several else known[chunks[i]]
         return got
 
     def joined(chunks: pa.Array, ends) -> list[bytes]:

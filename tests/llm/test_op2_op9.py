@@ -1,5 +1,6 @@
 import functools
 import struct
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -87,6 +88,19 @@ def test_pack_empty(spark):
     assert pack(empty_documents(spark)).count() == 0
 
 
+def test_crc32c_of_record_heads_takes_no_blocks():
+    heads = [i.to_bytes(8, "little") for i in range(20_000)]
+    crc32c_many(heads[:1])
+    tracemalloc.start()
+    try:
+        got = crc32c_many(heads)
+        assert tracemalloc.get_traced_memory()[1] < 512 * len(heads) // 2
+    finally:
+        tracemalloc.stop()
+    mixed = crc32c_many([x for h in heads[:50] for x in (h, h + b"x")])
+    assert mixed[::2] == got[:50] and got[0] == 0x8C28B28A
+
+
 def test_crc32c_known_values():
     # published check values of CRC-32C
     assert crc32c_many([b"123456789"]) == [0xE3069283]
