@@ -10,6 +10,8 @@ control separators go whole through the library. The result is the library's, id
 
 from __future__ import annotations
 
+from recordlink.llm.common import worker_held
+
 
 def vocabulary_path(name: str) -> str:
     """Place of a public tokenizer file."""
@@ -24,14 +26,12 @@ def text_encoder(path: str, cache_words: int = 600_000):
     ``path`` names a ``tokenizers`` file: byte-level BPE, with or without the lower-casing,
     blank-dropping front end. The cache holds the words met last, in two halves of ``cache_words / 2``:
     when the newer is full it becomes the older one, whose words move up as they are met again. So
-    memory is bounded (about 200 bytes a word); the cache lives as long as the Python worker.
+    memory is bounded (about 200 bytes a word); the cache lives in the Python worker until
+    another operator runs in it.
     """
     import os
-    import sys
-    import types
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    store = sys.modules.setdefault("_llm_worker_store", types.ModuleType("_llm_worker_store"))
-    made = store.__dict__.setdefault("encoders", {})
+    made = worker_held("encoders")
     if (path, cache_words) not in made:
         made[path, cache_words] = _make_encoder(path, cache_words)
     return made[path, cache_words]

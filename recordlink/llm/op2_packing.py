@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlink.llm.common import keep, running_offsets
+from recordlink.llm.common import give_back, keep, running_offsets
 from recordlink.llm.encoding import crc_of, ids_of, text_encoder, vocabulary_path
 
 ENCODED = "doc_id long, part int, local_start long, n_tokens long, ids binary"
@@ -46,7 +46,7 @@ def encode_partitions(docs: DataFrame, tokenizer: str, end_id: int | None, id_co
                      pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()),
                      pa.array(ids, pa.binary())],
                     names=["doc_id", "part", "local_start", "n_tokens", "ids"])
-        pa.default_memory_pool().release_unused()       # the worker lives on
+        give_back()
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text_col).cast("string").alias("text"))

@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlink.llm.common import arrow_schema, keep
+from recordlink.llm.common import arrow_schema, give_back, keep, worker_held
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines",
           "n_distinct", "n_plain_words", "n_upper", "n_letters", "n_punct", "n_bytes", "n_stops"]
@@ -86,11 +86,15 @@ def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         import pyarrow as pa
         count, target = _text_counts(), arrow_schema(schema)
         kind = target.field(target.names.index(STATS)).type
+        worker_held()
         for b in batches:
-            rows = [count(t) for t in b.column(at).to_pylist()]
-            cols = [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(COUNTS))]
-            stat = pa.StructArray.from_arrays(cols, fields=[kind.field(i) for i in range(kind.num_fields)])
-            yield pa.RecordBatch.from_arrays([*b.columns, stat], names=target.names)
+            for lo in range(0, b.num_rows, 512):
+                piece = b.slice(lo, 512)
+                rows = [count(t) for t in piece.column(at).to_pylist()]
+                cols = [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(COUNTS))]
+                stat = pa.StructArray.from_arrays(cols, fields=[kind.field(i) for i in range(kind.num_fields)])
+                yield pa.RecordBatch.from_arrays([*piece.columns, stat], names=target.names)
+        give_back()
 
     return docs.mapInArrow(run, schema)
 

@@ -185,3 +185,23 @@ print(len(_llm_worker_store.word_hashes))
     out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
     size, arrow, held = map(int, out)
     assert size > 18_000_000 and arrow < 50_000_000 and held <= 150_000
+
+
+def test_worker_holds_the_words_of_one_operator():
+    """A worker that packs, then joins, does not keep the encoder while it joins."""
+    import gc
+    import sys
+    import weakref
+
+    from recordlink.llm.op8_jaccard import _shingler
+    encode = text_encoder(vocabulary_path("word_bpe_49k.json"))
+    assert len(encode(["some words"])[0])
+    held = weakref.ref(encode)
+    del encode
+    with np.errstate(over="ignore"):
+        assert len(_shingler(3)("a b c d")) == 2
+    gc.collect()
+    assert held() is None
+    assert sys.modules["_llm_worker_store"].word_hashes
+    text_encoder(vocabulary_path("word_bpe_49k.json"))
+    assert "word_hashes" not in vars(sys.modules["_llm_worker_store"])
