@@ -29,6 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordlink.llm.common import worker_held
 from recordlink.llm.encoding import vocabulary_path
 
 SAMPLES = "doc_id long, sample int, n_pieces long, ids_crc32 long, log_prob double, log_inclusion double, ids array<int>"
@@ -36,13 +37,43 @@ DECODED = SAMPLES.replace("ids array<int>", "text_crc32 long, round_trip boolean
 
 
 def make_decoder(model: str):
-    """Functions ids -> text; text -> its normalised text, blanks as marks; that -> the text its ids decode to."""
+    """Functions ids (list or array) -> text; text -> its normalised text, blanks as marks; that -> the text its ids decode to."""
+    import numpy as np
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
     lead = sp.normalize("a").startswith("▁")       # the model puts a blank before every text
+    # What a piece stands for: UTF-8 or a byte; for others (control pieces and the like) the library decides.
+    size = sp.get_piece_size()
+    byte = np.array([sp.is_byte(i) for i in range(size)])
+    other = np.array([sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) for i in range(size)])
+    shows = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if byte[i] else sp.id_to_piece(i).replace("▁", " ").encode() for i in range(size)]
+    flat, width = np.frombuffer(b"".join(shows), np.uint8), np.array([len(x) for x in shows])
+    first = np.cumsum(width) - width
+    loses = np.array([lead and x[:1] == b" " for x in shows]) & ~byte      # a blank, as the first piece
+
+    def joined(ids):
+        """The text of an array of ids, None if the library has to decode them."""
+        if ids.dtype.kind != "i" or ids.min() < 0 or ids.max() >= size or other[ids].any():
+            return None
+        n = width[ids]
+        after = np.cumsum(n)
+        at = np.repeat(first[ids] - (after - n), n)
+        at += np.arange(len(at))
+        try:
+            return flat[at].tobytes()[int(loses[ids[0]]):].decode()
+        except UnicodeDecodeError:                  # bytes that make no character
+            return None
+
+    some = np.flatnonzero(~other & ~(byte & (np.array([x[:1] > b"\x7f" for x in shows]))))
+    as_library = "▁▁" in sp.normalize("a  a") and all(
+        joined(x) == sp.decode(x.tolist()) for x in (some, some[::-1], *(some[i:i + 3] for i in range(0, len(some), 97)),
+                                                     *(np.append(i, some[:2]) for i in np.flatnonzero(loses)[:9])))
 
     def back(ids):
-        return None if ids is None else sp.decode(ids) if ids else ""
+        if ids is None or not len(ids):
+            return None if ids is None else ""
+        text = joined(np.asarray(ids)) if as_library else None
+        return sp.decode(np.asarray(ids).tolist()) if text is None else text
 
     def normal(text):
         return sp.normalize(text) if text else ""
@@ -74,6 +105,8 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0, lattic
     import re
 
     import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
@@ -108,7 +141,6 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0, lattic
             by_length[n] = (table, ids, cost, *_buckets(table))
     longest = max(by_length)
     known, held, used = {}, None, [0] * 7           # words and their lattices, with room for more
-    units = re.compile("▁+[^▁\n]*|[^▁\n]+|\n")
     mix1, mix2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
     def stream(key, draw: int):
@@ -241,19 +273,32 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0, lattic
         return np.array(out, np.int64)
 
     def cut(texts):
-        """Words of normalised texts (marks with what follows them, and newlines) and the number of words per text."""
-        lists = [units.findall(t) if "▁▁" in t or "\0" in t else
-                 list(filter(None, t.replace("▁", "\0▁").replace("\n", "\0\n\0").split("\0"))) for t in texts]
-        return list(itertools.chain.from_iterable(lists)), np.fromiter(map(len, lists), np.int64, len(lists))
-
-    def look_up(words):
-        """Numbers of the words in the lattices kept; those of new words are added."""
+        """The distinct words of normalised texts (marks with what follows them, and newlines), the place
+        among them of every word, and the number of words per text."""
+        sep = next(c for c in map(chr, itertools.chain(range(10), range(0xE000, 0xF900))) if not any(c in t for t in texts))
+        marked = pa.array(texts, pa.large_string())
+        if any("▁▁" in t for t in texts):
+            marked = pc.replace_substring_regex(marked, "(▁+)", sep + "\\1")
+        else:
+            marked = pc.replace_substring(marked, "▁", sep + "▁")
+        split = pc.split_pattern(pc.replace_substring(marked, "\n", f"{sep}\n{sep}"), sep)
+        ends = split.offsets.to_numpy()
+        words = split.values.slice(ends[0], ends[-1] - ends[0])
+        full = pc.greater(pc.binary_length(words), 0)
+        before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])[ends - ends[0]]
+        coded = words.filter(full).dictionary_encode()
+        return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), np.diff(before)
+
+    def look_up(distinct):
+        """Numbers of distinct words in the lattices kept; those of new words are added."""
         nonlocal known, held, used
-        distinct = dict.fromkeys(words)
-        new = [w for w in distinct if w not in known]
+        numbers = np.fromiter(map(known.get, distinct, itertools.repeat(-1)), np.int64, len(distinct))
+        fresh = np.flatnonzero(numbers < 0)
+        new = [distinct[i] for i in fresh.tolist()]
         if held is not None and used[1] + sum(map(len, new)) > lattice_points:
-            known, held, used, new = {}, None, [0] * 7, list(distinct)
-        known.update(zip(new, range(len(known), len(known) + len(new))))
+            known, used, new, fresh = {}, [0] * 7, distinct, np.arange(len(distinct))
+            if len(held[1]) > 2 * lattice_points:   # room that a large call took
+                held = None
         if new:
             root, first, last, follow, *rest = lattices(new)
             nodes, edges = used[1], used[3]
@@ -266,13 +311,16 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0, lattic
                     held[i] = room
                 held[i][used[i]:used[i] + len(x)] = x
                 used[i] += len(x)
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words)), held and tuple(x[:n] for x, n in zip(held, used))
+            numbers[fresh] = np.arange(len(known), len(known) + len(new))
+            known.update(zip(new, numbers[fresh].tolist()))
+        return numbers, held and tuple(x[:n] for x, n in zip(held, used))
 
     def sample(texts, keys, normalised=False):
         if not normalised:
             texts = [sp.normalize(t) if t else "" for t in texts]
-        words, sizes = cut(texts)
-        flat, lat = look_up(words)
+        distinct, places, sizes = cut(texts)
+        numbers, lat = look_up(distinct)
+        flat = numbers[places]
         after = np.cumsum(sizes)
         before_of = after - sizes
         empty = [(np.zeros(0, np.int64), 0.0, 0.0)]
@@ -377,6 +425,15 @@ def make_sampler(model: str, k: int, seed: int, temperature: float = 1.0, lattic
     return sample
 
 
+def worker_sampler(model: str, k: int, seed: int, temperature: float):
+    """``make_sampler``'s and ``make_decoder``'s functions, made once in a Python worker: the lattices serve the tasks that follow."""
+    made, asked = worker_held("samplers"), (model, k, seed, temperature)
+    if asked not in made:
+        made.clear()                                # one at a time: lattices are large
+        made[asked] = make_sampler(*asked), make_decoder(model)
+    return made[asked]
+
+
 def sample_encodings(docs: DataFrame, k: int = 2, seed: int = 0, model: str | None = None, id_col: str = "doc_id",
                      text_col: str = "text", temperature: float = 1.0, with_ids: bool = True) -> DataFrame:
     """``doc_id, sample`` (from 1, falling perturbed value), ``n_pieces, ids_crc32, log_prob,
@@ -390,8 +447,7 @@ def sample_encodings(docs: DataFrame, k: int = 2, seed: int = 0, model: str | No
 
         import numpy as np
         import pyarrow as pa
-        draw = make_sampler(model, k, seed, temperature)
-        back, normal, shown = make_decoder(model)
+        draw, (back, normal, shown) = worker_sampler(model, k, seed, temperature)
         names = [f.rsplit(" ", 1)[0] for f in schema.split(", ")]
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
                  *([pa.list_(pa.int32())] if with_ids else [pa.int64(), pa.bool_()])]
@@ -399,7 +455,7 @@ def sample_encodings(docs: DataFrame, k: int = 2, seed: int = 0, model: str | No
         def last(got, text):
             if with_ids:
                 return (got.astype(np.int32),)
-            decoded = back(got.tolist())
+            decoded = back(got)
             return zlib.crc32(decoded.encode()), decoded == text
 
         def blocks(texts):

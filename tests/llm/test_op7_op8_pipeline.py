@@ -82,6 +82,39 @@ def test_texts_of_a_block_go_down_together():
         assert [(x.tolist(), p, q) for x, p, q in alone] == [(x.tolist(), p, q) for x, p, q in got[i]]
 
 
+def test_decoding_equals_library():
+    """Decoding by the table of pieces gives the library's text, whatever the ids; it is asked only where the table can't tell."""
+    import sentencepiece
+    from recordlink.llm.op7_sampling import make_decoder
+    sp, rng = sentencepiece.SentencePieceProcessor(model_file=MODEL), random.Random(5)
+    n, calls = sp.get_piece_size(), []
+    back = make_decoder(MODEL)[0]
+    blanks = [i for i in range(n) if sp.id_to_piece(i).strip("▁") == ""]
+    lists = [[rng.randrange(n) for _ in range(rng.randrange(1, 9))] for _ in range(300)]
+    lists += [[rng.randrange(260) for _ in range(5)] for _ in range(100)]           # control pieces, bytes of no character
+    lists += [[a, b, 500] for a in blanks for b in blanks] + [[i] for i in range(300)]
+    lists += [sp.encode(x) for x in ("é☃🙂 a\0b\n\n c  d", " x", "\n", "▁▁x ▁")]
+    for ids in lists:
+        assert back(ids) == back(np.array(ids)) == sp.decode(ids)
+    assert back(None) is None and back([]) == ""
+    with pytest.raises(IndexError):
+        back([n])
+    plain = sp.encode("the cat sat on the mat " * 50)
+    sys.setprofile(lambda frame, event, _: event == "call" and frame.f_code.co_name == "_decode_raw" and calls.append(1))
+    try:
+        back(np.array(plain))
+    finally:
+        sys.setprofile(None)
+    assert not calls
+
+
+def test_a_worker_makes_its_sampler_once():
+    from recordlink.llm import op7_sampling
+    one = op7_sampling.worker_sampler(MODEL, 2, 0, 1.0)
+    assert op7_sampling.worker_sampler(MODEL, 2, 0, 1.0) is one
+    assert op7_sampling.worker_sampler(MODEL, 3, 0, 1.0) is not one
+
+
 def test_all_segmentations_when_few():
     found = make_sampler(MODEL, 50, 1)(["a"], [3])[0]
     want = _all_segmentations("a")
