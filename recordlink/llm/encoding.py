@@ -10,7 +10,7 @@ control separators go whole through the library. The result is the library's, id
 
 from __future__ import annotations
 
-from recordlink.llm.common import worker_held
+from recordlink.llm.common import give_back, worker_held
 
 
 def vocabulary_path(name: str) -> str:
@@ -19,7 +19,7 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def text_encoder(path: str, cache_words: int = 600_000):
+def text_encoder(path: str, cache_words: int = 600_000, block_bytes: int = 1 << 22):
     """``encode(texts) -> list of bytes``: each text's ids, little-endian unsigned 16-bit; null
     texts are empty. ``texts`` is an Arrow array or a list.
 
@@ -27,17 +27,20 @@ def text_encoder(path: str, cache_words: int = 600_000):
     blank-dropping front end. The cache holds the words met last, in two halves of ``cache_words / 2``:
     when the newer is full it becomes the older one, whose words move up as they are met again. So
     memory is bounded (about 200 bytes a word); the cache lives in the Python worker until
-    another operator runs in it.
+    another operator runs in it. Texts are encoded in blocks of about ``block_bytes``, one text at
+    least; a block takes some ten to twenty times its size.
     """
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     made = worker_held("encoders")
-    if (path, cache_words) not in made:
-        made[path, cache_words] = _make_encoder(path, cache_words)
-    return made[path, cache_words]
+    key = path, cache_words, block_bytes
+    if key not in made:
+        made[key] = _make_encoder(*key)
+        give_back()         # what reading the file took
+    return made[key]
 
 
-def _make_encoder(path: str, cache_words: int):
+def _make_encoder(path: str, cache_words: int, block_bytes: int):
     import itertools
     import re
     from array import array
@@ -45,18 +48,19 @@ def _make_encoder(path: str, cache_words: int):
     import numpy as np
     import pyarrow as pa
     import pyarrow.compute as pc
-    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+    from tokenizers import Tokenizer, pre_tokenizers
 
     full = Tokenizer.from_file(path)
     full.encode_special_tokens = True
     if full.get_vocab_size() > 65536:
         raise ValueError("ids are kept in 16 bits; the vocabulary has more than 65536 entries")
     words_only = full.normalizer is not None
-    # The words are cut here, so the per-word tokenizer keeps only the byte mapping and merges.
-    one = Tokenizer.from_file(path)
+    # The words are cut here, so the per-word tokenizer keeps only the byte mapping and merges: the
+    # same vocabulary in memory, with the file's added tokens.
+    one = Tokenizer(full.model)
+    for _, token in sorted(full.get_added_tokens_decoder().items()):
+        (one.add_special_tokens if token.special else one.add_tokens)([token])
     one.encode_special_tokens = True
-    if words_only:
-        one.normalizer = normalizers.Sequence([])
     one.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
     letters, digits, blank = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", r"\t-\r\x20\x85\xa0"
     short = "'s|'t|'re|'ve|'m|'ll|'d"
@@ -154,9 +158,8 @@ def _make_encoder(path: str, cache_words: int):
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         out, at = [], 0
         while at < len(texts):
-            # about 4 MB of text at a time, one text at least: the block takes some ten times its size
             size = np.cumsum(pc.fill_null(pc.binary_length(texts.slice(at, 4096)), 0).to_numpy(zero_copy_only=False))
-            k = max(1, int(np.searchsorted(size, 1 << 22)))
+            k = max(1, int(np.searchsorted(size, block_bytes)))
             out += encode_block(texts.slice(at, k))
             at += k
         return out

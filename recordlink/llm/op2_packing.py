@@ -15,12 +15,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordlink.llm.common import give_back, keep, running_offsets
+from recordlink.llm.common import give_back, keep, running_offsets, worker_held
 from recordlink.llm.encoding import crc_of, ids_of, text_encoder, vocabulary_path
 
 ENCODED = "doc_id long, part int, local_start long, n_tokens long, ids binary"
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, ids binary")
+CACHE_WORDS = 300_000       # words a Python worker keeps the ids of
+BATCH_ROWS = 2048           # rows of texts or ids that are handled at once
 
 
 def encode_partitions(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str = "doc_id",
@@ -32,10 +34,11 @@ def encode_partitions(docs: DataFrame, tokenizer: str, end_id: int | None, id_co
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
-        encode, part, at = text_encoder(tokenizer), TaskContext.get().partitionId(), 0
+        # An executor's workers share its memory with a JVM that holds its whole heap: small blocks, fewer words.
+        encode, part, at = text_encoder(tokenizer, CACHE_WORDS, 1 << 20), TaskContext.get().partitionId(), 0
         for b in batches:
-            for i in range(0, b.num_rows, 4096):
-                piece = b.slice(i, 4096)
+            for i in range(0, b.num_rows, BATCH_ROWS):
+                piece = b.slice(i, BATCH_ROWS)
                 ids = [x + end for x in encode(piece.column(1))]
                 sizes, starts = [len(x) // 2 for x in ids], []
                 for n in sizes:
@@ -64,7 +67,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = 4096, end_
     if length < 1:
         raise ValueError("length must be positive")
     tokenizer = tokenizer or vocabulary_path("word_bpe_49k.json")
-    encoded = keep(encode_partitions(docs, tokenizer, end_id, id_col, text_col), "pack")
+    encoded = keep(encode_partitions(docs, tokenizer, end_id, id_col, text_col), "pack", BATCH_ROWS)
     totals = encoded.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     # One row per partition of the written table: bounded by the task count, not by the rows.
     offsets = F.broadcast(running_offsets(totals, "part", "total", "before"))
@@ -72,21 +75,25 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = 4096, end_
     def run(batches):
         import pyarrow as pa
         names = [f.split()[0] for f in PIECES.split(", ")]
+        kinds = [pa.int64()] * 7 + [pa.binary()]
+        worker_held()       # the words are no longer needed
         for b in batches:
-            cols: list[list] = [[] for _ in names]
-            for doc, first, n, data in zip(*(b.column(c).to_pylist() for c in range(4))):
-                ids, done = ids_of(data), 0
-                while done < n:
-                    seq, off = divmod(first + done, length)
-                    take = min(n - done, length - off)
-                    got = ids[done:done + take]
-                    row = (doc, done, take, crc_of(got), n, seq, off,
-                           got.tobytes() if with_ids else None)
-                    for c, v in zip(cols, row):
-                        c.append(v)
-                    done += take
-            kinds = [pa.int64()] * 7 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+            for i in range(0, b.num_rows, BATCH_ROWS):
+                some = b.slice(i, BATCH_ROWS)
+                cols: list[list] = [[] for _ in names]
+                for doc, first, n, data in zip(*(some.column(c).to_pylist() for c in range(4))):
+                    ids, done = ids_of(data), 0
+                    while done < n:
+                        seq, off = divmod(first + done, length)
+                        take = min(n - done, length - off)
+                        got = ids[done:done + take]
+                        row = (doc, done, take, crc_of(got), n, seq, off,
+                               got.tobytes() if with_ids else None)
+                        for c, v in zip(cols, row):
+                            c.append(v)
+                        done += take
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+        give_back()
 
     pieces = (encoded.join(offsets, "part")
               .select("doc_id", (F.col("before") + F.col("local_start")).alias("first"),

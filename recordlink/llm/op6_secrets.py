@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlink.llm.common import arrow_schema
+from recordlink.llm.common import arrow_schema, give_back, worker_held
 
 BASE_KINDS = ["assign", "access", "hex"]
 KINDS = [*BASE_KINDS, "literal"]
@@ -263,6 +263,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") -> D
     def run(batches):
         import pyarrow as pa
         scan, target = secret_scanner(), arrow_schema(schema)
+        worker_held()
 
         def clean(text):
             found, out, done = scan(text), [], 0
@@ -273,9 +274,11 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]") -> D
             return "".join([*out, text[done:]]) if found else text
 
         for b in batches:
-            cols = list(b.columns)
-            cols[at] = pa.array([clean(t) for t in cols[at].to_pylist()], target.field(at).type)
-            yield pa.RecordBatch.from_arrays(cols, names=target.names)
+            for lo in range(0, b.num_rows, 512):
+                cols = list(b.slice(lo, 512).columns)
+                cols[at] = pa.array([clean(t) for t in cols[at].to_pylist()], target.field(at).type)
+                yield pa.RecordBatch.from_arrays(cols, names=target.names)
+        give_back()
 
     return docs.mapInArrow(run, schema)
 

@@ -205,3 +205,52 @@ def test_worker_holds_the_words_of_one_operator():
     assert sys.modules["_llm_worker_store"].word_hashes
     text_encoder(vocabulary_path("word_bpe_49k.json"))
     assert "word_hashes" not in vars(sys.modules["_llm_worker_store"])
+
+
+def test_texts_are_handled_in_small_batches(spark, monkeypatch):
+    """However large an Arrow batch is, packing and redacting put out few rows at once, all of them."""
+    import pyarrow as pa
+    import pyspark
+    from recordlink.llm import op2_packing, op6_secrets
+
+    class Docs:
+        """Hands the function given to ``mapInArrow`` to the test."""
+        columns, schema = ["doc_id", "text"], spark.createDataFrame([], "doc_id long, text string").schema
+
+        def select(self, *cols):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    class Task:
+        @staticmethod
+        def get():
+            return type("T", (), {"partitionId": lambda self: 3})()
+
+    monkeypatch.setattr(pyspark, "TaskContext", Task)
+    n = 5000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([f"password = 'abcdefgh{i}'" for i in range(n)])],
+                                       names=["doc_id", "text"])
+    packed = list(op2_packing.encode_partitions(Docs(), vocabulary_path("word_bpe_49k.json"), 2)([batch]))
+    assert max(b.num_rows for b in packed) <= 2048 and [x for b in packed for x in b.column(0).to_pylist()] == list(range(n))
+    sizes, starts = ([x for b in packed for x in b.column(c).to_pylist()] for c in (3, 2))
+    assert starts == [0, *np.cumsum(sizes)[:-1].tolist()]
+    clean = list(op6_secrets.redact(Docs())([batch]))
+    assert max(b.num_rows for b in clean) <= 512 and [x for b in clean for x in b.column(0).to_pylist()] == list(range(n))
+    assert not any("abcdefgh" in t for b in clean for t in b.column(1).to_pylist())
+
+
+def test_kept_rows_come_in_batches_of_the_size_asked_for(spark):
+    from recordlink.llm.common import keep
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    rows, before = spark.range(0, 1000, 1, 1).mapInArrow(run, "n long"), spark.conf.get(size)
+    assert sorted(r.n for r in keep(rows, "few", 300).collect()) == [100, 300, 300, 300]
+    assert spark.conf.get(size) == before
+    assert sum(r.n for r in keep(rows, "all").collect()) == 1000
