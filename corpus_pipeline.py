@@ -35,8 +35,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 4096 ids."""
-    return pack(docs, length=4096, end_id=2)
+    """Pieces of sequences of at most 4096 ids. Executors' heaps are full after the join: fewer words are held."""
+    return pack(docs, length=4096, end_id=2, cache_words=300_000)
 
 
 STAGES = [("quality rules", quality), ("n-gram Jaccard join", near_duplicates), ("secret scans", secrets),

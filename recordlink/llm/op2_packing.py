@@ -21,12 +21,11 @@ from recordlink.llm.encoding import crc_of, ids_of, text_encoder, vocabulary_pat
 ENCODED = "doc_id long, part int, local_start long, n_tokens long, ids binary"
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, ids binary")
-CACHE_WORDS = 300_000       # words a Python worker keeps the ids of
-BATCH_ROWS = 2048           # rows of texts or ids that are handled at once
+BATCH_ROWS = 2048       # rows of texts or ids that are handled at once
 
 
 def encode_partitions(docs: DataFrame, tokenizer: str, end_id: int | None, id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
+                      text_col: str = "text", cache_words: int = 600_000) -> DataFrame:
     """One row per document: its ids (16-bit, end id included) and, inside the partition that
     made it, the number of ids before it."""
     end = b"" if end_id is None else int(end_id).to_bytes(2, "little")
@@ -34,8 +33,7 @@ def encode_partitions(docs: DataFrame, tokenizer: str, end_id: int | None, id_co
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
-        # An executor's workers share its memory with a JVM that holds its whole heap: small blocks, fewer words.
-        encode, part, at = text_encoder(tokenizer, CACHE_WORDS, 1 << 20), TaskContext.get().partitionId(), 0
+        encode, part, at = text_encoder(tokenizer, cache_words, 1 << 20), TaskContext.get().partitionId(), 0
         for b in batches:
             for i in range(0, b.num_rows, BATCH_ROWS):
                 piece = b.slice(i, BATCH_ROWS)
@@ -57,17 +55,19 @@ def encode_partitions(docs: DataFrame, tokenizer: str, end_id: int | None, id_co
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, length: int = 4096, end_id: int | None = 2,
-         id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True,
+         cache_words: int = 600_000) -> DataFrame:
     """Pieces of all documents, concatenated in partition order and cut every ``length`` ids.
 
     ``doc_id, start`` (its ids before the piece), ``length``, ``ids_crc32``, ``doc_tokens``,
     ``sequence_id``, ``offset`` (in the sequence) and, unless ``with_ids`` is off, ``ids``.
-    Every sequence but the last is full.
+    Every sequence but the last is full. ``cache_words``: words a Python worker keeps the ids of
+    (see ``text_encoder``); fewer take less memory and more time.
     """
     if length < 1:
         raise ValueError("length must be positive")
     tokenizer = tokenizer or vocabulary_path("word_bpe_49k.json")
-    encoded = keep(encode_partitions(docs, tokenizer, end_id, id_col, text_col), "pack", BATCH_ROWS)
+    encoded = keep(encode_partitions(docs, tokenizer, end_id, id_col, text_col, cache_words), "pack", BATCH_ROWS)
     totals = encoded.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     # One row per partition of the written table: bounded by the task count, not by the rows.
     offsets = F.broadcast(running_offsets(totals, "part", "total", "before"))
