@@ -261,6 +261,57 @@ def test_only_sets_short_of_cold_tokens_are_read_again(spark, monkeypatch):
     assert 0 < rows["late-wanted"] <= 12 and rows["late"] == rows["late-wanted"]
 
 
+def test_only_sets_that_hold_shared_tokens_are_asked(spark):
+    """Units that meet by one token pass on the set that holds it, not all their sets."""
+    sets = [(b"a", 1, [-5, 2, 3]), (b"b", 1, [7, 8, 9]), (b"c", 1, [2, 8, 40]), (b"d", 2, [2, 50])]
+    full = spark.createDataFrame([(k, g, np.array(t, ">i8").tobytes()) for k, g, t in sets], "set_key binary, gid long, tokens binary")
+    for need, tokens, want in ((1, [2], b"ac"), (2, [2, 8], b"c"), (1, [-5], b"a"), (1, [99], b""), (1, None, b"abc")):
+        asks = (spark.createDataFrame([(1, 2, need, tokens, 0)], "g1 long, g2 long, need long, tokens array<long>, block int")
+                .withColumn("tokens", F.transform("tokens", op8._as_stored)))
+        got = [(r.to_gid, r.to_block, bytes(r.q_set_key)) for r in op8._queries(full, asks).collect()]
+        assert sorted(got) == [(2, 0, bytes([k])) for k in want]
+
+
+def test_pairs_name_the_tokens_that_choose_their_sets(spark, monkeypatch):
+    """Families whose texts share a line with some texts of the others: the links are those of all pairs,
+    and the written pairs name the tokens by which sets are chosen."""
+    seen, rng = [], random.Random(11)
+    keep = op8.keep
+    monkeypatch.setattr(op8, "keep", lambda df, name: (seen.append((name, kept := keep(df, name), kept.collect() if name == "pairs" else None)), kept)[1])
+    data = []
+    for f in range(6):
+        base = [f"f{f}w{i}" for i in range(60)]
+        for i in range(20):
+            w = list(base)
+            w[rng.randrange(60)] = f"x{f}y{i}"
+            data.append((len(data), " ".join(w + [f"common{(f + i) % 7} passage{i % 3} here"] * 2)))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = Counter(tuple(r) for r in jaccard_components(docs, 3, 60, group_rows=8, hot_groups=1).collect())
+    assert got == Counter(brute_components(data, 3, 60))
+    rows = [r for name, _, found in seen if name == "pairs" for r in found]
+    assert rows and all(r.need >= 1 and (r.tokens is None or len(r.tokens) >= r.need) for r in rows)
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    """Not only when the driver collects its garbage."""
+    import time
+    from recordlink.llm.common import discard, keep
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {x for x in (disk.getAllFiles().mkString("\n")).split("\n") if "shuffle_" in x}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held, before = spark.conf.get(name, None), files()
+    kept = keep(spark.range(20_000).groupBy((F.col("id") % 999).alias("k")).count(), "freed")
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and kept.count() == 999
+    assert spark.conf.get(name, None) == held
+    discard(kept)
+
+
 def test_one_per_component(spark):
     docs = edge_documents(spark)
     kept = one_per_component(docs, 5, 80)
