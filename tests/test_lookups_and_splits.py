@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recordlink.operators.aggregate import group_agg, group_medians
-from recordlink.operators.combine import merge_outer
+from recordlink.operators.combine import _grid, merge_outer
 from recordlink.operators.search import search_names_contains
 from recordlink.streaming.lookup import calls_in_flight, lookup_batch, lookup_run, read_lookups, retry_failed
 
@@ -103,6 +103,29 @@ def test_merge_outer_split_equals_plain(spark, null_equal):
     assert empty.count() == 40
 
 
+def _copied(df):
+    """Rows that the exploding steps of a collected query put out."""
+    def walk(node):
+        if "QueryStage" in node.nodeName():
+            return walk(node.plan())
+        own = node.metrics().apply("numOutputRows").value() if node.nodeName() == "Generate" else 0
+        return own + sum(walk(node.children().apply(i)) for i in range(node.children().size()))
+    plan = df._jdf.queryExecution().executedPlan()
+    return walk(plan.finalPhysicalPlan() if plan.nodeName().startswith("AdaptiveSparkPlan") else plan)
+
+
+def test_copies_of_an_outer_merge_do_not_grow_with_its_pairs(spark):
+    """80 keys of 25 x 10 rows and a part for each row at least: an even share of the tasks needs few copies."""
+    left = spark.range(2_000).select((F.col("id") % 80).alias("k"), F.col("id").alias("x"))
+    right = spark.range(800).select((F.col("id") % 80).alias("k"), F.col("id").alias("y"))
+    merged = merge_outer(left, right, "k", hot_rows=1)
+    assert Counter((r.k, r.x, r.y) for r in merged.collect()) == Counter((x % 80, x, y) for x in range(2_000) for y in range(x % 80, 800, 80))
+    assert 0 < _copied(merged) < 10_000         # 40,000 with a part for each pair
+    sizes = [(250, 100, 4), (250, 100, 1), (10 ** 6, 3, 128), (3, 10 ** 6, 128), (10 ** 5, 10 ** 5, 128), (40, 40, 128)]
+    got = spark.createDataFrame(sizes, "nl long, nr long, parts long").select(*_grid(F.col("nl"), F.col("nr"), F.col("parts"), 10)).collect()
+    assert [tuple(r) for r in got] == [(2, 2), (1, 1), (128, 1), (1, 128), (11, 12), (4, 4)]
+
+
 def test_hot_key_of_an_outer_merge_is_spread(spark):
     left = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").alias("x"))
     right = spark.range(3).select(F.lit(1).alias("k"), F.col("id").alias("y"))
